@@ -15,15 +15,20 @@ def extract_links(pages: DataFrame, block_pattern: str | None = None) -> DataFra
     """
     html = F.col("html") if block_pattern is None else F.regexp_extract("html", block_pattern, 1)
     tags = F.regexp_extract_all(html, F.lit(r"(?is)(<ul\b|</ul\s*>|<a\b[^>]*>)"), F.lit(1))
-    href = r'''(?is)^<a\b[^>]*?\bhref\s*=\s*["\']([^"\']*)["\']'''
-    opened = "size(filter(slice(tags, 1, i), u -> lower(left(u, 3)) = '<ul'))"
-    closed = "size(filter(slice(tags, 1, i), u -> lower(left(u, 3)) = '</u'))"
-    inside = F.expr(f"filter(tags, (t, i) -> lower(left(t, 2)) = '<a' AND {opened} > {closed})")
+    # one walk over the tags: the depth rises and falls with the lists, links inside are kept
+    inside = F.expr(
+        "aggregate(tags, named_struct('depth', 0, 'kept', CAST(array() AS ARRAY<STRING>)), (acc, t) -> named_struct("
+        "'depth', acc.depth + CASE lower(left(t, 3)) WHEN '<ul' THEN 1 WHEN '</u' THEN -1 ELSE 0 END, "
+        "'kept', CASE WHEN acc.depth > 0 AND lower(left(t, 2)) = '<a' THEN concat(acc.kept, array(t)) ELSE acc.kept END"
+        ")).kept"
+    )
+    href = r"""(?is)^<a\b[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)')"""
+    url = F.concat(F.regexp_extract("tag", href, 1), F.regexp_extract("tag", href, 2))
     return (
         pages.select("page_id", tags.alias("tags"))
         .select("page_id", F.explode(inside).alias("tag"))
         .filter(F.col("tag").rlike(href))
-        .select("page_id", F.replace(F.regexp_extract("tag", href, 1), F.lit("&amp;"), F.lit("&")).alias("url"))
+        .select("page_id", F.replace(url, F.lit("&amp;"), F.lit("&")).alias("url"))
     )
 
 
