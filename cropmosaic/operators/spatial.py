@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from cropmosaic.functions import geometry as G
 from cropmosaic.operators.skew import BROADCAST_BYTES, sized_join
+from cropmosaic.session import stored
 
 CELL = ["cx", "cy"]
 
@@ -99,113 +100,91 @@ def _clamped_pieces(size: float) -> str:
     return f"filter({G.bind('c', cuts, pieces)}, p -> p.x1 < p.x2)"
 
 
-def unit_tiles(units: DataFrame, size: float, unit: str = "geo_unit", rings: str = "rings") -> DataFrame:
+def unit_tiles(
+    units: DataFrame, size: float, unit: str = "geo_unit", contact: bool = False, path: str | None = None
+) -> DataFrame:
     """Units clipped to the grid: unit, cx, cy, tile (signed edges), full, segs.
 
     A piece of the boundary counts in every cell of its strip: above or below the cell it
     is flattened onto the cell side. Flat pieces of one height are stored as steps at their
     start, steps at the same x add up and mostly vanish, so a cell inside the unit is left
-    with two edges and one outside with none. `segs` are the boundary segments reaching into
-    the cell as drawn, for contact tests.
+    with two edges and one outside with none. With `contact`, `segs` are the boundary
+    segments reaching into the cell as drawn, as contact tests need them.
+
+    The tiles are written once, to `path` or to the shared working folder, and serve any
+    number of joins; give a path to keep them.
     """
-    base = units.filter(F.size(rings) > 0).select(F.col(unit), F.col(rings).alias("rings"))
-    base = base.withColumn("box", F.expr(G.bbox("rings")))
+    return stored(_build_tiles(units, size, unit, contact), path)
 
-    strips = (
-        base.select(unit, "box", F.explode(F.expr(G.valid_edges("rings"))).alias("e"))
-        .select(
-            unit,
-            "box",
-            "e.*",
-            F.explode(F.sequence(F.floor(F.col("e.x1") / size), F.floor(F.col("e.x2") / size))).alias("cx"),
-        )
-        .withColumn("px1", F.greatest("x1", F.col("cx") * size))
-        .withColumn("px2", F.least("x2", (F.col("cx") + 1) * size))
-        .filter(F.col("px1") < F.col("px2"))
-    )
 
-    def y_at(x: Column) -> Column:
+def _build_tiles(units: DataFrame, size: float, unit: str, contact: bool) -> DataFrame:
+    width = G.number(size)
+    low, high, right = f"(cy * {width})", f"((cy + 1) * {width})", f"((cx + 1) * {width})"
+    base = units.filter(F.size("rings") > 0).select(unit, "rings")
+
+    # one row per edge and strip of cells it runs through, then per cell of that strip
+    def y_at(x: str) -> str:
         return (
-            F.when(x == F.col("x1"), F.col("y1"))
-            .when(x == F.col("x2"), F.col("y2"))
-            .otherwise(F.col("y1") + (x - F.col("x1")) / (F.col("x2") - F.col("x1")) * (F.col("y2") - F.col("y1")))
+            f"CASE WHEN {x} = e.x1 THEN e.y1 WHEN {x} = e.x2 THEN e.y2 "
+            f"ELSE e.y1 + ({x} - e.x1) / (e.x2 - e.x1) * (e.y2 - e.y1) END"
         )
 
+    from_x, to_x = f"greatest(e.x1, cx * {width})", f"least(e.x2, {right})"
     pieces = (
-        strips.withColumn("py1", y_at(F.col("px1")))
-        .withColumn("py2", y_at(F.col("px2")))
-        .withColumn(
-            "cy",
-            F.explode(F.sequence(F.floor(F.col("box.ymin") / size), F.floor(F.col("box.ymax") / size))),
+        base.select(unit, F.expr(G.bbox("rings")).alias("box"), F.explode(F.expr(G.valid_edges("rings"))).alias("e"))
+        .select("*", F.expr(f"explode(sequence(floor(e.x1 / {width}), floor(e.x2 / {width})))").alias("cx"))
+        .select(
+            unit,
+            "cx",
+            F.expr(f"explode(sequence(floor(box.ymin / {width}), floor(box.ymax / {width})))").alias("cy"),
+            F.expr(from_x).alias("px1"),
+            F.expr(y_at(from_x)).alias("py1"),
+            F.expr(to_x).alias("px2"),
+            F.expr(y_at(to_x)).alias("py2"),
+            "e.s",
         )
-        .select(unit, *CELL, F.explode(F.expr(_clamped_pieces(size))).alias("p"))
+        .select(unit, *CELL, F.explode(F.expr(f"CASE WHEN px1 < px2 THEN {_clamped_pieces(size)} END")).alias("p"))
     )
-    side = (F.col("p.y1") == F.col("p.y2")) & (
-        (F.col("p.y1") == F.col("cy") * size) | (F.col("p.y1") == (F.col("cy") + 1) * size)
+    step = "CAST(NULL AS DOUBLE) AS x2, CAST(NULL AS DOUBLE) AS y2"
+    marks = (
+        f"CASE WHEN p.y1 = p.y2 AND (p.y1 = {low} OR p.y1 = {high}) "
+        f"THEN array(struct(p.x1 AS x1, p.y1 AS y1, {step}, p.s AS s), struct(p.x2 AS x1, p.y1 AS y1, {step}, -p.s AS s)) "
+        "ELSE array(p) END"
     )
-
-    def step(x: str, sign: int) -> Column:
-        return F.struct(
-            F.col(f"p.{x}").alias("x1"),
-            F.col("p.y1").alias("y1"),
-            F.lit(None).cast("double").alias("x2"),
-            F.lit(None).cast("double").alias("y2"),
-            (F.col("p.s") * sign).cast("int").alias("s"),
-        )
-
-    marks = F.when(side, F.array(step("x1", 1), step("x2", -1))).otherwise(F.array(F.col("p")))
-    right_side = (F.col("cx") + 1) * size
     edges = (
-        pieces.select(unit, *CELL, F.explode(marks).alias("m"))
-        .select(unit, *CELL, "m.*")
-        .filter(F.col("x1") < right_side)
+        pieces.select(unit, *CELL, F.inline(F.expr(marks)))
+        .filter(F.expr(f"x1 < {right}"))
         .groupBy(unit, *CELL, "x1", "y1", "x2", "y2")
         .agg(F.sum("s").cast("int").alias("s"))
-        .filter(F.col("s") != 0)
+        .filter("s != 0")
         .select(
             unit,
             *CELL,
-            F.struct(
-                "x1",
-                "y1",
-                F.coalesce("x2", right_side).alias("x2"),
-                F.coalesce("y2", "y1").alias("y2"),
-                "s",
-            ).alias("edge"),
+            F.expr(f"struct(x1, y1, coalesce(x2, {right}) AS x2, coalesce(y2, y1) AS y2, s)").alias("edge"),
             F.lit(None).cast(G.SEG_TYPE).alias("seg"),
         )
     )
-
-    # segments get a hair of slack: the cell of a contact point may be computed from either side
-    slack = size * 1e-9
-    segs = (
-        base.select(unit, F.explode(F.expr(G.contact_segments("rings"))).alias("seg"))
-        .withColumn(
-            "box",
-            F.struct(
-                (F.col("seg.x1") - slack).alias("xmin"),
-                (F.least("seg.y1", "seg.y2") - slack).alias("ymin"),
-                (F.col("seg.x2") + slack).alias("xmax"),
-                (F.greatest("seg.y1", "seg.y2") + slack).alias("ymax"),
-            ),
+    if contact:
+        # a hair of slack: the cell of a contact point may be computed from either side
+        slack = G.number(size * 1e-9)
+        box = (
+            f"struct(seg.x1 - {slack} AS xmin, least(seg.y1, seg.y2) - {slack} AS ymin, "
+            f"seg.x2 + {slack} AS xmax, greatest(seg.y1, seg.y2) + {slack} AS ymax)"
         )
-        .transform(lambda d: grid_cells(d, size))
-        .select(unit, *CELL, F.lit(None).cast(G.EDGE_TYPE).alias("edge"), "seg")
-    )
-
-    left_side, low, high = F.col("cx") * size, F.col("cy") * size, (F.col("cy") + 1) * size
-    whole = (F.size("tile") == 2) & F.forall(
-        "tile",
-        lambda e: (e.x1 == left_side)
-        & (e.x2 == right_side)
-        & (e.y1 == e.y2)
-        & (((e.y1 == high) & (e.s == 1)) | ((e.y1 == low) & (e.s == -1))),
+        segs = base.select(unit, F.explode(F.expr(G.contact_segments("rings"))).alias("seg"))
+        edges = edges.unionByName(
+            grid_cells(segs.withColumn("box", F.expr(box)), size).select(
+                unit, *CELL, F.lit(None).cast(G.EDGE_TYPE).alias("edge"), "seg"
+            )
+        )
+    whole = (
+        f"size(tile) = 2 AND forall(tile, e -> e.x1 = cx * {width} AND e.x2 = {right} AND e.y1 = e.y2 "
+        f"AND ((e.y1 = {high} AND e.s = 1) OR (e.y1 = {low} AND e.s = -1)))"
     )
     return (
-        edges.unionByName(segs)
-        .groupBy(unit, *CELL)
+        edges.groupBy(unit, *CELL)
         .agg(F.collect_list("edge").alias("tile"), F.collect_list("seg").alias("segs"))
-        .withColumn("full", whole)
+        .withColumn("full", F.expr(whole))
     )
 
 

@@ -10,6 +10,7 @@ from cropmosaic.functions.text import clean_number, strip_unit
 from cropmosaic.operators import analysis, charts, communes, prepare, quality, sampling, spatial
 from cropmosaic.plans import surrogates as data
 from cropmosaic.schemas import region_dim
+from cropmosaic.session import stored
 from cropmosaic.sources import layers, links
 
 CELL = data.CELL_SIZE
@@ -35,6 +36,11 @@ def compiled(spark: SparkSession, sf: str) -> DataFrame:
     return communes.merge_border_communes(commune_crop(spark, sf))
 
 
+def saved_compiled(spark: SparkSession, sf: str) -> DataFrame:
+    """The compiled table as reports find it: written, then read by each part that needs it."""
+    return stored(compiled(spark, sf))
+
+
 def _rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, 6) for c in columns})
 
@@ -152,7 +158,7 @@ def spatial_largest(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def spatial_intersects(spark: SparkSession, sf: str) -> DataFrame:
-    tiles = spatial.unit_tiles(data.communes(spark, sf), CELL)
+    tiles = spatial.unit_tiles(data.communes(spark, sf), CELL, contact=True)
     return spatial.join_intersects(data.parcels(spark, sf), tiles, CELL, ["parcel_id"])
 
 
@@ -186,7 +192,7 @@ def parcels_on_stars(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _department_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    tiles = spatial.unit_tiles(data.departments(spark, sf), 2 * CELL)
+    tiles = spatial.unit_tiles(data.departments(spark, sf), 2 * CELL, contact=True)
     return spatial.join_intersects(
         data.parcels(spark, sf).filter("data_type = 'pg'"),
         tiles,
@@ -255,17 +261,17 @@ def border_merge_complete(spark: SparkSession, sf: str) -> DataFrame:
 
 def national_share_rows(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(
-        analysis.national_crop_share(compiled(spark, sf), REPORT_YEAR), "surf_cult_perc", "parcel_cult_perc"
+        analysis.national_crop_share(saved_compiled(spark, sf), REPORT_YEAR), "surf_cult_perc", "parcel_cult_perc"
     )
 
 
 def national_share_unit(spark: SparkSession, sf: str) -> DataFrame:
-    shares = analysis.national_crop_share(compiled(spark, sf), REPORT_YEAR, "geo_unit")
+    shares = analysis.national_crop_share(saved_compiled(spark, sf), REPORT_YEAR, "geo_unit")
     return _rounded(shares, "surf_cult_perc", "parcel_cult_perc")
 
 
 def national_report(spark: SparkSession, sf: str) -> DataFrame:
-    report = charts.national_report(compiled(spark, sf), REPORT_YEAR)
+    report = charts.national_report(saved_compiled(spark, sf), REPORT_YEAR)
     return _rounded(report, *[h for h in charts.REPORT_HEADINGS.values() if h.startswith("Pourcentage")])
 
 
@@ -282,15 +288,15 @@ def top_crop_by_parcels(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def top_crop_by_name(spark: SparkSession, sf: str) -> DataFrame:
-    return _top_columns(analysis.top_crop(compiled(spark, sf), ["name", "year"]))
+    return _top_columns(analysis.top_crop(saved_compiled(spark, sf), ["name", "year"]))
 
 
 def top_crop_by_name_parcels(spark: SparkSession, sf: str) -> DataFrame:
-    return _top_columns(analysis.top_crop(compiled(spark, sf), ["name", "year"], "parcel_cult_perc"))
+    return _top_columns(analysis.top_crop(saved_compiled(spark, sf), ["name", "year"], "parcel_cult_perc"))
 
 
 def top_crop_one_year(spark: SparkSession, sf: str) -> DataFrame:
-    one = compiled(spark, sf).filter(F.col("year") == REPORT_YEAR)
+    one = saved_compiled(spark, sf).filter(F.col("year") == REPORT_YEAR)
     return analysis.top_crop(one, ["name"]).select("name", "cult_label")
 
 
@@ -330,7 +336,7 @@ def choropleth_shannon(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def evolution_table(spark: SparkSession, sf: str) -> DataFrame:
-    return charts.evolution_table(compiled(spark, sf), "C3")
+    return charts.evolution_table(saved_compiled(spark, sf), "C3")
 
 
 def diversity_by_year(spark: SparkSession, sf: str) -> DataFrame:
@@ -339,7 +345,7 @@ def diversity_by_year(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def pie_table(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded(charts.pie_table(compiled(spark, sf), REPORT_YEAR), "percentage")
+    return _rounded(charts.pie_table(saved_compiled(spark, sf), REPORT_YEAR), "percentage")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
