@@ -10,8 +10,11 @@ from cropmosaic.functions.text import clean_number, strip_unit
 from cropmosaic.operators import analysis, charts, communes, prepare, quality, sampling, spatial
 from cropmosaic.plans import surrogates as data
 from cropmosaic.schemas import region_dim
-from cropmosaic.session import stored
+from cropmosaic.session import shared_folder, stored
+from cropmosaic.sinks import tables
 from cropmosaic.sources import layers, links
+from cropmosaic.sources.shapefile import read_shapefiles
+from cropmosaic.sources.tables import load_prepared
 
 CELL = data.CELL_SIZE
 REPORT_YEAR = 1997
@@ -348,6 +351,52 @@ def pie_table(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(charts.pie_table(saved_compiled(spark, sf), REPORT_YEAR), "percentage")
 
 
+# ---------------------------------------------------------------- writing and reading back
+
+
+def prepared_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Prepared table written by year and region, read back, compiled, written and read again."""
+    folder = shared_folder(spark)
+    tables.write_prepared(commune_crop(spark, sf), f"{folder}/prepared")
+    merged = communes.merge_border_communes(load_prepared(spark, f"{folder}/prepared"))
+    tables.write_compiled(merged, f"{folder}/compiled")
+    return spark.read.parquet(f"{folder}/compiled")
+
+
+def shapefile_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Parcels exported as polygon files and read back by record ranges."""
+    folder = shared_folder(spark)
+    parcels = data.parcels(spark, sf).withColumnsRenamed({"region_code": "region", "surf_parc_ha": "declared"})
+    tables.write_features(parcels, folder, layer="PARCELLES_GRAPHIQUES")
+    back = read_shapefiles(spark, folder)
+    return back.groupBy("region", F.col("year").cast("int").alias("year")).agg(
+        F.count(F.lit(1)).alias("parcels"),
+        F.sum(F.expr(G.polygon_area("rings"))).alias("drawn_m2"),
+        F.sum("area_m2").alias("area_m2"),
+        F.round(F.sum("declared"), 6).alias("declared_ha"),
+        F.count_distinct("CODE_GROUP").alias("codes"),
+        F.max("srid").alias("srid"),
+    )
+
+
+def geojson_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    folder = shared_folder(spark)
+    tables.write_features(data.parcels(spark, sf).select("parcel_id", "CODE_GROUP", "rings"), folder, "geojson")
+    feature = F.from_json(
+        "value",
+        "geometry struct<coordinates:array<array<array<array<double>>>>>, "
+        "properties struct<parcel_id:string,CODE_GROUP:string>",
+    )
+    back = spark.read.text(folder).select(feature.alias("f")).select("f.*")
+    corners = "transform(flatten(geometry.coordinates), r -> transform(r, p -> struct(p[0] AS x, p[1] AS y)))"
+    return back.select("properties.*", F.expr(G.polygon_area(corners)).alias("area_m2"))
+
+
+def wkb_features(spark: SparkSession, sf: str) -> DataFrame:
+    wkb = tables.with_wkb(data.parcels(spark, sf).select("parcel_id", "rings"))
+    return wkb.select("parcel_id", F.octet_length("wkb").alias("bytes"), F.hex(F.substring("wkb", 1, 9)).alias("head"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -404,5 +453,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         sample_exact,
         sample_hundred,
         sample_layer,
+        prepared_roundtrip,
+        shapefile_roundtrip,
+        geojson_roundtrip,
+        wkb_features,
     )
 }

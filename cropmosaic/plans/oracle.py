@@ -431,4 +431,12 @@ SELECT year, region_code, count(*) AS parcels, {_CHECK} FROM parcels GROUP BY ye
     "sample_layer": f"""WITH {PARCELS}
 SELECT 'parcel' AS layer, parcel_id AS id, "CODE_GROUP", area_m2 FROM ({_SAMPLE.format(n=_TENTH)})
 UNION ALL SELECT 'unit', lpad(CAST(r_regionkey AS VARCHAR), 2, '0'), NULL, 180500.0::DOUBLE FROM region WHERE r_regionkey < 2""",
+    "prepared_roundtrip": f"WITH {COMPILED} SELECT * FROM compiled",
+    "shapefile_roundtrip": f"""WITH {PARCELS}
+SELECT region_code AS region, year, count(*) AS parcels, sum(area_m2) AS drawn_m2, sum(area_m2) AS area_m2,
+       round(sum(surf_parc_ha), 6) AS declared_ha, count(DISTINCT "CODE_GROUP") AS codes, 2154 AS srid
+FROM parcels GROUP BY region_code, year""",
+    "geojson_roundtrip": f"""WITH {PARCELS} SELECT parcel_id, "CODE_GROUP", area_m2 FROM parcels""",
+    "wkb_features": f"""WITH {PARCELS}
+SELECT parcel_id, 9 + 9 + 4 + 5 * 16 AS bytes, '010600000001000000' AS head FROM parcels""",
 }

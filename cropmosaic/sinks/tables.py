@@ -1,9 +1,12 @@
 """Prepared and compiled tables, and geometry in exchange formats."""
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cropmosaic.functions import geometry as G
 from cropmosaic.sources.shapefile import register
@@ -29,28 +32,36 @@ def write_compiled(compiled: DataFrame, path: str) -> None:
     compiled.write.mode("overwrite").parquet(path)
 
 
-@F.pandas_udf("binary")
-def rings_to_wkb(parts: pd.Series) -> pd.Series:
-    """Little-endian WKB MultiPolygon of grouped rings (see geometry.polygon_parts)."""
-
-    def pack(polygons) -> bytes | None:
-        if polygons is None:
-            return None
-        out = [b"\x01", np.array([6, len(polygons)], "<u4").tobytes()]
-        for rings in polygons:
-            out += [b"\x01", np.array([3, len(rings)], "<u4").tobytes()]
-            for ring in rings:
-                out += [np.array([len(ring)], "<u4").tobytes()]
-                out += [np.array([(p["x"], p["y"]) for p in ring], "<f8").tobytes()]
-        return b"".join(out)
-
-    return parts.map(pack)
+def _pack_wkb(polygons: list | None) -> bytes | None:
+    """Little-endian WKB MultiPolygon of rings grouped into polygons."""
+    if polygons is None:
+        return None
+    out = [b"\x01", np.array([6, len(polygons)], "<u4").tobytes()]
+    for rings in polygons:
+        out += [b"\x01", np.array([3, len(rings)], "<u4").tobytes()]
+        for ring in rings:
+            out += [np.array([len(ring)], "<u4").tobytes()]
+            out += [np.array([(p["x"], p["y"]) for p in ring], "<f8").tobytes()]
+    return b"".join(out)
+
+
+def _replace_by_wkb(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Last column packed as WKB, all others passed through."""
+    for batch in batches:
+        packed = pa.array([_pack_wkb(p) for p in batch.column(batch.num_columns - 1).to_pylist()], pa.binary())
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns[:-1], packed], names=[*batch.schema.names[:-1], "wkb"]
+        )
 
 
 def with_wkb(df: DataFrame, rings: str = "rings") -> DataFrame:
     """Rings replaced by a WKB column, cleaned and grouped into polygons on the way."""
-    parts = df.withColumn("_clean", F.expr(G.clean_rings(rings))).withColumn("_parts", F.expr(G.polygon_parts("_clean")))
-    return parts.withColumn("wkb", rings_to_wkb("_parts")).drop("_parts", "_clean", rings)
+    others = [c for c in df.columns if c != rings]
+    parts = df.select(*others, F.expr(G.clean_rings(rings)).alias("_clean")).select(
+        *others, F.expr(G.polygon_parts("_clean")).alias("_parts")
+    )
+    schema = T.StructType([parts.schema[c] for c in others] + [T.StructField("wkb", T.BinaryType())])
+    return parts.mapInArrow(_replace_by_wkb, schema)
 
 
 def geojson_lines(df: DataFrame, rings: str = "rings") -> DataFrame:

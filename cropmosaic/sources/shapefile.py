@@ -165,28 +165,34 @@ class ShapefileReader(DataSourceReader):
         if not partition.path:
             return
         files, inner = _open(partition.path)
-        table_path = _side_file(inner, ".dbf")
-        table = AttributeTable.of(files, table_path)
+        table = AttributeTable.of(files, _side_file(inner, ".dbf"))
         page = (_read_optional(files, _side_file(inner, ".cpg")) or b"").decode("ascii", "replace").strip()
         encoding = self.encoding or {"": "utf-8", "1252": "cp1252", "88591": "latin-1"}.get(page, page)
         srid = _srid(_read_optional(files, _side_file(inner, ".prj")))
-        for first in range(partition.first, partition.last, self.per_batch):
-            last = min(first + self.per_batch, partition.last)
-            index = np.frombuffer(
-                _read(files, _side_file(inner, ".shx"), HEADER_BYTES + 8 * first, 8 * (last - first)), ">i4"
-            ).reshape(-1, 2).astype(np.int64) * 2
-            start = int(index[:, 0].min())
-            content = _read(files, inner, start, int((index[:, 0] + index[:, 1]).max()) + 8 - start)
-            rows = np.frombuffer(
-                _read(files, table_path, table.start + table.width * first, table.width * (last - first)), np.uint8
-            ).reshape(-1, table.width)
-            columns = {"rings": _rings(content, index[:, 0] - start + 8)}
-            columns["srid"] = pa.array([srid] * (last - first), pa.int32())
-            columns["source_path"] = pa.array([partition.path] * (last - first))
-            columns["record"] = pa.array(np.arange(first, last))
-            for field in table.fields:
-                columns[field.name.lower()] = _values(rows, field, encoding)
-            yield self._batch(columns, last - first)
+        with (
+            files.open_input_file(inner) as shapes,
+            files.open_input_file(_side_file(inner, ".shx")) as index,
+            files.open_input_file(_side_file(inner, ".dbf")) as attributes,
+        ):
+            for first in range(partition.first, partition.last, self.per_batch):
+                size = min(first + self.per_batch, partition.last) - first
+                words = np.frombuffer(index.read_at(8 * size, HEADER_BYTES + 8 * first), ">i4")
+                offsets, lengths = words.reshape(-1, 2).astype(np.int64).T * 2
+                start = int(offsets.min())
+                content = shapes.read_at(int((offsets + lengths).max()) + 8 - start, start)
+                rows = np.frombuffer(
+                    attributes.read_at(table.width * size, table.start + table.width * first), np.uint8
+                ).reshape(-1, table.width)
+                columns = {
+                    "rings": _rings(content, offsets - start + 8),
+                    "srid": pa.array([srid] * size, pa.int32()),
+                    "source_path": pa.array([partition.path] * size),
+                    "record": pa.array(np.arange(first, first + size)),
+                }
+                for field in table.fields:
+                    columns[field.name.lower()] = _values(rows, field, encoding)
+                deleted = rows[:, 0] == ord("*")
+                yield self._batch(columns, size).filter(pa.array(~deleted))
 
     def _batch(self, columns: dict, size: int) -> pa.RecordBatch:
         """The requested columns; those a file does not have are NULL."""
