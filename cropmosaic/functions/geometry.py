@@ -180,12 +180,8 @@ def segments_touch(own: str, other: str) -> str:
     return f"coalesce(exists({own}, te -> exists({other}, tf -> {_touch('te', 'tf')})), false)"
 
 
-def self_crossing(rings: str) -> str:
-    """True where the boundary of one feature crosses itself, runs into itself or returns to a vertex.
-
-    Segments are sorted by their left end; each is compared with the later ones only, and
-    those starting beyond its right end fall out at the first comparison.
-    """
+def _crossing_among(segs: str) -> str:
+    """Self-crossing test on the segments of a feature."""
     meets = (
         f"({_boxes_meet('ce', 'cf')} AND ({_cross('ce', 'cf')} "
         f"OR {_on_inside('ce', 'cf.x1', 'cf.y1')} OR {_on_inside('ce', 'cf.x2', 'cf.y2')} "
@@ -195,9 +191,20 @@ def self_crossing(rings: str) -> str:
         "exists(transform(cs, (ce, ci) -> exists(slice(cs, ci + 2, size(cs)), "
         f"cf -> cf.x1 <= ce.x2 AND {meets})), ch -> ch)"
     )
-    starts = f"transform({segments(rings)}, cv -> struct(cv.x1, cv.y1))"
-    repeated = bind("cp", starts, "size(array_distinct(cp)) < size(cp)")
-    return f"coalesce({repeated} OR {bind('cs', _forward(segments(rings)), crossing)}, false)"
+    repeated = (
+        "exists(transform(cp, (cq, cj) -> cj > 0 AND cq = get(cp, cj - 1)), ch -> ch)"
+    )
+    starts = f"array_sort(transform({segs}, cv -> struct(cv.x1, cv.y1)))"
+    return f"coalesce({bind('cp', starts, repeated)} OR {bind('cs', _forward(segs), crossing)}, false)"
+
+
+def self_crossing(rings: str) -> str:
+    """True where the boundary of one feature crosses itself, runs into itself or returns to a vertex.
+
+    Segments are sorted by their left end; each is compared with the later ones only, and
+    those starting beyond its right end fall out at the first comparison.
+    """
+    return bind("cg", segments(rings), _crossing_among("cg"))
 
 
 # ---------------------------------------------------------------- repair
@@ -248,29 +255,26 @@ def clean_rings(rings: str) -> str:
 # ---------------------------------------------------------------- edges and overlap
 
 
+def _oriented_of(segs: str) -> str:
+    edges = (
+        f"transform(filter({segs}, ou -> ou.x1 != ou.x2), oe -> CASE WHEN oe.x2 < oe.x1 "
+        "THEN struct(oe.x2 AS x1, oe.y2 AS y1, oe.x1 AS x2, oe.y1 AS y2, 1 AS s) "
+        "ELSE struct(oe.x1 AS x1, oe.y1 AS y1, oe.x2 AS x2, oe.y2 AS y2, -1 AS s) END)"
+    )
+    turned = "transform(od, ov -> struct(ov.x1 AS x1, ov.y1 AS y1, ov.x2 AS x2, ov.y2 AS y2, -ov.s AS s))"
+    return bind("od", edges, f"CASE WHEN {edges_area('od', 'get(od, 0).y1')} < 0 THEN {turned} ELSE od END")
+
+
 def oriented_edges(rings: str) -> str:
     """Signed x-monotone edges of a valid polygon; either overall orientation is accepted."""
-    edge = (
-        "CASE WHEN oe.x2 < oe.x1 THEN struct(oe.x2 AS x1, oe.y2 AS y1, oe.x1 AS x2, oe.y1 AS y2, ot AS s) "
-        "ELSE struct(oe.x1 AS x1, oe.y1 AS y1, oe.x2 AS x2, oe.y2 AS y2, -ot AS s) END"
-    )
-    upright = f"filter({segments(rings)}, ou -> ou.x1 != ou.x2)"
-    turn = f"CASE WHEN {signed_area(rings)} < 0 THEN -1 ELSE 1 END"
-    return bind("ot", turn, f"transform({upright}, oe -> {edge})")
+    return _oriented_of(segments(rings))
 
 
 def _y_at(e: str, x: str) -> str:
     return f"({e}.y1 + ({x} - {e}.x1) / ({e}.x2 - {e}.x1) * ({e}.y2 - {e}.y1))"
 
 
-def even_odd_edges(rings: str) -> str:
-    """Signed edges of a possibly invalid polygon, read by the even-odd rule.
-
-    Edges are cut where another edge crosses or ends on them; each piece is a top when an
-    odd number of pieces lies below its middle. Ring orientation plays no part, and a figure
-    of eight becomes its two lobes. Of pieces lying on each other the earlier one counts as
-    lower, so that a doubled boundary is one top and one bottom.
-    """
+def _even_odd_of(segs: str) -> str:
     cross_x = (
         "ve.x1 + (ve.x2 - ve.x1) * ((vf.x1 - ve.x1) * (vf.y2 - vf.y1) - (vf.y1 - ve.y1) * (vf.x2 - vf.x1)) "
         "/ ((ve.x2 - ve.x1) * (vf.y2 - vf.y1) - (ve.y2 - ve.y1) * (vf.x2 - vf.x1))"
@@ -303,14 +307,26 @@ def even_odd_edges(rings: str) -> str:
         "transform(vc, (vp, vk) -> struct(vp.x1 AS x1, vp.y1 AS y1, vp.x2 AS x2, vp.y2 AS y2, "
         f"CASE WHEN {below} % 2 = 1 THEN 1 ELSE -1 END AS s))"
     )
-    return bind("vs", _forward(segments(rings)), bind("vc", cut, signed))
+    return bind("vs", _forward(segs), bind("vc", cut, signed))
+
+
+def even_odd_edges(rings: str) -> str:
+    """Signed edges of a possibly invalid polygon, read by the even-odd rule.
+
+    Edges are cut where another edge crosses or ends on them; each piece is a top when an
+    odd number of pieces lies below its middle. Ring orientation plays no part, and a figure
+    of eight becomes its two lobes. Of pieces lying on each other the earlier one counts as
+    lower, so that a doubled boundary is one top and one bottom.
+    """
+    return _even_odd_of(segments(rings))
 
 
 def valid_edges(rings: str) -> str:
     """Signed edges after repair: plain single rings as drawn, all others by the even-odd rule."""
-    return (
-        f"CASE WHEN size({rings}) > 1 OR {self_crossing(rings)} THEN {even_odd_edges(rings)} "
-        f"ELSE {oriented_edges(rings)} END"
+    return bind(
+        "gv",
+        segments(rings),
+        f"CASE WHEN size({rings}) > 1 OR {_crossing_among('gv')} THEN {_even_odd_of('gv')} ELSE {_oriented_of('gv')} END",
     )
 
 

@@ -22,6 +22,7 @@ def salted_join(
     spread_by: list[str],
     how: str = "left",
     shares: int = 1000,
+    condition: Column | None = None,
 ) -> DataFrame:
     """Equi-join in which a hot key of the left side is spread over many tasks.
 
@@ -53,7 +54,17 @@ def salted_join(
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)))
         .drop("_salts")
     )
-    return dealt.join(repeated, [*on, "_salt"], how).drop("_salt")
+    return _join(dealt, repeated, [*on, "_salt"], how, condition).drop("_salt")
+
+
+def _join(left: DataFrame, right: DataFrame, on: list[str], how: str, condition: Column | None) -> DataFrame:
+    """Join on equal columns and a further condition, keeping the left key columns."""
+    if condition is None:
+        return left.join(right, on, how)
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in on})
+    for k in on:
+        condition = condition & (F.col(k) == F.col(f"_right_{k}"))
+    return left.join(renamed, condition, how).drop(*[f"_right_{k}" for k in on])
 
 
 def sized_join(
@@ -64,8 +75,9 @@ def sized_join(
     how: str = "left",
     row_bytes: Column | int = 256,
     limit: int = BROADCAST_BYTES,
+    condition: Column | None = None,
 ) -> DataFrame:
     """Broadcast the right side when its measured size allows, else join with salted hot keys."""
     if fits_broadcast(right, row_bytes, limit):
-        return left.join(F.broadcast(right), on, how)
-    return salted_join(left, right, on, spread_by, how)
+        return _join(left, F.broadcast(right), on, how, condition)
+    return salted_join(left, right, on, spread_by, how, condition=condition)

@@ -103,7 +103,7 @@ def _clamped_pieces(size: float) -> str:
 def unit_tiles(
     units: DataFrame, size: float, unit: str = "geo_unit", contact: bool = False, path: str | None = None
 ) -> DataFrame:
-    """Units clipped to the grid: unit, cx, cy, tile (signed edges), full, segs.
+    """Units clipped to the grid: unit, cx, cy, tile (signed edges), its box tx1 ... ty2, full, segs.
 
     A piece of the boundary counts in every cell of its strip: above or below the cell it
     is flattened onto the cell side. Flat pieces of one height are stored as steps at their
@@ -183,7 +183,14 @@ def _build_tiles(units: DataFrame, size: float, unit: str, contact: bool) -> Dat
     )
     return (
         edges.groupBy(unit, *CELL)
-        .agg(F.collect_list("edge").alias("tile"), F.collect_list("seg").alias("segs"))
+        .agg(
+            F.collect_list("edge").alias("tile"),
+            F.collect_list("seg").alias("segs"),
+            F.min("edge.x1").alias("tx1"),
+            F.max("edge.x2").alias("tx2"),
+            F.min(F.least("edge.y1", "edge.y2")).alias("ty1"),
+            F.max(F.greatest("edge.y1", "edge.y2")).alias("ty2"),
+        )
         .withColumn("full", F.expr(whole))
     )
 
@@ -210,6 +217,7 @@ def _cell_join(
     columns: list[str],
     key: list[str],
     limit: int,
+    condition: Column | None = None,
 ) -> DataFrame:
     """Parcels, one row per cell and unit tile in it; parcels meeting no tile stay.
 
@@ -218,7 +226,7 @@ def _cell_join(
     """
     shaped = parcels.select(*columns, F.expr(G.bbox("rings")).alias("box"), *shape)
     return sized_join(
-        grid_cells(shaped, size, keep_empty=True), tiles, CELL, key, "left", _tile_bytes(), limit
+        grid_cells(shaped, size, keep_empty=True), tiles, CELL, key, "left", _tile_bytes(), limit, condition
     )
 
 
@@ -237,9 +245,15 @@ def overlaps(
     """
     columns = list(dict.fromkeys([*key, *keep]))
     edges = F.expr(G.valid_edges("rings")).alias("_edges")
-    joined = _cell_join(parcels, [edges], tiles, size, columns, key, limit)
+    boxes_overlap = (
+        (F.col("box.xmin") < F.col("tx2"))
+        & (F.col("tx1") < F.col("box.xmax"))
+        & (F.col("box.ymin") < F.col("ty2"))
+        & (F.col("ty1") < F.col("box.ymax"))
+    )
+    joined = _cell_join(parcels, [edges], tiles, size, columns, key, limit, boxes_overlap)
     area = (
-        F.when(F.col(unit).isNull() | (F.size("tile") == 0), F.lit(None).cast("double"))
+        F.when(F.col(unit).isNull(), F.lit(None).cast("double"))
         .when(F.col("full") & _box_in_cell("box", size), F.expr(G.edges_area("_edges", "box.ymin")))
         .otherwise(F.expr(G.overlap_area("_edges", "tile")))
     )
