@@ -15,7 +15,7 @@ def strip_trailing_newline(url: Column) -> Column:
 
 def first_of(text: Column, words: list[str]) -> Column:
     """Earliest of the given words found in the text, NULL if none is."""
-    return F.regexp_substr(text, F.lit("|".join(words)))
+    return F.get(F.regexp_extract_all(text, F.lit("(" + "|".join(words) + ")"), F.lit(1)), F.lit(0))
 
 
 def clean_number(text: Column) -> Column:

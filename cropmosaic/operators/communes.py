@@ -32,7 +32,7 @@ def commune_crop(assigned: DataFrame, units: DataFrame, labels: DataFrame, regio
         F.when(all_known, F.sum("_area").over(unit)).alias("surf_agri_geo_unit_m2"),
         F.sum("parcel_cult_n").over(unit).alias("_parcels"),
     )
-    named = add_labels(totals, labels).join(
+    named = add_labels(totals, labels, [*DELIVERY, "geo_unit"]).join(
         units.select("geo_unit", F.col("nom").alias("name"), (F.col("surf_ha") * 10000).alias("surf_tot_geo_unit_m2")),
         "geo_unit",
         "left",

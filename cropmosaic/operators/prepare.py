@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from cropmosaic.functions import geometry as G
 from cropmosaic.functions.text import strip_leading_zero
+from cropmosaic.operators.skew import sized_join
 from cropmosaic.schemas import extra_labels
 
 PARCEL_KEY = ["year", "region_code", "parcel_id"]
@@ -83,6 +84,10 @@ def crop_label_dim(crop_groups: DataFrame) -> DataFrame:
     return published.unionByName(extra_labels(crop_groups.sparkSession))
 
 
-def add_labels(df: DataFrame, labels: DataFrame) -> DataFrame:
-    """Left join on the group code. Spark broadcasts the labels by their size on its own."""
-    return df.join(labels.select("CODE_GROUP", "cult_label"), "CODE_GROUP", "left")
+def add_labels(df: DataFrame, labels: DataFrame, spread_by: list[str] | None = None) -> DataFrame:
+    """Left join on the group code.
+
+    The labels are broadcast when their measured size allows. Otherwise rows of a frequent
+    code are spread by the columns in `spread_by` (all, unless named).
+    """
+    return sized_join(df, labels.select("CODE_GROUP", "cult_label"), ["CODE_GROUP"], spread_by or df.columns)

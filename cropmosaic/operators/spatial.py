@@ -101,7 +101,12 @@ def _clamped_pieces(size: float) -> str:
 
 
 def unit_tiles(
-    units: DataFrame, size: float, unit: str = "geo_unit", contact: bool = False, path: str | None = None
+    units: DataFrame,
+    size: float,
+    unit: str = "geo_unit",
+    contact: bool = False,
+    repair: bool = False,
+    path: str | None = None,
 ) -> DataFrame:
     """Units clipped to the grid: unit, cx, cy, tile (signed edges), its box tx1 ... ty2, full, segs.
 
@@ -109,20 +114,25 @@ def unit_tiles(
     is flattened onto the cell side. Flat pieces of one height are stored as steps at their
     start, steps at the same x add up and mostly vanish, so a cell inside the unit is left
     with two edges and one outside with none. With `contact`, `segs` are the boundary
-    segments reaching into the cell as drawn, as contact tests need them.
+    segments reaching into the cell as drawn, as contact tests need them. Outlines are read
+    as drawn, shells against holes, in time linear in their corners; `repair` reads them by
+    the even-odd rule first, for outlines that cross themselves.
 
     The tiles are written once, to `path` or to the shared working folder, and serve any
     number of joins; give a path to keep them.
     """
-    return stored(_build_tiles(units, size, unit, contact), path)
+    return stored(_build_tiles(units, size, unit, contact, repair), path)
 
 
-def _build_tiles(units: DataFrame, size: float, unit: str, contact: bool) -> DataFrame:
+def _build_tiles(units: DataFrame, size: float, unit: str, contact: bool, repair: bool) -> DataFrame:
     width = G.number(size)
     low, high, right = f"(cy * {width})", f"((cy + 1) * {width})", f"((cx + 1) * {width})"
     base = units.filter(F.size("rings") > 0).select(unit, "rings")
+    edges_of = G.valid_edges if repair else G.oriented_edges
 
-    # one row per edge and strip of cells it runs through, then per cell of that strip
+    # One row per edge and strip of cells it runs through, then per cell of that strip. Strips
+    # are dealt out in between: a long outline is worked on by many tasks, and both groupings
+    # below find their rows in place.
     def y_at(x: str) -> str:
         return (
             f"CASE WHEN {x} = e.x1 THEN e.y1 WHEN {x} = e.x2 THEN e.y2 "
@@ -131,8 +141,9 @@ def _build_tiles(units: DataFrame, size: float, unit: str, contact: bool) -> Dat
 
     from_x, to_x = f"greatest(e.x1, cx * {width})", f"least(e.x2, {right})"
     pieces = (
-        base.select(unit, F.expr(G.bbox("rings")).alias("box"), F.explode(F.expr(G.valid_edges("rings"))).alias("e"))
+        base.select(unit, F.expr(G.bbox("rings")).alias("box"), F.explode(F.expr(edges_of("rings"))).alias("e"))
         .select("*", F.expr(f"explode(sequence(floor(e.x1 / {width}), floor(e.x2 / {width})))").alias("cx"))
+        .repartition(unit, "cx")
         .select(
             unit,
             "cx",

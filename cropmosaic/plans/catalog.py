@@ -56,7 +56,7 @@ def normalized_parcels(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def labelled_parcels(spark: SparkSession, sf: str) -> DataFrame:
-    labelled = prepare.add_labels(data.parcels(spark, sf), data.labels(spark, sf))
+    labelled = prepare.add_labels(data.parcels(spark, sf), data.labels(spark, sf), ["parcel_id"])
     return labelled.groupBy("CODE_GROUP", "cult_label").agg(F.count(F.lit(1)).alias("n"))
 
 

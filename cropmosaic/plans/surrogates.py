@@ -131,10 +131,11 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 def file_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One download link per order; some name an unknown region, every second year is absent."""
     codes = "array('R84', 'R27', 'R53', 'R24', 'R94', 'R44', 'R32', 'R11', 'R28', 'R75', 'R76', 'R52', 'R93', 'D01')"
-    return table(spark, sf_dir, "orders").select(
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("year"))
+    return spread(orders, "o_orderkey").select(
         F.expr(
             f"concat('https://example.org/parcels/', {codes}[o_custkey % 14], '-', "
-            "CAST(2007 + (year(o_orderdate) - 1995) * 2 AS STRING), '_', CAST(o_orderkey AS STRING), '.7z\\n')"
+            "CAST(2007 + (year - 1995) * 2 AS STRING), '_', CAST(o_orderkey AS STRING), '.7z\\n')"
         ).alias("url")
     )
 

@@ -85,10 +85,16 @@ EXTRA_LABELS = [
 ]
 
 
+def _literal_table(spark: SparkSession, rows: list[tuple[str, str]], columns: str) -> DataFrame:
+    """Fixed rows as inline VALUES, whose size Spark knows: joins with them are broadcast unasked."""
+    quoted = ", ".join("(" + ", ".join("'" + v.replace("'", "\\'") + "'" for v in row) + ")" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {quoted} AS t({columns})")
+
+
 def region_dim(spark: SparkSession) -> DataFrame:
     """The 13 regions: region_name, region_code."""
-    return spark.createDataFrame(REGIONS, "region_name string, region_code string")
+    return _literal_table(spark, REGIONS, "region_name, region_code")
 
 
 def extra_labels(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(EXTRA_LABELS, "CODE_GROUP string, cult_label string")
+    return _literal_table(spark, EXTRA_LABELS, "CODE_GROUP, cult_label")

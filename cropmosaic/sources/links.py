@@ -45,7 +45,8 @@ def link_catalog(
     """region_name, region_code, year, url for the links naming a region, by year and region.
 
     Region and year are the first of the known codes and years found in the url; a link
-    without a known year stays, unnamed.
+    without a known year stays, unnamed. The url ends the sort key, so that a region and
+    year with very many links is still spread over the sorted ranges.
     """
     codes = [code for _, code in REGIONS]
     years = [str(y) for y in range(first, last + 1)]
@@ -57,7 +58,7 @@ def link_catalog(
     return (
         tagged.join(grid, ["region_code", "year"], "left")
         .select("region_name", "region_code", "year", strip_trailing_newline(F.col("url")).alias("url"))
-        .orderBy("year", "region_name")
+        .orderBy("year", "region_name", "url")
     )
 
 
