@@ -36,14 +36,17 @@ def map_table(compiled: DataFrame, units: DataFrame) -> DataFrame:
     return attach_geometry(compiled, units).select(*MAP_COLUMNS, "rings")
 
 
-def choropleth_table(compiled: DataFrame, units: DataFrame, year: int, value: str = "top_crop") -> DataFrame:
+def choropleth_table(
+    compiled: DataFrame, units: DataFrame, year: int, value: str = "top_crop", keys: tuple[str, ...] = ("geo_unit",)
+) -> DataFrame:
     """Outlines coloured by the leading crop or by the Shannon index of one year.
 
-    The figures are reduced to one row per unit before they meet the heavy outlines.
+    The figures are reduced to the rows to draw before they meet the heavy outlines.
+    keys=("name",) ranks crops among all communes of the same name.
     """
     rows = compiled.filter(F.col("year") == year)
     if value == "top_crop":
-        colours = top_crop(rows, ["geo_unit"]).select("geo_unit", "name", "cult_label")
+        colours = top_crop(rows, list(keys)).select("geo_unit", "name", "cult_label")
     elif value == "shannon":
         colours = diversity(rows, ["geo_unit"], "surf_cult_perc").select("geo_unit", "shannon_diversity")
     else:

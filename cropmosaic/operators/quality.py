@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cropmosaic.functions import geometry as G
+from cropmosaic.functions.aggregates import strict_sum
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -17,13 +18,16 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 
 def area_check(parcels: DataFrame, keys: list[str] = ()) -> DataFrame:
-    """Computed against declared area in square metres, in total or per delivery."""
+    """Computed against declared area in square metres, in total or per delivery.
+
+    A single missing area leaves its sum unknown.
+    """
     return (
         parcels.groupBy(*keys)
         .agg(
             F.count(F.lit(1)).alias("parcels"),
-            F.sum("area_m2").alias("computed_m2"),
-            (F.sum("surf_parc_ha") * 10000).alias("declared_m2"),
+            strict_sum(F.col("area_m2")).alias("computed_m2"),
+            (strict_sum(F.col("surf_parc_ha")) * 10000).alias("declared_m2"),
         )
         .withColumn("difference_m2", F.col("computed_m2") - F.col("declared_m2"))
     )

@@ -333,6 +333,13 @@ def choropleth_top_crop(spark: SparkSession, sf: str) -> DataFrame:
     return _outline(charts.choropleth_table(compiled(spark, sf), data.communes(spark, sf), REPORT_YEAR))
 
 
+def choropleth_top_crop_by_name(spark: SparkSession, sf: str) -> DataFrame:
+    table = charts.choropleth_table(
+        saved_compiled(spark, sf), data.communes(spark, sf), REPORT_YEAR, keys=("name",)
+    )
+    return _outline(table)
+
+
 def choropleth_shannon(spark: SparkSession, sf: str) -> DataFrame:
     table = charts.choropleth_table(compiled(spark, sf), data.communes(spark, sf), REPORT_YEAR, "shannon")
     return _rounded(_outline(table), "shannon_diversity")
@@ -416,6 +423,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         diversity_share,
         attach_geometry,
         choropleth_top_crop,
+        choropleth_top_crop_by_name,
         choropleth_shannon,
         evolution_table,
         diversity_by_year,

@@ -339,6 +339,11 @@ FROM compiled k JOIN communes c ON k.geo_unit = c.geo_unit""",
 SELECT k.geo_unit, name, cult_label, CAST(w * h AS DOUBLE) AS outline_m2, CAST(x0 AS DOUBLE) AS xmin
 FROM (SELECT *, rank() OVER (PARTITION BY geo_unit ORDER BY surf_cult_perc DESC) AS r
       FROM compiled WHERE year = {REPORT_YEAR}) k
+JOIN communes c ON k.geo_unit = c.geo_unit WHERE r = 1""",
+    "choropleth_top_crop_by_name": f"""WITH {COMPILED}
+SELECT k.geo_unit, name, cult_label, CAST(w * h AS DOUBLE) AS outline_m2, CAST(x0 AS DOUBLE) AS xmin
+FROM (SELECT *, rank() OVER (PARTITION BY name ORDER BY surf_cult_perc DESC) AS r
+      FROM compiled WHERE year = {REPORT_YEAR}) k
 JOIN communes c ON k.geo_unit = c.geo_unit WHERE r = 1""",
     "choropleth_shannon": f"""WITH {_diversity('surf_cult_perc')}
 SELECT i.geo_unit, abs(round(shannon, 6)) AS shannon_diversity, CAST(w * h AS DOUBLE) AS outline_m2, CAST(x0 AS DOUBLE) AS xmin

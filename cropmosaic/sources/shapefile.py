@@ -15,6 +15,7 @@ import struct
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -281,8 +282,9 @@ class ShapefileWriter(DataSourceArrowWriter):
         files, root = _open(self.path)
         folders, part = [], _Part(self)
         for batch in iterator:
-            for row in batch.to_pylist():
-                part.add(row)
+            columns = [batch.column(f.name).to_pylist() for f in part.columns]
+            for shape, values in zip(_polygons(batch.column("rings")), zip(*columns) if columns else repeat(())):
+                part.add(shape, values)
                 if part.bytes > self.max_bytes:
                     folders.append(part.save(files, root))
                     part = _Part(self)
@@ -311,6 +313,18 @@ class ShapefileWriter(DataSourceArrowWriter):
             files.delete_dir(staging)
 
 
+def _polygons(rings: pa.ListArray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Per feature the first point of each ring and the points; both empty without geometry."""
+    lists = rings.values
+    points = lists.values
+    xy = np.column_stack([points.field(c).to_numpy(zero_copy_only=False) for c in "xy"]).astype("<f8")
+    ring_ends, point_ends = rings.offsets.to_numpy(), lists.offsets.to_numpy()
+    for i, missing in enumerate(rings.is_null().to_pylist()):
+        start, end = ring_ends[i], ring_ends[i] if missing else ring_ends[i + 1]
+        at = point_ends[start : end + 1]
+        yield at[:-1] - at[0], xy[at[0] : at[-1]]
+
+
 def short_names(names: list[str]) -> list[str]:
     """Column names cut to the ten characters the format allows, numbered where they collide."""
     taken: list[str] = []
@@ -333,23 +347,22 @@ class _Part:
         self.next_offset = HEADER_BYTES
         self.box = [np.inf, np.inf, -np.inf, -np.inf]
 
-    def add(self, row: dict) -> None:
-        content = self._shape(row["rings"])
+    def add(self, shape: tuple[np.ndarray, np.ndarray], values: tuple) -> None:
+        content = self._shape(*shape)
         self.records += 1
         self.shp.append(struct.pack(">2i", self.records, len(content) // 2) + content)
         self.shx.append(struct.pack(">2i", self.next_offset // 2, len(content) // 2))
-        self.dbf.append(b" " + b"".join(self._cell(row[f.name], f) for f in self.columns))
+        self.dbf.append(b" " + b"".join(map(self._cell, values, self.columns)))
         self.next_offset += len(self.shp[-1])
         self.bytes += len(self.shp[-1]) + len(self.dbf[-1])
 
-    def _shape(self, rings: list | None) -> bytes:
-        if not rings:
+    def _shape(self, first: np.ndarray, xy: np.ndarray) -> bytes:
+        """Record content: where each ring begins, then all points."""
+        if not len(first):
             return struct.pack("<i", 0)
-        xy = np.array([(p["x"], p["y"]) for ring in rings for p in ring], dtype="<f8")
-        first = np.cumsum([0] + [len(ring) for ring in rings[:-1]])
         low, high = xy.min(axis=0), xy.max(axis=0)
         self.box = [min(self.box[0], low[0]), min(self.box[1], low[1]), max(self.box[2], high[0]), max(self.box[3], high[1])]
-        head = struct.pack("<i4d2i", 5, *low, *high, len(rings), len(xy))
+        head = struct.pack("<i4d2i", 5, *low, *high, len(first), len(xy))
         return head + first.astype("<i4").tobytes() + xy.tobytes()
 
     def _kind(self, field: T.StructField) -> tuple[str, int, int]:
