@@ -348,12 +348,12 @@ def _edge_overlap(a: str, b: str) -> str:
     lo, hi = f"greatest({a}.x1, {b}.x1)", f"least({a}.x2, {b}.x2)"
     at_lo = f"{_y_at(a, lo)} - {_y_at(b, lo)}"
     at_hi = f"{_y_at(a, hi)} - {_y_at(b, hi)}"
+    # the one-step aggregate only names the two distances, cheaper than a struct to hold them
     distance = (
-        "CASE WHEN wd.l * wd.r >= 0 THEN abs(wd.l) + abs(wd.r) "
-        "ELSE (wd.l * wd.l + wd.r * wd.r) / (abs(wd.l) + abs(wd.r)) END"
+        f"aggregate(array({at_hi}), {at_lo}, (wl, wr) -> CASE WHEN wl * wr >= 0 THEN abs(wl + wr) "
+        "ELSE (wl * wl + wr * wr) / abs(wl - wr) END)"
     )
-    weighted = f"-({a}.s * {b}.s) * ({hi} - {lo}) / 4 * ({distance})"
-    return bind("wd", f"struct({at_lo} AS l, {at_hi} AS r)", weighted)
+    return f"{distance} * ({hi} - {lo}) * -({a}.s * {b}.s) / 4"
 
 
 def overlap_area(a: str, b: str) -> str:
