@@ -132,7 +132,9 @@ def _build_tiles(units: DataFrame, size: float, unit: str, contact: bool, repair
 
     # One row per edge and strip of cells it runs through, then per cell of that strip. Strips
     # are dealt out in between: a long outline is worked on by many tasks, and both groupings
-    # below find their rows in place.
+    # below find their rows in place. The number of tasks is named because the rows are still
+    # few here, and Spark would merge them into fewer tasks than the work ahead deserves.
+    tasks = int(units.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     def y_at(x: str) -> str:
         return (
             f"CASE WHEN {x} = e.x1 THEN e.y1 WHEN {x} = e.x2 THEN e.y2 "
@@ -143,7 +145,7 @@ def _build_tiles(units: DataFrame, size: float, unit: str, contact: bool, repair
     pieces = (
         base.select(unit, F.expr(G.bbox("rings")).alias("box"), F.explode(F.expr(edges_of("rings"))).alias("e"))
         .select("*", F.expr(f"explode(sequence(floor(e.x1 / {width}), floor(e.x2 / {width})))").alias("cx"))
-        .repartition(unit, "cx")
+        .repartition(tasks, unit, "cx")
         .select(
             unit,
             "cx",
