@@ -6,9 +6,10 @@ import pytest
 
 import __spark_entry__ as entry_point
 from check_oracle import compare, duck
+from cropmosaic.plans.catalog import QUERIES
+from cropmosaic.plans.oracle import ORACLE
 
 SF_DIR = os.environ.get("CROPMOSAIC_SF", "/root/testdata/sf0.001")
-QUERIES, ORACLE = entry_point.queries(), entry_point.oracle_sql()
 WITHOUT_SQL = {"repaired_area"}  # tested against brute force in test_geometry
 
 
@@ -27,5 +28,10 @@ def test_query(spark, con, name):
     assert compare(spark, con, SF_DIR, QUERIES[name], ORACLE[name]) is None
 
 
+def test_registered():
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(ORACLE) <= set(entry_point.oracle_sql())
+
+
 def test_entry(spark):
     assert entry_point.entry(spark).count() > 0
