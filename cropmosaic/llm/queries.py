@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cropmosaic.llm import decontamination, mixing, sharding
+from cropmosaic.llm import decontamination, mixing, sharding, simhash
 from cropmosaic.llm.sql import ORACLE  # noqa: F401
 
 
@@ -11,6 +11,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
+    return found.select("doc_id", F.lower(F.hex("bits")).alias("fingerprint"), "component_id")
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -28,6 +33,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_simhash": op2_simhash,
     "op3_mixing": op3_mixing,
     "op8_sharding": op8_sharding,
     "op9_decontamination": op9_decontamination,
