@@ -3,10 +3,25 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cropmosaic.llm import decontamination, mixing, sharding
+from cropmosaic.llm import decontamination, mixing, quality, sharding, simhash
 from cropmosaic.llm.common import stored
 
 
+#: Documents of a lower score are rejected.
+GOOD = 0.3
+
+
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose quality is at least GOOD; empty ones are judged like any other."""
+    model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return docs.withColumn("_score", quality.quality(F.col("text"), model)).filter(F.col("_score") >= GOOD).drop("_score")
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of exact and near copies (5-word shingles, similarity of about 0.8 or more)."""
+    return simhash.keep_one(docs)
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no phrase of the benchmark stands."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
@@ -25,6 +40,8 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality classifier", quality_filter),
+    ("SimHash near-dedup", near_dedup),
     ("benchmark decontamination", decontaminate),
     ("source mixing", mix_sources),
     ("sharding", shard),

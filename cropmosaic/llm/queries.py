@@ -3,7 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cropmosaic.llm import decontamination, mixing, sharding, simhash
+from cropmosaic.llm import decontamination, mixing, quality, sharding, simhash
+from cropmosaic.llm.common import fold
 from cropmosaic.llm.sql import ORACLE  # noqa: F401
 
 
@@ -21,6 +22,13 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, sf_dir, "labels"), held_out=(5, 0))
+    scored = docs.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), quality.quality(F.col("text"), model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_documents(table(spark, sf_dir, "documents"), shards=40)
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
@@ -35,6 +43,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_mixing": op3_mixing,
+    "op6_quality": op6_quality,
     "op8_sharding": op8_sharding,
     "op9_decontamination": op9_decontamination,
 }
