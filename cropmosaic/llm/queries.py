@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cropmosaic.llm import decontamination, mixing, quality, sharding, simhash
+from cropmosaic.llm import ann, decontamination, mixing, quality, sharding, simhash
 from cropmosaic.llm.common import fold
 from cropmosaic.llm.sql import ORACLE  # noqa: F401
 
@@ -40,10 +40,15 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
 
 
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), queries=F.col("id") % 20 == 0, k=20)
+
+
 QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_mixing": op3_mixing,
     "op6_quality": op6_quality,
     "op8_sharding": op8_sharding,
     "op9_decontamination": op9_decontamination,
+    "op10_nearest": op10_nearest,
 }
