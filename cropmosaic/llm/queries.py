@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cropmosaic.llm import ann, decontamination, mixing, quality, sharding, simhash
+from cropmosaic.llm import ann, decontamination, mixing, quality, sharding, simhash, warc
 from cropmosaic.llm.common import fold
 from cropmosaic.llm.sql import ORACLE  # noqa: F401
 
@@ -29,6 +29,17 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = warc.archive_and_read(table(spark, sf_dir, "pages"), least_bytes=0)
+    return read.select(
+        F.col("page_id").try_cast("long").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").try_cast("long").alias("refers_to"),
+    )
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_documents(table(spark, sf_dir, "documents"), shards=40)
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
@@ -48,6 +59,7 @@ QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_mixing": op3_mixing,
     "op6_quality": op6_quality,
+    "op7_warc": op7_warc,
     "op8_sharding": op8_sharding,
     "op9_decontamination": op9_decontamination,
     "op10_nearest": op10_nearest,

@@ -73,4 +73,19 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM d LEFT JOIN words USING (n) LEFT JOIN items USING (n)
 """
 
-ORACLE = {"op3_mixing": _MIX, "op8_sharding": _SHARD, "op9_decontamination": _DECONTAMINATION}
+_B32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((cast(('0x' || substr(h, {5 * g + 1}, 5)) AS BIGINT) >> {s}) & 31)::INT + 1, 1)"
+    for g in range(8)
+    for s in (15, 10, 5, 0)
+)
+
+_WARC = f"""
+WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+m AS (SELECT h, min(page_id) AS first FROM p GROUP BY h)
+SELECT page_id, payload_bytes, {_B32} AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM p JOIN m USING (h)
+"""
+
+ORACLE = {"op7_warc": _WARC, "op3_mixing": _MIX, "op8_sharding": _SHARD, "op9_decontamination": _DECONTAMINATION}
