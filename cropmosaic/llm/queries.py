@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cropmosaic.llm import ann, decontamination, mixing, quality, sharding, simhash, warc
+from cropmosaic.llm import ann, decontamination, language_id, mixing, quality, sharding, simhash, url_filter, warc
 from cropmosaic.llm.common import fold
 from cropmosaic.llm.sql import ORACLE  # noqa: F401
 
@@ -22,6 +22,26 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+RULES = [
+    url_filter.Rule("block", "net", "/"),
+    url_filter.Rule("allow", "example.net", "/en/"),
+    url_filter.Rule("block", "example.com", "/de/"),
+    url_filter.Rule("allow", "org", "/fr/"),
+]
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url", "html"), RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.train(docs, held_out=(4, 2))
+    told = docs.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), language_id.predict(F.col("text"), model).alias("p"))
+    return told.select("doc_id", "held_out", F.col("p")["lang"].alias("lang_pred"), F.col("p")["score"].alias("score"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.train(docs, table(spark, sf_dir, "labels"), held_out=(5, 0))
@@ -58,6 +78,8 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_mixing": op3_mixing,
+    "op4_url_filter": op4_url_filter,
+    "op5_language": op5_language,
     "op6_quality": op6_quality,
     "op7_warc": op7_warc,
     "op8_sharding": op8_sharding,
