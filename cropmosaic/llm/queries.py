@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cropmosaic.llm import ann, decontamination, language_id, mixing, quality, sharding, simhash, url_filter, warc
+from cropmosaic.llm import ann, decontamination, language_id, lm_scoring, mixing, quality, sharding, simhash, url_filter, warc
 from cropmosaic.llm.common import fold
 from cropmosaic.llm.sql import ORACLE  # noqa: F401
 
@@ -12,6 +12,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(table(spark, sf_dir, "documents"), held_out=(7, 2))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
     return found.select("doc_id", F.lower(F.hex("bits")).alias("fingerprint"), "component_id")
@@ -76,6 +80,7 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_simhash": op2_simhash,
     "op3_mixing": op3_mixing,
     "op4_url_filter": op4_url_filter,
