@@ -8,7 +8,8 @@ from cropmosaic.functions.text import strip_leading_zero
 from cropmosaic.operators.skew import sized_join
 from cropmosaic.schemas import extra_labels
 
-PARCEL_KEY = ["year", "region_code", "parcel_id"]
+#: A parcel is a feature of a file. Its id alone may be repeated, by other years, regions, or within a file.
+PARCEL_KEY = ["year", "region_code", "parcel_id", "feature"]
 
 
 def _optional(df: DataFrame, names: list[str], kind: str) -> Column:
@@ -21,16 +22,26 @@ def _optional(df: DataFrame, names: list[str], kind: str) -> Column:
 def normalize_parcels(df: DataFrame, kind: str, region_code: Column | None = None, year: Column | None = None) -> DataFrame:
     """Parcels (kind 'pg') or blocks ('ia') as one layout.
 
-    parcel_id, CODE_GROUP, data_type, region_code, year, area_m2, surf_parc_ha, rings. The
-    area is that of the geometry as delivered. Blocks carry the group code in CODE_CULTU and
-    no declared area. Features without an id are left out.
+    parcel_id, feature, CODE_GROUP, data_type, region_code, year, area_m2, surf_parc_ha, rings.
+    `feature` tells features apart that share an id: the place in the file (source_path,
+    record), a column of that name, or else NULL. Outlines are brought to Lambert-93; an
+    unknown or NULL srid is an error, a frame without a srid column is taken to be in metres.
+    The area is that of the outline in metres. Blocks carry the group code in CODE_CULTU and no
+    declared area. Features without an id are left out.
     """
     ids, codes = {
         "pg": (["ID_PARCEL"], ["CODE_GROUP"]),
         "ia": (["NUM_ILOT", "ID_ILOT"], ["CODE_CULTU"]),
     }[kind]
+    if {"source_path", "record"} <= set(df.columns):
+        feature = F.concat_ws("#", "source_path", F.col("record").cast("string"))
+    else:
+        feature = _optional(df, ["feature"], "string")
+    if "srid" in df.columns:
+        df = df.withColumn("rings", F.expr(G.to_lambert93("rings", "srid")))
     return df.select(
         _optional(df, ids, "string").alias("parcel_id"),
+        feature.alias("feature"),
         strip_leading_zero(_optional(df, codes, "string")).alias("CODE_GROUP"),
         F.lit(kind).alias("data_type"),
         (F.col("region_code") if region_code is None else region_code).cast("string").alias("region_code"),

@@ -222,6 +222,19 @@ def _box_in_cell(box: str, size: float) -> Column:
     )
 
 
+def _row_id(parcels: DataFrame) -> Column:
+    """Tells rows apart that are equal in all columns carried along, so that each stays a row of its own.
+
+    Where the frame names its features that is their file and record; else rows are numbered
+    (a frame read from files or a table is numbered alike when a lost task is run again).
+    """
+    if "feature" in parcels.columns:
+        number = F.coalesce("feature", F.monotonically_increasing_id().cast("string"))
+    else:
+        number = F.monotonically_increasing_id()
+    return number.alias("_row")
+
+
 def _cell_join(
     parcels: DataFrame,
     shape: list[Column],
@@ -237,13 +250,13 @@ def _cell_join(
     `shape` holds what is needed of the geometry, computed once per parcel before it is
     repeated for its cells.
     """
-    shaped = parcels.select(*columns, F.expr(G.bbox("rings")).alias("box"), *shape)
+    shaped = parcels.select(*columns, _row_id(parcels), F.expr(G.bbox("rings")).alias("box"), *shape)
     return sized_join(
         grid_cells(shaped, size, keep_empty=True), tiles, CELL, key, "left", _tile_bytes(), limit, condition
     )
 
 
-def overlaps(
+def _overlaps(
     parcels: DataFrame,
     tiles: DataFrame,
     size: float,
@@ -252,7 +265,7 @@ def overlaps(
     unit: str = "geo_unit",
     limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """key, keep, unit, overlap_m2: one row per parcel and unit near it, or one with NULLs.
+    """overlaps() with the row's number and the area drawn.
 
     The joined rows move once, to the parcel's own partition, and carry no geometry there.
     """
@@ -264,14 +277,32 @@ def overlaps(
         & (F.col("box.ymin") < F.col("ty2"))
         & (F.col("ty1") < F.col("box.ymax"))
     )
-    joined = _cell_join(parcels, [edges], tiles, size, columns, key, limit, boxes_overlap)
+    drawn = F.expr(G.polygon_area("rings")).alias("_drawn")
+    joined = _cell_join(parcels, [edges, drawn], tiles, size, columns, key, limit, boxes_overlap)
     area = (
         F.when(F.col(unit).isNull(), F.lit(None).cast("double"))
         .when(F.col("full") & _box_in_cell("box", size), F.expr(G.edges_area("_edges", "box.ymin")))
         .otherwise(F.expr(G.overlap_area("_edges", "tile")))
     )
-    moved = joined.select(*columns, unit, area.alias("_area")).repartition(*[F.col(k) for k in key])
-    return moved.groupBy(*columns, unit).agg(F.sum("_area").alias("overlap_m2"))
+    moved = joined.select(*columns, "_row", "_drawn", unit, area.alias("_area")).repartition(*[F.col(k) for k in key])
+    return moved.groupBy(*columns, "_row", unit).agg(F.sum("_area").alias("overlap_m2"), F.max("_drawn").alias("_drawn"))
+
+
+def overlaps(
+    parcels: DataFrame,
+    tiles: DataFrame,
+    size: float,
+    key: list[str],
+    keep: list[str] = (),
+    unit: str = "geo_unit",
+    limit: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """key, keep, unit, overlap_m2: one row per parcel and unit near it, or one with NULLs."""
+    return _overlaps(parcels, tiles, size, key, keep, unit, limit).drop("_row", "_drawn")
+
+
+#: Part of a parcel's area below which an overlap is rounding error of the sums.
+SLIVER = 1e-11
 
 
 def join_largest(
@@ -285,21 +316,22 @@ def join_largest(
 ) -> DataFrame:
     """Each parcel with the one unit it overlaps most, NULL if it overlaps none.
 
-    `key` identifies a parcel, `keep` are further columns to carry along. Overlaps are
-    compared to the square millimetre, so that rounding does not decide; of equal ones the
+    Every row of `parcels` gives one row, whatever its key; `key` says where it is moved to,
+    `keep` are further columns to carry along. Any overlap above rounding error counts. Overlaps
+    are compared to the square millimetre, so that rounding does not decide; of equal ones the
     smallest unit wins.
     """
     columns = list(dict.fromkeys([*key, *keep]))
     rounded = F.round("overlap_m2", 6)
     best = F.min(
         F.when(
-            rounded > 0,
+            F.col("overlap_m2") > F.lit(SLIVER) * F.col("_drawn"),
             F.struct((-rounded).alias("o"), F.col(unit).alias("u"), F.col("overlap_m2").alias("area")),
         )
     )
     return (
-        overlaps(parcels, tiles, size, key, keep, unit, limit)
-        .groupBy(*columns)
+        _overlaps(parcels, tiles, size, key, keep, unit, limit)
+        .groupBy(*columns, "_row")
         .agg(best.alias("_best"))
         .select(*columns, F.col("_best.u").alias(unit), F.col("_best.area").alias("overlap_m2"))
     )
@@ -322,18 +354,19 @@ def join_intersects(
     shape = [
         F.expr(G.contact_segments("rings")).alias("_segs"),
         F.expr(G.valid_edges("rings")).alias("_edges"),
+        F.expr(G.polygon_area("rings")).alias("_drawn"),
     ]
     joined = _cell_join(parcels, shape, tiles, size, columns, key, limit)
     hit = (
         F.when(F.col(unit).isNull(), F.lit(False))
         .when(F.col("full") & _box_in_cell("box", size), F.lit(True))
         .when(F.expr(G.segments_touch("_segs", "segs")), F.lit(True))
-        .otherwise(F.expr(G.overlap_area("_edges", "tile")) > 1e-9)
+        .otherwise(F.expr(G.overlap_area("_edges", "tile")) > F.lit(SLIVER) * F.col("_drawn"))
     )
-    moved = joined.select(*columns, F.when(hit, F.col(unit)).alias(unit)).repartition(*[F.col(k) for k in key])
+    moved = joined.select(*columns, "_row", F.when(hit, F.col(unit)).alias(unit)).repartition(*[F.col(k) for k in key])
     # collect_set holds the distinct units touched by one parcel, at most the units near it
     return (
-        moved.groupBy(*columns)
+        moved.groupBy(*columns, "_row")
         .agg(F.collect_set(unit).alias("_units"))
         .select(*columns, F.explode_outer("_units").alias(unit))
     )

@@ -52,7 +52,7 @@ def _rounded(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def normalized_parcels(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded(data.parcels(spark, sf).drop("rings"), "area_m2", "surf_parc_ha")
+    return _rounded(data.parcels(spark, sf).drop("rings", "feature"), "area_m2", "surf_parc_ha")
 
 
 def labelled_parcels(spark: SparkSession, sf: str) -> DataFrame:
@@ -102,7 +102,7 @@ def missing_files(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def layer_choice(spark: SparkSession, sf: str) -> DataFrame:
-    return layers.pick_layer(data.layer_paths(spark, sf))
+    return layers.pick_layer(data.layer_paths(spark, sf), files="first")
 
 
 # ---------------------------------------------------------------- geometry
@@ -165,6 +165,23 @@ def spatial_intersects(spark: SparkSession, sf: str) -> DataFrame:
     return spatial.join_intersects(data.parcels(spark, sf), tiles, CELL, ["parcel_id"])
 
 
+def _repeated(spark: SparkSession, sf: str) -> DataFrame:
+    """Parcels of which eight in turn share an id, as ids do over years and regions."""
+    return data.parcels(spark, sf).withColumn("parcel_id", F.expr("CAST(CAST(parcel_id AS BIGINT) div 8 AS STRING)"))
+
+
+def repeated_ids_largest(spark: SparkSession, sf: str) -> DataFrame:
+    tiles = spatial.unit_tiles(data.communes(spark, sf), CELL)
+    found = spatial.join_largest(_repeated(spark, sf), tiles, CELL, ["parcel_id"])
+    return found.select("parcel_id", "geo_unit", F.round("overlap_m2", 6).alias("overlap_m2"))
+
+
+def repeated_ids_intersects(spark: SparkSession, sf: str) -> DataFrame:
+    """The shuffle form: no tile table is small enough for a limit of 0."""
+    tiles = spatial.unit_tiles(data.communes(spark, sf), CELL, contact=True)
+    return spatial.join_intersects(_repeated(spark, sf), tiles, CELL, ["parcel_id"], limit=0)
+
+
 def overlap_area(spark: SparkSession, sf: str) -> DataFrame:
     """Exact overlap of every star with every commune it meets."""
     tiles = spatial.unit_tiles(data.communes(spark, sf), CELL)
@@ -449,6 +466,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         candidate_counts,
         spatial_largest,
         spatial_intersects,
+        repeated_ids_largest,
+        repeated_ids_intersects,
         overlap_area,
         star_largest,
         parcels_on_stars,

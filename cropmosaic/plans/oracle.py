@@ -129,9 +129,9 @@ unit_sums AS (
 
 STARS = """
 points AS (
-  SELECT vec_id, i, (vec_id * 37) % 950 + 20 * (1 + abs(CAST(embedding[i] AS DOUBLE))) * cos(2 * pi() * (i - 1) / 64) AS x,
-                    (vec_id * 53) % 950 + 20 * (1 + abs(CAST(embedding[i] AS DOUBLE))) * sin(2 * pi() * (i - 1) / 64) AS y
-  FROM embeddings, range(1, 65) t(i)
+  SELECT vec_id, i, (vec_id * 37) % 950 + 20 * (1 + abs(CAST(embedding[i] AS DOUBLE))) * cos(2 * pi() * (i - 1) / len(embedding)) AS x,
+                    (vec_id * 53) % 950 + 20 * (1 + abs(CAST(embedding[i] AS DOUBLE))) * sin(2 * pi() * (i - 1) / len(embedding)) AS y
+  FROM (SELECT vec_id, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings)
 ),
 steps AS (
   SELECT vec_id, i, x, y,
@@ -307,6 +307,8 @@ FROM (
 _CHECK = """round(sum(area_m2), 2) AS computed_m2, round(sum(surf_parc_ha) * 10000, 2) AS declared_m2,
        round(sum(area_m2) - sum(surf_parc_ha) * 10000, 2) AS difference_m2"""
 
+_SAMPLE_LAYER = """SELECT * FROM (SELECT *, row_number() OVER (
+  ORDER BY md5(year::VARCHAR || '-' || region_code || '-' || parcel_id || '-42')) AS rn FROM parcels) WHERE rn <= {n}"""
 _SAMPLE = """SELECT * FROM (SELECT *, row_number() OVER (ORDER BY md5(parcel_id || '-42')) AS rn FROM parcels)
 WHERE rn <= {n}"""
 _TENTH = "(SELECT round_even(0.1 * count(*), 0) FROM parcels)"
@@ -411,6 +413,11 @@ SELECT candidates, count(*) AS parcels FROM (
     "spatial_largest": f"WITH {ASSIGNED} SELECT parcel_id, geo_unit, round(overlap_m2, 6) AS overlap_m2 FROM assigned",
     "spatial_intersects": f"""WITH {PARCELS}, {COMMUNES}
 SELECT p.parcel_id, c.geo_unit FROM parcels p LEFT JOIN communes c
+  ON p.x0 <= c.x0 + c.w AND c.x0 <= p.x0 + p.w AND p.y0 <= c.y0 + c.h AND c.y0 <= p.y0 + p.h""",
+    "repeated_ids_largest": f"""WITH {ASSIGNED}
+SELECT CAST(o_orderkey // 8 AS VARCHAR) AS parcel_id, geo_unit, round(overlap_m2, 6) AS overlap_m2 FROM assigned""",
+    "repeated_ids_intersects": f"""WITH {PARCELS}, {COMMUNES}
+SELECT CAST(o_orderkey // 8 AS VARCHAR) AS parcel_id, c.geo_unit FROM parcels p LEFT JOIN communes c
   ON p.x0 <= c.x0 + c.w AND c.x0 <= p.x0 + p.w AND p.y0 <= c.y0 + c.h AND c.y0 <= p.y0 + p.h""",
     "overlap_area": f"""WITH {STAR_COMMUNES}
 SELECT vec_id, geo_unit, round(overlap_m2, 5) AS overlap_m2 FROM star_overlap WHERE round(overlap_m2, 5) > 0""",
@@ -434,7 +441,7 @@ SELECT year, region_code, count(*) AS parcels, {_CHECK} FROM parcels GROUP BY ye
     "sample_exact": f"""WITH {PARCELS} SELECT parcel_id, "CODE_GROUP" FROM ({_SAMPLE.format(n=_TENTH)})""",
     "sample_hundred": f"""WITH {PARCELS} SELECT parcel_id, "CODE_GROUP" FROM ({_SAMPLE.format(n=100)})""",
     "sample_layer": f"""WITH {PARCELS}
-SELECT 'parcel' AS layer, parcel_id AS id, "CODE_GROUP", area_m2 FROM ({_SAMPLE.format(n=_TENTH)})
+SELECT 'parcel' AS layer, parcel_id AS id, "CODE_GROUP", area_m2 FROM ({_SAMPLE_LAYER.format(n=_TENTH)})
 UNION ALL SELECT 'unit', lpad(CAST(r_regionkey AS VARCHAR), 2, '0'), NULL, 180500.0::DOUBLE FROM region WHERE r_regionkey < 2""",
     "prepared_roundtrip": f"WITH {COMPILED} SELECT * FROM compiled",
     "shapefile_roundtrip": f"""WITH {PARCELS}

@@ -85,9 +85,9 @@ def stars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """vec_id, rings: one counter-clockwise ring of 64 corners per embedding."""
     radius = "20 * (1 + abs(CAST(embedding[i - 1] AS DOUBLE)))"
     ring = (
-        "transform(sequence(1, 64), i -> struct("
-        f"(vec_id * 37) % 950 + {radius} * cos(2 * pi() * (i - 1) / 64) AS x, "
-        f"(vec_id * 53) % 950 + {radius} * sin(2 * pi() * (i - 1) / 64) AS y))"
+        "transform(sequence(1, size(embedding)), i -> struct("
+        f"(vec_id * 37) % 950 + {radius} * cos(2 * pi() * (i - 1) / size(embedding)) AS x, "
+        f"(vec_id * 53) % 950 + {radius} * sin(2 * pi() * (i - 1) / size(embedding)) AS y))"
     )
     return spread(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "vec_id").select(
         "vec_id", F.expr(f"array({ring})").alias("rings")

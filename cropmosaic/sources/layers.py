@@ -19,23 +19,28 @@ def list_layers(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def pick_layer(paths: DataFrame, folder_pattern: str = FOLDER_PATTERN) -> DataFrame:
-    """One file per delivery: region_code, year, kind, path.
+def pick_layer(paths: DataFrame, folder_pattern: str = FOLDER_PATTERN, files: str = "all") -> DataFrame:
+    """The files of each delivery: region_code, year, kind, path.
 
-    The folder name gives region and year. Parcels win over blocks, then the first path.
+    The folder name gives region and year. Parcels win over blocks. A layer may be split into
+    many files: all are returned, or with files="first" the first path only.
     """
+    if files not in ("all", "first"):
+        raise ValueError("files must be all or first")
     kind = F.lit(None).cast("struct<rank:int,kind:string>")
     for rank, (name, file) in reversed(list(enumerate(LAYER_FILES))):
         found = F.struct(F.lit(rank).alias("rank"), F.lit(name).alias("kind"))
         kind = F.when(F.col("path").endswith(file), found).otherwise(kind)
-    return (
-        paths.select(
-            F.regexp_extract("path", folder_pattern, 1).alias("region_code"),
-            F.regexp_extract("path", folder_pattern, 2).try_cast("int").alias("year"),
-            F.struct(kind.alias("k"), "path").alias("choice"),
-        )
-        .filter(F.col("choice.k").isNotNull() & F.col("year").isNotNull())
-        .groupBy("region_code", "year")
-        .agg(F.min("choice").alias("choice"))
-        .select("region_code", "year", F.col("choice.k.kind").alias("kind"), F.col("choice.path").alias("path"))
-    )
+    found = paths.select(
+        F.regexp_extract("path", folder_pattern, 1).alias("region_code"),
+        F.regexp_extract("path", folder_pattern, 2).try_cast("int").alias("year"),
+        kind.alias("k"),
+        "path",
+    ).filter(F.col("k").isNotNull() & F.col("year").isNotNull())
+    delivery = ["region_code", "year"]
+    if files == "first":
+        chosen = found.groupBy(*delivery).agg(F.min(F.struct("k", "path")).alias("c")).select(*delivery, "c.k", "c.path")
+    else:
+        best = found.groupBy(*delivery).agg(F.min("k.rank").alias("rank"))
+        chosen = found.join(best, delivery).filter(F.col("k.rank") == F.col("rank"))
+    return chosen.select(*delivery, F.col("k.kind").alias("kind"), "path")

@@ -1,6 +1,6 @@
 """Catalogue of parcel files from crawled download pages."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cropmosaic.functions.text import first_of, strip_trailing_newline
@@ -11,23 +11,23 @@ def extract_links(pages: DataFrame, block_pattern: str | None = None) -> DataFra
     """page_id, url of every <a href> inside a list, optionally within one block of the page.
 
     `block_pattern` is a regular expression whose first group is the block. List depth is
-    counted tag by tag, so nested lists are read whole and links outside lists are not read.
+    counted tag by tag, so nested lists are read whole and links outside lists are not read; an
+    end of a list that never began counts for nothing. Values may stand in quotes or bare.
     """
     html = F.col("html") if block_pattern is None else F.regexp_extract("html", block_pattern, 1)
     tags = F.regexp_extract_all(html, F.lit(r"(?is)(<ul\b|</ul\s*>|<a\b[^>]*>)"), F.lit(1))
-    # one walk over the tags: the depth rises and falls with the lists, links inside are kept
-    inside = F.expr(
-        "aggregate(tags, named_struct('depth', 0, 'kept', CAST(array() AS ARRAY<STRING>)), (acc, t) -> named_struct("
-        "'depth', acc.depth + CASE lower(left(t, 3)) WHEN '<ul' THEN 1 WHEN '</u' THEN -1 ELSE 0 END, "
-        "'kept', CASE WHEN acc.depth > 0 AND lower(left(t, 2)) = '<a' THEN concat(acc.kept, array(t)) ELSE acc.kept END"
-        ")).kept"
-    )
-    href = r"""(?is)^<a\b[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)')"""
-    url = F.concat(F.regexp_extract("tag", href, 1), F.regexp_extract("tag", href, 2))
+    tag = F.lower(F.left("tag", F.lit(3)))
+    step = F.when(tag == "<ul", 1).when(tag == "</u", -1).otherwise(0)
+    # the running sum of steps, lifted by its lowest point so far, is the depth that never falls below zero
+    so_far = Window.partitionBy("_page").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    href = r"""(?is)^<a\b[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+    url = F.concat(*[F.regexp_extract("tag", href, i) for i in (1, 2, 3)])
     return (
-        pages.select("page_id", tags.alias("tags"))
-        .select("page_id", F.explode(inside).alias("tag"))
-        .filter(F.col("tag").rlike(href))
+        pages.select("page_id", F.monotonically_increasing_id().alias("_page"), tags.alias("tags"))
+        .select("page_id", "_page", F.posexplode("tags").alias("pos", "tag"))
+        .withColumn("_sum", F.sum(step).over(so_far))
+        .withColumn("_low", F.least(F.lit(0), F.min("_sum").over(so_far)))
+        .filter((F.col("_sum") > F.col("_low")) & F.col("tag").rlike(href))
         .select("page_id", F.replace(url, F.lit("&amp;"), F.lit("&")).alias("url"))
     )
 
@@ -44,11 +44,13 @@ def link_catalog(
 ) -> DataFrame:
     """region_name, region_code, year, url for the links naming a region, by year and region.
 
-    Region and year are the first of the known codes and years found in the url; a link
-    without a known year stays, unnamed. The url ends the sort key, so that a region and
+    Region and year are the first of the grid's codes and of the years found in the url; a link
+    without a known year stays, unnamed, at the end. The url ends the sort key, so that a region and
     year with very many links is still spread over the sorted ranges.
     """
-    codes = [code for _, code in REGIONS]
+    listed = {r["region_code"] for r in grid.select("region_code").distinct().collect()}  # a dimension: one row per region
+    usual = [code for _, code in REGIONS if code in listed]
+    codes = usual + sorted(c for c in listed if c is not None and c not in usual)
     years = [str(y) for y in range(first, last + 1)]
     tagged = links.select(
         "url",
@@ -58,7 +60,7 @@ def link_catalog(
     return (
         tagged.join(grid, ["region_code", "year"], "left")
         .select("region_name", "region_code", "year", strip_trailing_newline(F.col("url")).alias("url"))
-        .orderBy("year", "region_name", "url")
+        .orderBy(F.asc_nulls_last("year"), F.asc_nulls_last("region_name"), "url")
     )
 
 

@@ -92,13 +92,39 @@ def test_pick_layer(spark, tmp_path):
     assert chosen["R27", 2010]["kind"] == "ia"
 
 
+def test_links_after_a_stray_end(spark):
+    pages = [(1, "</ul><ul><li><a href='/1'>1</a></ul>"), (2, "</ul></ul><ul><a href=/2>2</a></ul></ul><ul><a href='/3'>3</a></ul>"), (1, "<ul><a href='/1'>again</a></ul>")]
+    got = links.extract_links(spark.createDataFrame(pages, "page_id int, html string")).collect()
+    assert sorted(map(tuple, got)) == [(1, "/1"), (1, "/1"), (2, "/2"), (2, "/3")]
+
+
+def test_delivery_of_many_files(spark):
+    names = ["d_R84_2015/part-1/PARCELLES_GRAPHIQUES.shp", "d_R84_2015/part-0/PARCELLES_GRAPHIQUES.shp", "d_R84_2015/ILOTS_ANONYMES.shp", "d_R27_2010/ILOTS_ANONYMES.shp"]
+    paths = spark.createDataFrame([(n,) for n in names], "path string")
+    assert {r["path"] for r in layers.pick_layer(paths).collect()} == {names[0], names[1], names[3]}
+    assert {r["path"] for r in layers.pick_layer(paths, files="first").collect()} == {names[1], names[3]}
+
+
+def test_sample_of_repeated_ids(spark):
+    rows = spark.range(1000).selectExpr("id % 100 AS id", "cast(id div 100 AS int) AS year")
+    got = sampling.sample_rows(rows, ["id", "year"], fraction=0.1)
+    assert got.count() == 100 and got.select("id").distinct().count() > 40
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, sampling.sample_rows(rows.repartition(5), ["id", "year"], fraction=0.1).collect()))
+
+
+def test_catalog_order_and_codes(spark):
+    grid = spark.createDataFrame([("Somewhere", "R99", 2015)], "region_name string, region_code string, year int")
+    found = spark.createDataFrame([("a_R99_x",), ("b_R99_2015",), ("c_R84_2015",)], "url string")
+    assert [(r["year"], r["region_name"]) for r in links.link_catalog(found, grid).collect()] == [(2015, "Somewhere"), (None, None)]
+
+
 def test_links_inside_lists_only(spark):
     html = (
         "<a href='/out'>o</a><UL class=x><li><a class=\"y\" href=\"/it's?a=1&amp;b=2\">1</a>"
         "<ul><li><a href='/2'>2</a></ul><li><a href=/bare>3</a><li><a name=n>4</a><a\nhref = \"/5\">5</a></UL><a href='/end'>e</a>"
     )
     df = spark.createDataFrame([(1, html), (2, None)], "page_id int, html string")
-    assert [r["url"] for r in links.extract_links(df).collect()] == ["/it's?a=1&b=2", "/2", "/5"]
+    assert [r["url"] for r in links.extract_links(df).collect()] == ["/it's?a=1&b=2", "/2", "/bare", "/5"]
     assert links.extract_links(df, r"(?s)(<ul><li>.*?</ul>)").first()["url"] == "/2"
 
 

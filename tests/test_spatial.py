@@ -46,6 +46,23 @@ def test_overlaps_do_not_depend_on_the_grid(stars, size, limit):
         assert best[p] == (max(of_p, key=of_p.get) if of_p else None)
 
 
+@pytest.mark.parametrize("limit", [skew.BROADCAST_BYTES, -1])
+def test_equal_features_stay_rows(spark, limit):
+    square = [[(0, 0), (5, 0), (5, 5), (0, 5)]]
+    parcels = features(spark, "parcel_id", [("a", square), ("a", square), ("a", [[(20, 0), (25, 0), (25, 5), (20, 5)]])])
+    tiles = spatial.unit_tiles(features(spark, "geo_unit", [("u", [[(-1, -1), (30, -1), (30, 30), (-1, 30)]])]), 7.0, contact=True)
+    largest = spatial.join_largest(parcels, tiles, 7.0, ["parcel_id"], limit=limit).collect()
+    assert [(r["geo_unit"], round(r["overlap_m2"], 9)) for r in largest] == [("u", 25.0)] * 3
+    assert spatial.join_intersects(parcels, tiles, 7.0, ["parcel_id"], limit=limit).count() == 3
+
+
+def test_sliver_counts(spark):
+    parcels = features(spark, "parcel_id", [("in", [[(0, 0), (5, 0), (5, 5), (0, 5)]]), ("out", [[(-5, 0), (0, 0), (0, 5), (-5, 5)]])])
+    tiles = spatial.unit_tiles(features(spark, "geo_unit", [("u", [[(5 - 2e-8, 0), (9, 0), (9, 5), (5 - 2e-8, 5)]])]), 7.0)
+    got = {r["parcel_id"]: r["geo_unit"] for r in spatial.join_largest(parcels, tiles, 7.0, ["parcel_id"]).collect()}
+    assert got == {"in": "u", "out": None}
+
+
 def test_tiles_add_up_to_the_unit(stars):
     _, units = stars
     tiles = spatial.unit_tiles(units, 6.0)
