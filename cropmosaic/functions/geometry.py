@@ -322,11 +322,16 @@ def even_odd_edges(rings: str) -> str:
 
 
 def valid_edges(rings: str) -> str:
-    """Signed edges after repair: plain single rings as drawn, all others by the even-odd rule."""
+    """Signed edges after repair: boundaries that do not meet themselves as drawn, all others by the even-odd rule.
+
+    Several rings that do not meet need only be turned the right way, shells against holes.
+    """
+    nested = segments(f"({clean_rings(rings)})")
     return bind(
         "gv",
         segments(rings),
-        f"CASE WHEN size({rings}) > 1 OR {_crossing_among('gv')} THEN {_even_odd_of('gv')} ELSE {_oriented_of('gv')} END",
+        f"CASE WHEN {_crossing_among('gv')} THEN {_even_odd_of('gv')} "
+        f"WHEN size({rings}) > 1 THEN {bind('gn', nested, _oriented_of('gn'))} ELSE {_oriented_of('gv')} END",
     )
 
 

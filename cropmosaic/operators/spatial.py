@@ -378,6 +378,7 @@ def units_with_parcels(pairs: DataFrame, units: DataFrame, unit: str = "geo_unit
     Matched pairs are kept as they are and the few unmatched units are appended, so a unit
     holding very many parcels never becomes the key of a join.
     """
+    pairs = stored(pairs)  # used twice: the join that made them runs once
     matched = pairs.filter(F.col(unit).isNotNull())
     empty = units.select(unit).join(matched.select(unit).distinct(), unit, "left_anti")
     return matched.unionByName(empty, allowMissingColumns=True)

@@ -238,6 +238,14 @@ def units_of_region(spark: SparkSession, sf: str) -> DataFrame:
     return chosen.groupBy("geo_unit", "CODE_GROUP").agg(F.count(F.lit(1)).alias("n"))
 
 
+def parcels_of_region(spark: SparkSession, sf: str) -> DataFrame:
+    """Parcels of a chosen region: its outlines are selected before anything is cut into tiles or joined."""
+    chosen = prepare.units_of_region(data.communes(spark, sf), ["00", "01", "05", "06"])
+    tiles = spatial.unit_tiles(chosen, CELL)
+    found = spatial.join_largest(data.parcels(spark, sf), tiles, CELL, prepare.PARCEL_KEY, KEEP)
+    return found.filter("geo_unit IS NOT NULL").groupBy("geo_unit", "CODE_GROUP").agg(F.count(F.lit(1)).alias("n"))
+
+
 def value_counts(spark: SparkSession, sf: str) -> DataFrame:
     return quality.value_counts(data.parcels(spark, sf), "CODE_GROUP")
 
@@ -474,6 +482,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         department_crop,
         department_crop_units_first,
         units_of_region,
+        parcels_of_region,
         value_counts,
         area_check,
         area_check_by_delivery,

@@ -400,8 +400,26 @@ FROM (SELECT c_custkey, -5 + (c_custkey * 37) % 1400 / 100.0::DOUBLE AS lon, 42
       FROM customer)""",
     "invalid_rings": INVALID,
     "cleaned_rings": f"""WITH {DAMAGED}
-SELECT vec_id, 1 AS n_rings, CAST(CASE WHEN vec_id % 4 = 2 THEN 65 ELSE 65 END AS INTEGER) AS n_points,
+SELECT vec_id, 1 AS n_rings, CAST(65 AS INTEGER) AS n_points,
        round(abs(area), 6) AS signed_area_m2 FROM turned""",
+    "repaired_area": f"""WITH {DAMAGED},
+bent AS (SELECT vec_id, i, x AS x1, y AS y1, nx AS x2, ny AS y2 FROM walk WHERE vec_id % 4 = 2),
+meets AS (
+  SELECT a.vec_id, a.x1, a.x2, (a.x2 - a.x1) * (b.y2 - b.y1) - (a.y2 - a.y1) * (b.x2 - b.x1) AS d,
+         (b.x1 - a.x1) * (b.y2 - b.y1) - (b.y1 - a.y1) * (b.x2 - b.x1) AS t,
+         (b.x1 - a.x1) * (a.y2 - a.y1) - (b.y1 - a.y1) * (a.x2 - a.x1) AS u
+  FROM bent a JOIN bent b ON a.vec_id = b.vec_id AND a.i < b.i),
+events AS (
+  SELECT vec_id, x1 AS x FROM bent
+  UNION SELECT vec_id, x1 + t / d * (x2 - x1) FROM meets WHERE d != 0 AND t / d > 0 AND t / d < 1 AND u / d > 0 AND u / d < 1),
+strips AS (SELECT vec_id, x AS a, lead(x) OVER (PARTITION BY vec_id ORDER BY x) AS b FROM events),
+levels AS (
+  SELECT s.vec_id, a, b, y1 + ((a + b) / 2 - x1) / (x2 - x1) * (y2 - y1) AS y
+  FROM strips s JOIN bent e ON s.vec_id = e.vec_id AND least(x1, x2) <= a AND greatest(x1, x2) >= b AND x1 != x2
+  WHERE b IS NOT NULL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY vec_id, a ORDER BY y) AS n FROM levels)
+SELECT vec_id, round(abs(area), 6) AS area_m2 FROM turned WHERE vec_id % 4 != 2
+UNION ALL SELECT vec_id, round(sum(CASE WHEN n % 2 = 0 THEN y ELSE -y END * (b - a)), 6) FROM ranked GROUP BY vec_id""",
     "spatial_candidates": f"""WITH {PARCELS}, {COMMUNES}
 SELECT p.parcel_id, c.geo_unit FROM parcels p JOIN communes c
   ON p.x0 <= c.x0 + c.w AND c.x0 <= p.x0 + p.w AND p.y0 <= c.y0 + c.h AND c.y0 <= p.y0 + p.h""",
@@ -431,6 +449,12 @@ SELECT lpad(CAST(vec_id AS VARCHAR), 6, '0') AS geo_unit, count(*) AS parcels, r
 FROM star_overlap WHERE round(overlap_m2, 5) > 0 GROUP BY vec_id""",
     "department_crop": "WITH " + DEPARTMENTS.format(join="LEFT", count="count(parcel_id)"),
     "department_crop_units_first": "WITH " + DEPARTMENTS.format(join="RIGHT", count="count(*)"),
+    "parcels_of_region": f"""WITH {PARCELS}, {COMMUNES}
+SELECT geo_unit, "CODE_GROUP", count(*) AS n FROM (
+  SELECT p."CODE_GROUP", c.geo_unit, row_number() OVER (PARTITION BY p.parcel_id ORDER BY
+    round((least(p.x0 + p.w, c.x0 + c.w) - greatest(p.x0, c.x0)) * (least(p.y0 + p.h, c.y0 + c.h) - greatest(p.y0, c.y0)), 6) DESC, geo_unit) AS rn
+  FROM parcels p JOIN communes c ON p.x0 < c.x0 + c.w AND c.x0 < p.x0 + p.w AND p.y0 < c.y0 + c.h AND c.y0 < p.y0 + p.h
+  WHERE geo_unit IN ('00', '01', '05', '06')) WHERE rn = 1 GROUP BY geo_unit, "CODE_GROUP" """,
     "units_of_region": f"""WITH {ASSIGNED}
 SELECT geo_unit, "CODE_GROUP", count(*) AS n FROM assigned WHERE geo_unit IN ('00', '01', '05', '06')
 GROUP BY geo_unit, "CODE_GROUP" """,

@@ -1,23 +1,27 @@
 """Shared working folder and tables written on the way."""
 
+import functools
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@functools.cache
+def _local_base() -> str:
+    return tempfile.mkdtemp(prefix="cropmosaic-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below the one the cluster names in spark.checkpoint.dir.
 
-    Without that setting only a local session gets one: a temporary folder, kept in the setting
-    so that the whole session uses it.
+    Without that setting only a local session gets one, in a temporary folder of the process.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="cropmosaic-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_base()
     return f"{base.rstrip('/')}/cropmosaic-{uuid.uuid4().hex}"
 
 

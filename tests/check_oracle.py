@@ -3,6 +3,7 @@
 import math
 import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -69,6 +70,7 @@ def main():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="cropmosaic-oracle-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
