@@ -1,5 +1,6 @@
 """Prepared and compiled tables, and geometry in exchange formats."""
 
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,23 +33,30 @@ def write_compiled(compiled: DataFrame, path: str) -> None:
     compiled.write.mode("overwrite").parquet(path)
 
 
-def _pack_wkb(polygons: list | None) -> bytes | None:
-    """Little-endian WKB MultiPolygon of rings grouped into polygons."""
-    if polygons is None:
-        return None
-    out = [b"\x01", np.array([6, len(polygons)], "<u4").tobytes()]
-    for rings in polygons:
-        out += [b"\x01", np.array([3, len(rings)], "<u4").tobytes()]
-        for ring in rings:
-            out += [np.array([len(ring)], "<u4").tobytes()]
-            out += [np.array([(p["x"], p["y"]) for p in ring], "<f8").tobytes()]
-    return b"".join(out)
+def _pack_wkb(parts: pa.ListArray) -> Iterator[bytes | None]:
+    """Little-endian WKB MultiPolygons of features given as polygons of rings, cut from the Arrow buffers."""
+    polygons = parts.values
+    rings = polygons.values
+    points = rings.values
+    xy = np.column_stack([points.field(c).to_numpy(zero_copy_only=False) for c in "xy"]).astype("<f8").tobytes()
+    feature_at, polygon_at, ring_at = (a.offsets.to_numpy() for a in (parts, polygons, rings))
+    for i, missing in enumerate(parts.is_null().to_pylist()):
+        if missing:
+            yield None
+            continue
+        out = [struct.pack("<BII", 1, 6, feature_at[i + 1] - feature_at[i])]
+        for p in range(feature_at[i], feature_at[i + 1]):
+            out.append(struct.pack("<BII", 1, 3, polygon_at[p + 1] - polygon_at[p]))
+            for r in range(polygon_at[p], polygon_at[p + 1]):
+                out.append(struct.pack("<I", ring_at[r + 1] - ring_at[r]))
+                out.append(xy[16 * ring_at[r] : 16 * ring_at[r + 1]])
+        yield b"".join(out)
 
 
 def _replace_by_wkb(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Last column packed as WKB, all others passed through."""
     for batch in batches:
-        packed = pa.array([_pack_wkb(p) for p in batch.column(batch.num_columns - 1).to_pylist()], pa.binary())
+        packed = pa.array(_pack_wkb(batch.column(batch.num_columns - 1)), pa.binary())
         yield pa.RecordBatch.from_arrays(
             [*batch.columns[:-1], packed], names=[*batch.schema.names[:-1], "wkb"]
         )

@@ -295,13 +295,15 @@ class ShapefileWriter(DataSourceArrowWriter):
     def commit(self, messages: list[WrittenFiles | None]) -> None:
         files, root = _open(self.path)
         files.create_dir(root, recursive=True)
+        old = []
         if self.overwrite:
-            for info in files.get_file_info(pafs.FileSelector(root)):
-                if info.type == pafs.FileType.Directory and info.base_name.startswith("part-"):
-                    files.delete_dir(info.path)
+            found = files.get_file_info(pafs.FileSelector(root))
+            old = [i.path for i in found if i.type == pafs.FileType.Directory and i.base_name.startswith("part-")]
         for message in messages:
             for folder in message.folders if message else []:
                 files.move(f"{root}/{self.staging}/{folder}", f"{root}/{folder}")
+        for path in old:  # only now that what replaces it is in place
+            files.delete_dir(path)
         self._drop_staging(files, root)
 
     def abort(self, messages: list[WrittenFiles | None]) -> None:
