@@ -146,20 +146,23 @@ class ShapefileReader(DataSourceReader):
 
     def __init__(self, schema: T.StructType, options: dict):
         self.schema = schema
+        self.wanted = {name.lower() for name in schema.names}
         self.per_task = int(options.get("recordsPerPartition", 50_000))
+        self.task_bytes = int(options.get("bytesPerPartition", 16 << 20))
         self.per_batch = int(options.get("recordsPerBatch", 2_000))
         self.encoding = options.get("encoding")
         self.paths = _requested(options)
 
     def partitions(self) -> list[InputPartition]:
+        """Ranges of at most recordsPerPartition records and, by the file's mean, bytesPerPartition bytes."""
         ranges = []
         for path in self.paths:
             files, inner = _open(path)
-            records = (files.get_file_info(_side_file(inner, ".shx")).size - HEADER_BYTES) // 8
-            ranges += [
-                RecordRange(path, first, min(first + self.per_task, records))
-                for first in range(0, records, self.per_task)
-            ]
+            shapes, index = files.get_file_info([inner, _side_file(inner, ".shx")])
+            records = (index.size - HEADER_BYTES) // 8
+            fit = self.task_bytes * max(records, 1) // max(shapes.size, 1)
+            step = max(1, min(self.per_task, fit))
+            ranges += [RecordRange(path, first, min(first + step, records)) for first in range(0, records, step)]
         return ranges or [RecordRange("", 0, 0)]
 
     def read(self, partition: RecordRange) -> Iterator[pa.RecordBatch]:
@@ -185,13 +188,15 @@ class ShapefileReader(DataSourceReader):
                     attributes.read_at(table.width * size, table.start + table.width * first), np.uint8
                 ).reshape(-1, table.width)
                 columns = {
-                    "rings": _rings(content, offsets - start + 8),
                     "srid": pa.array([srid] * size, pa.int32()),
                     "source_path": pa.array([partition.path] * size),
                     "record": pa.array(np.arange(first, first + size)),
                 }
+                if "rings" in self.wanted:
+                    columns["rings"] = _rings(content, offsets - start + 8)
                 for field in table.fields:
-                    columns[field.name.lower()] = _values(rows, field, encoding)
+                    if field.name.lower() in self.wanted:
+                        columns[field.name.lower()] = _values(rows, field, encoding)
                 deleted = rows[:, 0] == ord("*")
                 yield self._batch(columns, size).filter(pa.array(~deleted))
 
@@ -247,7 +252,11 @@ def _values(rows: np.ndarray, field: Field, encoding: str) -> pa.Array:
     if field.kind not in "NF":
         return pa.array([t or None for t in texts], pa.string())
     convert = float if isinstance(field.spark_type(), T.DoubleType) else int
-    return pa.array([_number(t, convert) for t in texts], pa.float64() if convert is float else pa.int64())
+    kind = pa.float64() if convert is float else pa.int64()
+    try:
+        return pa.array([t or None for t in texts], pa.string()).cast(kind)
+    except pa.ArrowInvalid:  # some cell is no number, or not written as Arrow reads it
+        return pa.array([_number(t, convert) for t in texts], kind)
 
 
 def _number(text: str, convert):
@@ -436,12 +445,23 @@ class ShapefileDataSource(DataSource):
         return "shapefile"
 
     def schema(self) -> T.StructType:
-        """Attributes of the first file, then rings, srid, source_path and record."""
-        path = next(iter(_requested(self.options)))
-        files, inner = _open(path)
-        table = AttributeTable.of(files, _side_file(inner, ".dbf"))
+        """Attributes of all files, in the order they are met, then rings, srid, source_path and record.
+
+        Names are compared without case. A column that files type differently is text if one of
+        them says so, else a double.
+        """
+        names: dict[str, str] = {}
+        types: dict[str, T.DataType] = {}
+        for path in _requested(self.options):
+            files, inner = _open(path)
+            for f in AttributeTable.of(files, _side_file(inner, ".dbf")).fields:
+                low, kind = f.name.lower(), f.spark_type()
+                names.setdefault(low, f.name)
+                if types.setdefault(low, kind) != kind:
+                    both = (types[low], kind)
+                    types[low] = T.StringType() if T.StringType() in both else T.DoubleType()
         return T.StructType(
-            [T.StructField(f.name, f.spark_type()) for f in table.fields]
+            [T.StructField(names[low], types[low]) for low in names]
             + [
                 T.StructField("rings", RINGS_SPARK),
                 T.StructField("srid", T.IntegerType()),
@@ -466,7 +486,7 @@ def read_shapefiles(spark: SparkSession, source: str | list[str], kind: str | No
     """Polygon features below a folder, or of the listed files.
 
     kind 'pg', 'ia', 'commune' or 'department' gives the columns the pipeline expects, filled
-    with NULL where a file lacks one; without it the columns of the first file are taken.
+    with NULL where a file lacks one; without it the columns of all files are taken.
     """
     from cropmosaic.schemas import FILE_SCHEMAS
 

@@ -213,3 +213,14 @@ def test_whole_job(spark, tmp_path):
     assert town["region"] == "Auvergne-Rhône-Alpes" and town["name"] == "Town 01001" and town["data_type"] == "pg"
     compiled = build.compile_table(spark, out)
     assert compiled.count() == 4 and {"max_agri", "N_Parcels"} <= set(compiled.columns)
+
+
+def test_columns_of_all_files_and_ranges_by_bytes(spark, tmp_path):
+    rings = F.expr("array(array(struct(0D AS x, 0D AS y), struct(1D AS x, 0D AS y), struct(1D AS x, 1D AS y), struct(0D AS x, 0D AS y)))")
+    for name, extra in (("a", F.col("id").alias("n")), ("b", F.concat(F.lit("t"), "id").alias("n")), ("c", (F.col("id") / 4).alias("late"))):
+        frame = spark.range(40).select(extra, rings.alias("rings")).coalesce(1)
+        tables.write_features(frame, str(tmp_path / name))
+    all_ = read_shapefiles(spark, str(tmp_path))
+    assert {c: t for c, t in all_.dtypes if c in ("n", "late")} == {"n": "string", "late": "double"}
+    assert all_.filter("n IS NOT NULL").count() == 80 and all_.agg(F.sum("late")).first()[0] == 195.0
+    assert read_shapefiles(spark, str(tmp_path / "a"), bytesPerPartition=1000).rdd.getNumPartitions() > 4
