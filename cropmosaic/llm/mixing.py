@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from cropmosaic.llm.common import id_text, running_before, stored, unit_hash
 
 WORD = r"[^\x20\x09-\x0D]+"
-ROWS_PER_BUCKET = 100_000
+ROWS_PER_BUCKET = 4_096
 MAX_EPOCHS = 3
 
 
