@@ -5,7 +5,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -192,8 +192,9 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     """
     marked = labels.select(F.col(key).alias("_id"), F.col(label).cast("int").alias("_label"))
     marked = marked.filter(F.col("_id").isNotNull() & F.col("_label").isin(0, 1) & (fold(F.col("_id"), held_out[0]) != held_out[1]))
-    order = Window.partitionBy("_label").orderBy(unit_hash(F.lit("quality"), id_text(F.col("_id"))), "_id")
-    marked = marked.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= FIT_DOCUMENTS).drop("_n")
+    order = [unit_hash(F.lit("quality"), id_text(F.col("_id"))), F.col("_id")]
+    bad, good = (marked.filter(F.col("_label") == y).orderBy(*order).limit(FIT_DOCUMENTS) for y in (0, 1))
+    marked = bad.unionByName(good)
     chosen = docs.join(F.broadcast(marked), F.col(key) == F.col("_id")).select(
         F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary").alias("body"), F.col("_label").alias("label")
     )
