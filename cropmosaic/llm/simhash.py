@@ -298,13 +298,13 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     are subtracted, broadcast when they are few. Of rows that repeat id and text one stays.
     """
     found = stored(near_duplicates(docs, key, text, WIDE_SHINGLE, WIDE_WORDS, WIDE_MAX_BITS))
-    same = F.struct("doc_id", "body")
-    tree = F.struct(F.col("component_id"), F.when(F.col("component_id").isNull(), F.col("bits")))
-    first = found.groupBy(tree.alias("tree")).agg(F.min(F.when(F.col("doc_id").eqNullSafe(F.col("component_id")), same)).alias("first"))
-    found = stored(found.withColumn("tree", tree).join(first, "tree"))
-    gone = stored(found.filter(~same.eqNullSafe(F.col("first"))).select(F.col("doc_id").alias("_id"), F.col("body").alias("_body")).distinct())
-    more = found.filter(same.eqNullSafe(F.col("first"))).groupBy("doc_id", "body").count().filter("count > 1")
-    more = stored(more.select(F.col("doc_id").alias("_id"), F.col("body").alias("_body")))
+    nameless = F.when(F.col("component_id").isNull(), F.col("bits")).alias("nameless")
+    first = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    first = first.groupBy("component_id", nameless).agg(F.min("body").alias("_first")).select("component_id", "_first").distinct()
+    keys = found.groupBy(F.col("doc_id").alias("_id"), F.col("body").alias("_body")).count()
+    stays = F.col("_id").eqNullSafe(F.col("component_id")) & (F.col("_body") == F.col("_first"))
+    gone = stored(keys.join(first, stays, "left_anti").select("_id", "_body"))
+    more = stored(keys.filter("count > 1").join(first, stays, "left_semi").select("_id", "_body"))
     columns = docs.columns
     names = [f"_c{i}" for i in range(len(columns))]
     name, content = names[columns.index(key)], names[columns.index(text)]
