@@ -172,37 +172,56 @@ def build_index(spark: SparkSession, folder: str) -> DataFrame:
     return stored(found.mapInPandas(pack, INDEX_COLUMNS))
 
 
+def _sorted_directory(rows: pd.DataFrame) -> tuple[np.ndarray, ...]:
+    encoded = [np.array([k.encode() for k in rows[c]], object) for c in ("first_key", "last_key")]
+    return *encoded, rows["part"].to_numpy(), rows["block"].to_numpy()
+
+
+def _bisect(keys: pd.Series, directory: tuple[np.ndarray, ...]) -> pd.DataFrame:
+    """key, part, block for every block whose range of keys may hold the key."""
+    first, last, part, block = directory
+    key = np.array([k.encode() for k in keys], object)
+    lo = np.searchsorted(last, key, side="left")  # the first block that ends at or after the key
+    hi = np.searchsorted(first, key, side="right")  # the first one that begins after it
+    n = np.maximum(hi - lo, 0)
+    at = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    return pd.DataFrame({"key": np.repeat(keys.to_numpy(), n), "part": part[at], "block": block[at]})
+
+
+def _bisected(keys: DataFrame, rows: pd.DataFrame) -> DataFrame:
+    shared = keys.sparkSession.sparkContext.broadcast(_sorted_directory(rows))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield _bisect(batch["key"], shared.value)
+
+    return keys.mapInPandas(run, "key string, part int, block int")
+
+
 def find_captures(index: DataFrame, keys: DataFrame) -> DataFrame:
     """(key, file, offset, length) of all captures of the distinct keys asked for (column `key`).
 
     The directory, sorted, is searched by bisection for the run of blocks that may hold a key;
     only those blocks are opened, and searched by bisection again. The directory has one row in
-    BLOCK_CAPTURES and is broadcast while it is within the bound; a larger one is range-joined
-    on its first two key parts instead.
+    BLOCK_CAPTURES and is broadcast while it is within the bound. A larger one is searched in two
+    steps: for the sorted parts that may hold the key (one row per part, of which there are as
+    many as tasks made the index), then, part by part, for the blocks.
     """
-    spark = index.sparkSession
     keys = keys.select(F.col("key")).distinct()
     directory = index.select("first_key", "last_key", "part", "block")
     size = directory.agg(F.coalesce(F.sum(F.octet_length("first_key") + F.octet_length("last_key") + 16), F.lit(0))).first()[0]
     if size <= BROADCAST_BYTES:
-        rows = directory.orderBy("first_key", "part", "block").toPandas()
-        shared = spark.sparkContext.broadcast(
-            (np.array([k.encode() for k in rows["first_key"]], object), np.array([k.encode() for k in rows["last_key"]], object), rows["part"].to_numpy(), rows["block"].to_numpy())
-        )
-
-        def bisect(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            first, last, part, block = shared.value
-            for batch in batches:
-                key = np.array([k.encode() for k in batch["key"]], object)
-                lo = np.searchsorted(last, key, side="left")  # the first block that ends at or after the key
-                hi = np.searchsorted(first, key, side="right")  # the first one that begins after it
-                n = np.maximum(hi - lo, 0)
-                at = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                yield pd.DataFrame({"key": np.repeat(batch["key"].to_numpy(), n), "part": part[at], "block": block[at]})
-
-        places = keys.mapInPandas(bisect, "key string, part int, block int")
+        places = _bisected(keys, directory.orderBy("first_key", "part", "block").toPandas())
     else:
-        places = keys.join(directory, (F.col("key") >= F.col("first_key")) & (F.col("key") <= F.col("last_key")))
+        parts = directory.groupBy("part").agg(F.min("first_key").alias("first_key"), F.max("last_key").alias("last_key"))
+        parts = parts.withColumn("block", F.lit(0)).orderBy("first_key", "part").toPandas()
+        near = _bisected(keys, parts)
+
+        def within(asked: pd.DataFrame, blocks: pd.DataFrame) -> pd.DataFrame:
+            return _bisect(asked["key"], _sorted_directory(blocks.sort_values(["block"])))
+
+        both = near.groupBy("part").cogroup(directory.groupBy("part"))
+        places = both.applyInPandas(within, "key string, part int, block int")
     # a block may hold more keys than one, each key asked for is searched in it
     asked = places.groupBy("part", "block").agg(F.sort_array(F.collect_list("key")).alias("asked"))
     opened = asked.join(index.select("part", "block", "data"), ["part", "block"]).select("asked", "data")
