@@ -278,7 +278,7 @@ def test_lm_odd(odd_docs, make_docs):
 
 def test_lm_is_a_distribution():
     texts = [b"banana bandana", b"an ananas", b"nab"] * 5
-    tree = lm_scoring.build_tree(np.bincount(np.frombuffer(b"".join(texts), np.uint8), minlength=256))
+    tree = lm_scoring.build_tree(lm_scoring.pair_counts(texts))
     counts = lm_scoring.Counts(tree)
     for t in texts:
         counts.add(t)
