@@ -3,7 +3,21 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cropmosaic.llm import ann, decontamination, language_id, lm_scoring, mixing, quality, sharding, simhash, url_filter, warc
+from cropmosaic.llm import (
+    ann,
+    decontamination,
+    divergence,
+    importance,
+    language_id,
+    licenses,
+    lm_scoring,
+    mixing,
+    quality,
+    sharding,
+    simhash,
+    url_filter,
+    warc,
+)
 from cropmosaic.llm.common import fold
 from cropmosaic.llm.sql import ORACLE  # noqa: F401
 
@@ -79,6 +93,24 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), queries=F.col("id") % 20 == 0, k=20)
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents drawn towards the benchmark's words: 25 in 100 of those with 20 words or more."""
+    drawn = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases, notices and texts of every document."""
+    found = licenses.license_scan(table(spark, sf_dir, "documents"))
+    names = [F.array_join(c, ",").alias(c) for c in ("base_labels", "labels")]
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", *names, "score")
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of each language lie apart, and the terms that set them apart."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_simhash": op2_simhash,
@@ -90,4 +122,7 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_decontamination": op9_decontamination,
     "op10_nearest": op10_nearest,
+    "op11_importance": op11_importance,
+    "op12_licenses": op12_licenses,
+    "op13_divergence": op13_divergence,
 }
