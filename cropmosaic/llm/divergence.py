@@ -10,6 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,6 +19,8 @@ from cropmosaic.llm.common import stored, with_size_hint
 MIN_DOCS, SMOOTHING, SCALE, TOP = 30, 5, 1_000_000_000, 50
 #: Cells of a matrix (sources x terms) that a task holds, and about how many sources it compares with as many others.
 CELLS, TILE = 1 << 16, 512
+#: Bytes of text whose pointers a task sorts at once; a longer text is sorted alone, whole.
+SLICE_BYTES = 8 << 20
 #: Bytes of a term: A-Z lower-cased, a-z and all of 0x80 and above; every other byte ends a term.
 _TERM_BYTES = np.array([b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 0 for b in range(256)], np.uint8)
 #: First k of eight bytes, k = 0..8.
@@ -109,11 +112,23 @@ def count_terms(batch: pa.RecordBatch) -> pa.RecordBatch:
     )
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows in runs of about SLICE_BYTES of text (the third column)."""
+    ends = np.cumsum(pc.binary_length(batch.column(2)).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < batch.num_rows:
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + SLICE_BYTES, side="right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def term_counts(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text") -> DataFrame:
-    """(lang, source, term, n, docs) over all texts; NULL is the empty text. Counted per batch, then per task, then by a shuffle."""
+    """(lang, source, term, n, docs) over all texts; NULL is the empty text. Counted per slice, then per task, then by a shuffle."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from (count_terms(b) for b in batches if b.num_rows)
+        for batch in batches:
+            yield from map(count_terms, _slices(batch))
 
     rows = docs.select(_text(lang).alias("lang"), _text(source).alias("source"), _text(text).cast("binary").alias("text"))
     counted = rows.mapInArrow(count, "lang string, source string, term string, n long, docs long")
