@@ -15,12 +15,6 @@ from cropmosaic.llm.components import components
 WORD_BITS, BLOCK_BITS = 64, 16
 #: Rows of one masked pattern that a task holds together; larger groups are cut in Gray order.
 CELL_ROWS = 2048
-#: The stage that removes near copies: sets of 5-word shingles of similarity SIMILAR or more. Candidates are
-#: found on 512 bits: such sets differ in about 0.155 of the bits or fewer, 116 is four deviations above that.
-#: A candidate agrees in one of WIDE_MASKS masks of 16 bits; all candidates are compared shingle by shingle.
-WIDE_WORDS, WIDE_SHINGLE, WIDE_MAX_BITS, WIDE_MASKS, SIMILAR = 8, 5, 116, 128, 0.8
-#: Pairs for each row of a cell that are compared in the first turn; four times as many in each further turn.
-PAIRS_A_ROW = 4
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _STEP = 1 << 13
 
@@ -77,51 +71,6 @@ def fingerprints(text: Column, shingle: int, words: int = 1, seed: int = 42) ->
     return prints(text.cast("string").cast("binary"))
 
 
-def _set_prints(text: Column) -> Column:
-    """Struct (id, bits) of the set of shingles: a hash of the set and the fingerprint of the set, repeats left out."""
-
-    @F.pandas_udf("id long, bits binary")
-    def prints(texts: pd.Series) -> pd.DataFrame:
-        sets = [np.unique(shingle_hashes(t, WIDE_SHINGLE)) for t in texts]
-        ids = np.array([xxhash.xxh64_intdigest(x.tobytes()) for x in sets], np.uint64).view(np.int64)
-        return pd.DataFrame({"id": ids, "bits": pd.Series([majority(x, WIDE_WORDS) for x in sets], dtype=object)})
-
-    return prints(text.cast("string").cast("binary"))
-
-
-def _sets(text: Column) -> Column:
-    """The set of shingles as an array of hashes."""
-
-    @F.pandas_udf("array<long>")
-    def sets(texts: pd.Series) -> pd.Series:
-        return pd.Series([np.unique(shingle_hashes(t, WIDE_SHINGLE)).view(np.int64) for t in texts], dtype=object)
-
-    return sets(text.cast("string").cast("binary"))
-
-
-def mask_places() -> np.ndarray:
-    """Bit positions of each mask (WIDE_MASKS x BLOCK_BITS): all bits in order, then shuffled again and again."""
-    rng, n = np.random.default_rng(7), WORD_BITS * WIDE_WORDS
-    turns = [np.arange(n)] + [rng.permutation(n) for _ in range(-(-WIDE_MASKS * BLOCK_BITS // n) - 1)]
-    return np.concatenate(turns)[: WIDE_MASKS * BLOCK_BITS].reshape(WIDE_MASKS, BLOCK_BITS)
-
-
-def masked(bits: np.ndarray) -> np.ndarray:
-    """Rows of fingerprint bytes -> number of the mask and the bits under it, one number for each mask."""
-    under = np.unpackbits(bits, axis=1)[:, mask_places().ravel()]
-    values = np.ascontiguousarray(np.packbits(under, axis=1)).view(">u2").astype(np.int64)
-    return values + (np.arange(WIDE_MASKS) << BLOCK_BITS)
-
-
-def _mask_keys(bits: Column) -> Column:
-    @F.pandas_udf("array<long>")
-    def keys(prints: pd.Series) -> pd.Series:
-        rows = np.frombuffer(b"".join(prints), np.uint8).reshape(-1, 8 * WIDE_WORDS)
-        return pd.Series(list(masked(rows)), dtype=object)
-
-    return keys(bits)
-
-
 def _word(bits: Column, i: int) -> Column:
     """The i-th 64 bits of a fingerprint as a signed number."""
     return F.conv(F.hex(F.substring(bits, 8 * i + 1, 8)), 16, -10).cast("long")
@@ -281,51 +230,15 @@ def _whole_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield held
 
 
-def _open_pairs(max_bits: int, turn: int):
-    """Pairs of a cell at most max_bits apart whose labels differ, a row with all later rows, from row `next` on.
-
-    After PAIRS_A_ROW x 4^turn pairs for each row the cell stops, and gives the row to go on with as `next`.
-    """
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in _whole_cells(batches):
-            cells, ids, label, go_on = (rows[c].to_numpy(np.int64) for c in ("cell", "id", "label", "next"))
-            bits = rows["bits"].to_numpy()
-            start = np.flatnonzero(np.r_[True, cells[1:] != cells[:-1]])
-            end = np.r_[start[1:], len(cells)]
-            mixed = np.minimum.reduceat(label, start) < np.maximum.reduceat(label, start)
-            for lo, hi in zip(start[mixed], end[mixed]):
-                prints = np.frombuffer(b"".join(bits[lo:hi]), np.uint64).reshape(hi - lo, -1)
-                name, left = label[lo:hi], PAIRS_A_ROW * int(hi - lo) * 4**turn
-                a, b, stop = [], [], -1
-                for i in range(int(go_on[lo]), int(hi - lo) - 1):
-                    if left <= 0:
-                        stop = i
-                        break
-                    later = np.flatnonzero(name[i + 1 :] != name[i]) + i + 1
-                    later = later[_differences(prints[later] ^ prints[i]) <= max_bits]
-                    a.append(np.full(len(later), ids[lo + i]))
-                    b.append(ids[lo + later])
-                    left -= len(later)
-                if stop >= 0:
-                    yield pd.DataFrame({"cell": [cells[lo]], "a": [0], "b": [0], "next": [stop]})
-                if a:
-                    yield pd.DataFrame({"cell": cells[lo], "a": np.concatenate(a), "b": np.concatenate(b), "next": -1})
-
-    return run
-
-
-def _cells(prints: DataFrame, words: int, max_bits: int, keys: Column | None = None) -> DataFrame:
+def _cells(prints: DataFrame, words: int, max_bits: int) -> DataFrame:
     """(cell, id, bits, gray): upper nodes of the index, one row of a fingerprint for each it belongs to.
 
-    The first masks are blocks of 16 bits, or what keys (an array of numbers) gives. A block value that more than CELL_ROWS fingerprints
-    share is cut in Gray order into chunks with masks of their own, and only pairs of chunks
+    The first masks are blocks of 16 bits. A block value that more than CELL_ROWS fingerprints share is cut in Gray order into chunks with masks of their own, and only pairs of chunks
     whose shared bits allow a link become cells, so no cell has more than twice CELL_ROWS rows.
     """
     blocks = range(WORD_BITS * words // BLOCK_BITS)
     value = lambda i: F.conv(F.hex(F.substring("bits", 2 * i + 1, 2)), 16, 10).cast("long")
-    if keys is None:
-        keys = F.array(*[F.lit(i << BLOCK_BITS).cast("long") + value(i) for i in blocks])
+    keys = F.array(*[F.lit(i << BLOCK_BITS).cast("long") + value(i) for i in blocks])
     rows = prints.select("id", "bits", gray_rank(_word(F.col("bits"), 0)).alias("gray"), F.explode(keys).alias("key"))
     large = rows.groupBy("key").count().filter(F.col("count") > CELL_ROWS).select("key")
     large = stored(large)
@@ -353,20 +266,20 @@ def _cells(prints: DataFrame, words: int, max_bits: int, keys: Column | None = N
     return small.unionByName(cut.join(pairs, ["key", "chunk"]).select("cell", "id", "bits", "gray"))
 
 
-def linked_prints(prints: DataFrame, words: int = 1, max_bits: int = 3, keys: Column | None = None) -> DataFrame:
+def linked_prints(prints: DataFrame, words: int = 1, max_bits: int = 3) -> DataFrame:
     """Distinct fingerprints (id, bits) -> (node, root) for those that link to another; root is the smallest id reached.
 
     Complete where two linked fingerprints must agree in a block: up to 3 differing bits of 64.
-    Beyond that a pair is found if one of its 4 x words blocks, or one of its keys, agrees.
+    Beyond that a pair is found if one of its 4 x words blocks agrees.
     """
-    cells = _cells(prints, words, max_bits, keys).repartition("cell").sortWithinPartitions("cell", "gray")
+    cells = _cells(prints, words, max_bits).repartition("cell").sortWithinPartitions("cell", "gray")
     return components(cells.select("cell", "id", "bits").mapInPandas(_linker(max_bits), "a long, b long"))
 
 
 def near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, words: int = 1, max_bits: int = 3
 ) -> DataFrame:
-    """One row per document: doc_id, body (hash of the text), bits, component_id.
+    """One row per document: doc_id, body (hash of the text), bits, component_id, root (a name of the component).
 
     component_id is the smallest doc_id that a chain of links of at most max_bits differing
     bits reaches, its own included (NULL ids count only if there is no other). Equal
@@ -382,80 +295,17 @@ def near_duplicates(
     rooted = classes.drop("bits").join(trees, classes["id"] == trees["node"], "left")
     rooted = rooted.select("id", "least", F.coalesce("root", "id").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(least, "root").select("id", "component_id")
-    return rows.join(named, "id").select("doc_id", "body", "bits", "component_id")
-
-
-def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: doc_id, body (hash of the text), root, component_id.
-
-    A link is a pair whose sets of shingles have similarity (shared / all) SIMILAR or more, counted
-    exactly; fingerprints only choose what is compared. Equal sets are one node. component_id is
-    the smallest doc_id of the component and root its name (the components of NULL ids share a component_id).
-    """
-    content = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    body = F.xxhash64(content)
-    rows = docs.select(F.col(key).alias("doc_id"), body.alias("body"), _set_prints(content).alias("print"))
-    rows = stored(rows.select("doc_id", "body", "print.id", "print.bits"))
-    classes = rows.groupBy("id").agg(F.min("doc_id").alias("least"), F.min("body").alias("body"), F.first("bits").alias("bits"))
-    classes = stored(classes)
-    trees = stored(components(_similar(docs.select(body.alias("body"), content.alias("text")), classes)))
-    rooted = classes.select("id", "least").join(trees, classes["id"] == trees["node"], "left")
-    rooted = rooted.select("id", "least", F.coalesce("root", "id").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(least, "root").select("id", "root", "component_id")
-    return rows.drop("bits").join(named, "id").select("doc_id", "body", "root", "component_id")
+    return rows.join(named, "id").select("doc_id", "body", "bits", "component_id", "root")
 
 
-def _similar(texts: DataFrame, classes: DataFrame) -> DataFrame:
-    """Links (a, b) that join all classes of SIMILAR sets, of the classes (id, body, bits) and their texts (body, text).
-
-    Candidates that a chain joins form a tree. Each node is compared with the root; then the
-    pairs of a cell that are not joined yet, in turns, so that a large group of copies gives
-    few pairs and none is left out.
-    """
-    loose = stored(linked_prints(classes.select("id", "bits"), WIDE_WORDS, WIDE_MAX_BITS, _mask_keys(F.col("bits"))))
-    inside = loose.unionAll(loose.select("root", "root")).distinct().toDF("id", "tree")
-    some = stored(classes.select("id", "body", "bits").join(inside, "id"))
-    n = some.count()
-    wanted = with_size_hint(some.select("body").distinct(), n, 32)
-    sets = texts.join(wanted, "body", "left_semi").groupBy("body").agg(F.first("text").alias("text"))
-    sets = sets.select("body", _sets(F.col("text")).alias("shingles")).join(some.select("id", "body"), "body")
-    sets = stored(sets.select("id", "shingles"))
-
-    def real(pairs: DataFrame) -> DataFrame:
-        for c in ("a", "b"):
-            pairs = pairs.join(sets.toDF(c, f"{c}s"), c)
-        shared = F.size(F.array_intersect("as", "bs"))
-        return pairs.filter(shared / (F.size("as") + F.size("bs") - shared) >= SIMILAR).select("a", "b")
-
-    found = stored(real(loose.select(F.col("root").alias("a"), F.col("node").alias("b"))))
-    if not n:
-        return found
-    prints = some.select("id", "bits", "tree", _mask_keys(F.col("bits")).alias("masks"))
-    keys = F.transform("masks", lambda k: F.xxhash64(k, F.col("tree")))
-    cells = stored(_cells(prints, WIDE_WORDS, WIDE_MAX_BITS, keys).select("cell", "id", "bits"))
-    left, turn = None, 0
-    while left is None or left.count():
-        named = stored(components(found))
-        named = with_size_hint(named.toDF("id", "label"), named.count(), 32)
-        rows = cells.withColumn("next", F.lit(0).cast("long")) if left is None else cells.join(left, "cell")
-        rows = rows.join(named, "id", "left").withColumn("label", F.coalesce("label", "id"))
-        rows = rows.select("cell", "id", "bits", "label", "next").repartition("cell").sortWithinPartitions("cell", "id")
-        tried = stored(rows.mapInPandas(_open_pairs(WIDE_MAX_BITS, turn), "cell long, a long, b long, next long"))
-        more = real(tried.filter("next < 0").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-        found = stored(found.unionAll(more))
-        left, turn = tried.filter("next >= 0").select("cell", "next"), turn + 1
-    return found
-
-
-def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents with one of each component left: that of the smallest id, then of the smallest hash of its text.
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, max_bits: int = 3) -> DataFrame:
+    """The documents with one of each component of near_duplicates() left: that of the smallest id, then of the smallest hash of its text.
 
     The columns are those of docs. Texts are not shuffled for the decision: the keys that go
     are subtracted, broadcast when they are few. Of rows that repeat id and text one stays.
     """
-    found = stored(similar_documents(docs, key, text))
+    found = stored(near_duplicates(docs, key, text, shingle=shingle, max_bits=max_bits).drop("bits"))
     nameless = F.when(F.col("component_id").isNull(), F.col("root")).alias("nameless")
     first = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     first = first.groupBy("component_id", nameless).agg(F.min("body").alias("_first")).select("component_id", "_first").distinct()

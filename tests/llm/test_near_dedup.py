@@ -1,4 +1,4 @@
-"""The near-copy stage: pairs of known similarity of 5-word shingles."""
+"""The near-copy stage against brute force on fingerprints of 3-word shingles, linked at 3 bits or fewer."""
 
 import numpy as np
 
@@ -6,47 +6,53 @@ from cropmosaic.llm import simhash
 from llm_fixtures import make_docs  # noqa: F401
 
 
-def similarity(a, b):
-    x, y = (set(simhash.shingle_hashes(t.encode(), 5).tolist()) for t in (a, b))
-    return len(x & y) / len(x | y)
-
-
-def pair(rng, least, below):
-    """Two texts of 100 to 300 words whose similarity is in [least, below)."""
-    while True:
-        one = [f"w{i}" for i in rng.integers(0, 1 << 30, rng.integers(100, 300))]
-        two, n = one.copy(), int(rng.integers(1, 9))
-        for at in rng.choice(len(one), n, replace=False):
-            two[at] = "x" + two[at]
-        cut = int(rng.integers(0, len(one) // 10))
-        texts = " ".join(one), " ".join(two[: len(two) - cut])
-        if least <= similarity(*texts) < below:
-            return texts
-
-
-def test_pairs_at_the_limit(make_docs):
-    rng = np.random.default_rng(11)
-    near = [pair(rng, 0.8, 0.82) for _ in range(60)]
-    far = [pair(rng, 0.76, 0.8) for _ in range(60)]
-    rows = [(2 * i + k, t, "en", "a") for i, p in enumerate(near + far) for k, t in enumerate(p)]
-    kept = {r["doc_id"] for r in simhash.keep_one(make_docs(rows)).select("doc_id").collect()}
-    assert kept == {2 * i for i in range(60)} | set(range(120, 240))
-
-
-def test_member_far_from_the_root(make_docs, monkeypatch):
-    """A chain: each text is near to the next, none to the one after that; stepwise turns leave no pair out."""
-    monkeypatch.setattr(simhash, "PAIRS_A_ROW", 0.01)
-    words = [f"w{i}" for i in range(300)]
-    texts = [" ".join(words[18 * k : 200 + 18 * k]) for k in range(5)] + [" ".join(words[::-1])]
-    assert similarity(texts[0], texts[1]) >= 0.8 > similarity(texts[0], texts[2])
-    rows = [(10 - k, t, "en", "a") for k, t in enumerate(texts)]
-    assert {r["doc_id"] for r in simhash.keep_one(make_docs(rows)).select("doc_id").collect()} == {5, 6}
-
-
-def test_repeats_do_not_weigh(make_docs):
-    line = "one line that stands very often in this text"
-    words = [f"w{i}" for i in range(150)]
-    texts = [" ".join(words) + f" {line}", " ".join(words) + f" {line}" * 60]
-    assert similarity(*texts) >= 0.8
-    rows = [(k, t, "en", "a") for k, t in enumerate(texts)]
-    assert {r["doc_id"] for r in simhash.keep_one(make_docs(rows)).select("doc_id").collect()} == {0}
+def brute_keep(docs):
+    """Ids that stay of (id, text) with distinct ids: the smallest of each component."""
+    prints = [int.from_bytes(simhash.fingerprint((t or "").encode(), 3)) for _, t in docs]
+    root = list(range(len(docs)))
+    for i in range(len(docs)):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= 3 and root[i] != root[j]:
+                old, new = root[i], root[j]
+                root = [new if r == old else r for r in root]
+    return {min(docs[k][0] for k in range(len(docs)) if root[k] == r) for r in set(root)}
+
+
+def kept(df):
+    return {r["doc_id"] for r in simhash.keep_one(df).select("doc_id").collect()}
+
+
+def texts(rng):
+    """Texts with copies that differ in none to a few words, single words, and empty ones."""
+    out = []
+    for _ in range(25):
+        base = [f"w{i}" for i in rng.integers(0, 500, rng.integers(1, 400))]
+        for _ in range(rng.integers(1, 5)):
+            new = base.copy()
+            for at in rng.choice(len(new), min(len(new), int(rng.integers(0, 3))), replace=False):
+                new[at] = "changed"
+            out.append(" ".join(new))
+    return out + ["", None, " \t", "one", "one", "One"]
+
+
+def test_kept_documents(make_docs):
+    rng = np.random.default_rng(8)
+    found = texts(rng)
+    docs = list(zip(rng.permutation(1000)[: len(found)].tolist(), found))
+    want = brute_keep(docs)
+    assert len(want) < len(docs) - 10
+    df = make_docs([(i, t, "en", "a") for i, t in docs])
+    assert kept(df) == want
+    assert kept(df.repartition(7)) == want
+
+
+def test_a_large_group_of_near_copies(make_docs, monkeypatch):
+    monkeypatch.setattr(simhash, "CELL_ROWS", 16)  # cut in Gray order, compared by pairs of chunks
+    rng = np.random.default_rng(9)
+    base = [f"w{i}" for i in range(900)]
+    docs = []
+    for i in range(150):
+        new = base.copy()
+        new[int(rng.integers(0, 900))] = f"x{i}"
+        docs.append((i, " ".join(new)))
+    assert kept(make_docs([(i, t, "en", "a") for i, t in docs])) == brute_keep(docs)

@@ -91,16 +91,6 @@ def test_simhash_odd(odd_docs, make_docs, monkeypatch):
     assert again == got
 
 
-def test_near_copies_go(make_docs):
-    rng = np.random.default_rng(3)
-    words = [f"w{i}" for i in range(3000)]
-    one, other = list(rng.choice(words, 400)), list(rng.choice(words, 400))
-    near = one.copy()
-    near[200] = "changed"
-    docs = make_docs([(5, " ".join(one), "en", "a"), (9, " ".join(near), "en", "a"), (7, " ".join(other), "en", "a"), (8, " ".join(one[:200] + other[:200]), "en", "a")])
-    assert {r["doc_id"] for r in simhash.keep_one(docs).collect()} == {5, 7, 8}
-
-
 def test_mixing_odd(odd_docs, make_docs):
     got = mixing.mix(odd_docs).toPandas()
     assert len(got) == odd_docs.count()

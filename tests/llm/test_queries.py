@@ -38,7 +38,7 @@ def rows(spark, name, key="doc_id"):
 def test_registered():
     names = set(entry_point.queries())
     assert set(QUERIES) | {"pipeline"} <= names
-    assert {f"op{i}" for i in range(1, 11)} == {n.split("_")[0] for n in QUERIES}
+    assert {f"op{i}" for i in range(1, 14)} == {n.split("_")[0] for n in QUERIES}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
