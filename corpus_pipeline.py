@@ -18,8 +18,8 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of exact and near copies (5-word shingles, similarity of about 0.8 or more)."""
-    return simhash.keep_one(docs)
+    """One document of each group of exact and near copies: fingerprints of 3-word shingles at most 3 bits apart, in chains."""
+    return simhash.keep_one(docs, shingle=3, max_bits=3)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
