@@ -275,10 +275,14 @@ def _y_at(e: str, x: str) -> str:
 
 
 def _even_odd_of(segs: str) -> str:
-    cross_x = (
-        "ve.x1 + (ve.x2 - ve.x1) * ((vf.x1 - ve.x1) * (vf.y2 - vf.y1) - (vf.y1 - ve.y1) * (vf.x2 - vf.x1)) "
-        "/ ((ve.x2 - ve.x1) * (vf.y2 - vf.y1) - (ve.y2 - ve.y1) * (vf.x2 - vf.x1))"
-    )
+    def meeting(e: str, f: str) -> str:
+        return (
+            f"{e}.x1 + ({e}.x2 - {e}.x1) * (({f}.x1 - {e}.x1) * ({f}.y2 - {f}.y1) - ({f}.y1 - {e}.y1) * ({f}.x2 - {f}.x1)) "
+            f"/ (({e}.x2 - {e}.x1) * ({f}.y2 - {f}.y1) - ({e}.y2 - {e}.y1) * ({f}.x2 - {f}.x1))"
+        )
+
+    # both edges of a crossing are cut at the very same x
+    cross_x = f"CASE WHEN ve < vf THEN {meeting('ve', 'vf')} ELSE {meeting('vf', 've')} END"
     cuts = (
         "array_sort(array_distinct(concat(array(ve.x1, ve.x2), "
         f"transform(filter(vs, vf -> {_boxes_meet('ve', 'vf')} AND {_cross('ve', 'vf')}), vf -> {cross_x}), "
@@ -297,8 +301,9 @@ def _even_odd_of(segs: str) -> str:
     cut = (
         f"flatten(transform(filter(vs, vu -> vu.x1 != vu.x2), ve -> {bind('vx', cuts, pieces)}))"
     )
-    mid_x, mid_y = "((vp.x1 + vp.x2) / 2)", "((vp.y1 + vp.y2) / 2)"
-    at = _y_at("vq", mid_x)
+    # by one formula for both, so that of two pieces exactly one is below the other
+    mid_x = "((vp.x1 + vp.x2) / 2)"
+    mid_y, at = _y_at("vp", mid_x), _y_at("vq", mid_x)
     below = (
         f"size(filter(vc, (vq, vj) -> vj != vk AND vq.x1 <= {mid_x} AND {mid_x} < vq.x2 "
         f"AND ({at} < {mid_y} OR ({at} = {mid_y} AND vj < vk))))"
