@@ -54,10 +54,10 @@ def salted_join(
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)))
         .drop("_salts")
     )
-    return _join(dealt, repeated, [*on, "_salt"], how, condition).drop("_salt")
+    return keyed_join(dealt, repeated, [*on, "_salt"], how, condition).drop("_salt")
 
 
-def _join(left: DataFrame, right: DataFrame, on: list[str], how: str, condition: Column | None) -> DataFrame:
+def keyed_join(left: DataFrame, right: DataFrame, on: list[str], how: str, condition: Column | None) -> DataFrame:
     """Join on equal columns and a further condition, keeping the left key columns."""
     if condition is None:
         return left.join(right, on, how)
@@ -79,5 +79,5 @@ def sized_join(
 ) -> DataFrame:
     """Broadcast the right side when its measured size allows, else join with salted hot keys."""
     if fits_broadcast(right, row_bytes, limit):
-        return _join(left, F.broadcast(right), on, how, condition)
+        return keyed_join(left, F.broadcast(right), on, how, condition)
     return salted_join(left, right, on, spread_by, how, condition=condition)
