@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cropmosaic.functions import geometry as G
 from cropmosaic.functions.text import clean_number, strip_unit
-from cropmosaic.operators import analysis, charts, communes, prepare, quality, sampling, spatial
+from cropmosaic.operators import analysis, charts, communes, dissolve, prepare, quality, sampling, spatial
 from cropmosaic.plans import surrogates as data
 from cropmosaic.schemas import region_dim
 from cropmosaic.session import shared_folder, stored
@@ -232,6 +232,35 @@ def department_crop_units_first(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(crops, "surf_ha", "surf_perc", "perc_parcels")
 
 
+def dissolved_department_crop(spark: SparkSession, sf: str) -> DataFrame:
+    """Ground covered per department and crop by the parcels that touch the department, overlaps counted once."""
+    tiles = spatial.unit_tiles(data.departments(spark, sf), 2 * CELL, contact=True)
+    parcels = data.parcels(spark, sf)
+    pairs = spatial.join_intersects(parcels, tiles, 2 * CELL, ["parcel_id"], ["CODE_GROUP"]).filter("geo_unit IS NOT NULL")
+    united = dissolve.dissolve_joined(pairs, parcels, ["parcel_id"], ["geo_unit", "CODE_GROUP"], 2 * CELL)
+    return _rounded(dissolve.dissolved_area(united, ["geo_unit", "CODE_GROUP"]), "area_m2")
+
+
+def dissolved_stars(spark: SparkSession, sf: str) -> DataFrame:
+    """Area of two united stars, summed over cells and of the outline walked back from them."""
+    united = stored(dissolve.dissolve(data.paired_stars(spark, sf), ["pair_id"], CELL / 4))
+    outline = dissolve.outlines(united, ["pair_id"]).select("pair_id", F.expr(G.signed_area("rings")).alias("outline_m2"))
+    both = dissolve.dissolved_area(united, ["pair_id"]).join(outline, "pair_id")
+    return both.select("pair_id", *[F.round(c, 5).alias(c) for c in ("area_m2", "outline_m2")])
+
+
+def repaired_outlines(spark: SparkSession, sf: str) -> DataFrame:
+    """Damaged stars repaired to outlines, written as polygon files, read back, measured; rings that meet themselves counted."""
+    path = shared_folder(spark)
+    tables.write_features(dissolve.repair_outlines(data.damaged_stars(spark, sf).select("vec_id", "rings")), path)
+    back = read_shapefiles(spark, path)
+    return back.select(
+        F.col("vec_id").cast("long").alias("vec_id"),
+        F.round(F.expr(G.polygon_area("rings")), 6).alias("area_m2"),
+        F.expr(f"size(filter(rings, ring -> {G.self_crossing('array(ring)')}))").alias("crossing"),
+    )
+
+
 def units_of_region(spark: SparkSession, sf: str) -> DataFrame:
     """Parcels whose leading unit belongs to a chosen region."""
     chosen = prepare.units_of_region(_assigned(spark, sf), ["00", "01", "05", "06"])
@@ -478,6 +507,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         repeated_ids_intersects,
         overlap_area,
         star_largest,
+        dissolved_department_crop,
+        dissolved_stars,
+        repaired_outlines,
         parcels_on_stars,
         department_crop,
         department_crop_units_first,

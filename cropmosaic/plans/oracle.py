@@ -313,6 +313,25 @@ _SAMPLE = """SELECT * FROM (SELECT *, row_number() OVER (ORDER BY md5(parcel_id
 WHERE rn <= {n}"""
 _TENTH = "(SELECT round_even(0.1 * count(*), 0) FROM parcels)"
 
+REPAIRED = f"""WITH {DAMAGED},
+bent AS (SELECT vec_id, i, x AS x1, y AS y1, nx AS x2, ny AS y2 FROM walk WHERE vec_id % 4 = 2),
+meets AS (
+  SELECT a.vec_id, a.x1, a.x2, (a.x2 - a.x1) * (b.y2 - b.y1) - (a.y2 - a.y1) * (b.x2 - b.x1) AS d,
+         (b.x1 - a.x1) * (b.y2 - b.y1) - (b.y1 - a.y1) * (b.x2 - b.x1) AS t,
+         (b.x1 - a.x1) * (a.y2 - a.y1) - (b.y1 - a.y1) * (a.x2 - a.x1) AS u
+  FROM bent a JOIN bent b ON a.vec_id = b.vec_id AND a.i < b.i),
+events AS (
+  SELECT vec_id, x1 AS x FROM bent
+  UNION SELECT vec_id, x1 + t / d * (x2 - x1) FROM meets WHERE d != 0 AND t / d > 0 AND t / d < 1 AND u / d > 0 AND u / d < 1),
+strips AS (SELECT vec_id, x AS a, lead(x) OVER (PARTITION BY vec_id ORDER BY x) AS b FROM events),
+levels AS (
+  SELECT s.vec_id, a, b, y1 + ((a + b) / 2 - x1) / (x2 - x1) * (y2 - y1) AS y
+  FROM strips s JOIN bent e ON s.vec_id = e.vec_id AND least(x1, x2) <= a AND greatest(x1, x2) >= b AND x1 != x2
+  WHERE b IS NOT NULL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY vec_id, a ORDER BY y) AS n FROM levels)
+SELECT vec_id, round(abs(area), 6) AS area_m2 FROM turned WHERE vec_id % 4 != 2
+UNION ALL SELECT vec_id, round(sum(CASE WHEN n % 2 = 0 THEN y ELSE -y END * (b - a)), 6) FROM ranked GROUP BY vec_id"""
+
 ORACLE: dict[str, str] = {
     "commune_crop": f"WITH {PREPARED} SELECT * FROM prepared",
     "border_merge_reference": f"WITH {COMPILED} SELECT * FROM compiled",
@@ -402,24 +421,42 @@ FROM (SELECT c_custkey, -5 + (c_custkey * 37) % 1400 / 100.0::DOUBLE AS lon, 42
     "cleaned_rings": f"""WITH {DAMAGED}
 SELECT vec_id, 1 AS n_rings, CAST(65 AS INTEGER) AS n_points,
        round(abs(area), 6) AS signed_area_m2 FROM turned""",
-    "repaired_area": f"""WITH {DAMAGED},
-bent AS (SELECT vec_id, i, x AS x1, y AS y1, nx AS x2, ny AS y2 FROM walk WHERE vec_id % 4 = 2),
-meets AS (
-  SELECT a.vec_id, a.x1, a.x2, (a.x2 - a.x1) * (b.y2 - b.y1) - (a.y2 - a.y1) * (b.x2 - b.x1) AS d,
-         (b.x1 - a.x1) * (b.y2 - b.y1) - (b.y1 - a.y1) * (b.x2 - b.x1) AS t,
-         (b.x1 - a.x1) * (a.y2 - a.y1) - (b.y1 - a.y1) * (a.x2 - a.x1) AS u
-  FROM bent a JOIN bent b ON a.vec_id = b.vec_id AND a.i < b.i),
-events AS (
-  SELECT vec_id, x1 AS x FROM bent
-  UNION SELECT vec_id, x1 + t / d * (x2 - x1) FROM meets WHERE d != 0 AND t / d > 0 AND t / d < 1 AND u / d > 0 AND u / d < 1),
-strips AS (SELECT vec_id, x AS a, lead(x) OVER (PARTITION BY vec_id ORDER BY x) AS b FROM events),
-levels AS (
-  SELECT s.vec_id, a, b, y1 + ((a + b) / 2 - x1) / (x2 - x1) * (y2 - y1) AS y
-  FROM strips s JOIN bent e ON s.vec_id = e.vec_id AND least(x1, x2) <= a AND greatest(x1, x2) >= b AND x1 != x2
-  WHERE b IS NOT NULL),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY vec_id, a ORDER BY y) AS n FROM levels)
-SELECT vec_id, round(abs(area), 6) AS area_m2 FROM turned WHERE vec_id % 4 != 2
-UNION ALL SELECT vec_id, round(sum(CASE WHEN n % 2 = 0 THEN y ELSE -y END * (b - a)), 6) FROM ranked GROUP BY vec_id""",
+    "repaired_area": REPAIRED,
+    "repaired_outlines": f"SELECT vec_id, area_m2, 0 AS crossing FROM ({REPAIRED})",
+    "dissolved_department_crop": f"""WITH {PARCELS},
+departments AS (
+  SELECT lpad(CAST(r_regionkey AS VARCHAR), 2, '0') AS geo_unit, CASE WHEN r_regionkey = 4 THEN 5000 ELSE r_regionkey * 190 END AS x0 FROM region),
+squares AS (
+  SELECT DISTINCT d.geo_unit, p."CODE_GROUP", p.x0 + i AS x, p.y0 + j AS y
+  FROM parcels p JOIN departments d ON p.x0 <= d.x0 + 190 AND d.x0 <= p.x0 + p.w AND p.y0 <= 950,
+       range(0, 25) r(i), range(0, 20) t(j)
+  WHERE i < p.w AND j < p.h)
+SELECT geo_unit, "CODE_GROUP", CAST(count(*) AS DOUBLE) AS area_m2 FROM squares GROUP BY geo_unit, "CODE_GROUP\"""",
+    "dissolved_stars": """WITH corners AS (
+  SELECT vec_id, i, ((vec_id - vec_id % 2) * 37) % 950 + (vec_id % 2) * 13 + r * cos(a) AS x, ((vec_id - vec_id % 2) * 53) % 950 + r * sin(a) AS y
+  FROM (SELECT vec_id, i, 20 * (1 + abs(CAST(embedding[i] AS DOUBLE))) AS r, 2 * pi() * (i - 1) / len(embedding) AS a
+        FROM (SELECT vec_id, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings))),
+around AS (
+  SELECT vec_id, x, y, coalesce(lead(x) OVER o, first_value(x) OVER o) AS nx, coalesce(lead(y) OVER o, first_value(y) OVER o) AS ny
+  FROM corners WINDOW o AS (PARTITION BY vec_id ORDER BY i)),
+drawn AS (
+  SELECT vec_id, vec_id // 2 AS pair_id, least(x, nx) AS x1, greatest(x, nx) AS x2, CASE WHEN x < nx THEN y ELSE ny END + 1000 AS y1,
+         CASE WHEN x < nx THEN ny ELSE y END + 1000 AS y2, CASE WHEN nx < x THEN 1 ELSE -1 END AS s
+  FROM around WHERE x != nx),
+meet AS (
+  SELECT a.pair_id, a.s * b.s AS s, greatest(a.x1, b.x1) AS lo, least(a.x2, b.x2) AS hi,
+         a.x1 AS ax, a.y1 AS ay, (a.y2 - a.y1) / (a.x2 - a.x1) AS am, b.x1 AS bx, b.y1 AS by_, (b.y2 - b.y1) / (b.x2 - b.x1) AS bm
+  FROM drawn a JOIN drawn b ON a.vec_id + 1 = b.vec_id AND a.pair_id = b.pair_id AND a.x1 < b.x2 AND b.x1 < a.x2),
+heights AS (
+  SELECT pair_id, s, hi - lo AS w, ay + am * (lo - ax) AS a1, ay + am * (hi - ax) AS a2, by_ + bm * (lo - bx) AS b1, by_ + bm * (hi - bx) AS b2
+  FROM meet),
+shared AS (
+  SELECT pair_id, sum(s * w * (a1 + a2 + b1 + b2 - CASE WHEN (a1 - b1) * (a2 - b2) >= 0 THEN abs(a1 - b1 + a2 - b2)
+                      ELSE ((a1 - b1) * (a1 - b1) + (a2 - b2) * (a2 - b2)) / abs(a1 - b1 - a2 + b2) END) / 4) AS m2
+  FROM heights GROUP BY pair_id),
+areas AS (SELECT pair_id, sum(s * (x2 - x1) * (y1 + y2) / 2) AS m2 FROM drawn GROUP BY pair_id)
+SELECT pair_id, round(a.m2 - coalesce(b.m2, 0), 5) AS area_m2, round(a.m2 - coalesce(b.m2, 0), 5) AS outline_m2
+FROM areas a LEFT JOIN shared b USING (pair_id)""",
     "spatial_candidates": f"""WITH {PARCELS}, {COMMUNES}
 SELECT p.parcel_id, c.geo_unit FROM parcels p JOIN communes c
   ON p.x0 <= c.x0 + c.w AND c.x0 <= p.x0 + p.w AND p.y0 <= c.y0 + c.h AND c.y0 <= p.y0 + p.h""",

@@ -94,6 +94,20 @@ def stars(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def paired_stars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """pair_id, rings: two stars of neighbouring numbers drawn over each other, the second one 13 m further right."""
+    radius = "20 * (1 + abs(CAST(embedding[i - 1] AS DOUBLE)))"
+    even = "(vec_id - vec_id % 2)"
+    ring = (
+        "transform(sequence(1, size(embedding)), i -> struct("
+        f"({even} * 37) % 950 + (vec_id % 2) * 13 + {radius} * cos(2 * pi() * (i - 1) / size(embedding)) AS x, "
+        f"({even} * 53) % 950 + {radius} * sin(2 * pi() * (i - 1) / size(embedding)) AS y))"
+    )
+    return spread(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "vec_id").select(
+        F.expr("vec_id div 2").alias("pair_id"), F.expr(f"array({ring})").alias("rings")
+    )
+
+
 def damaged_stars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stars with made-up defects by vec_id: none, clockwise, crossing, or with a repeated point.
 
