@@ -110,6 +110,31 @@ def to_lambert93(rings: str, srid: str) -> str:
     )
 
 
+def lambert93_to_lonlat(x: str, y: str) -> tuple[str, str]:
+    """Degrees of a point in metres, the inverse of lonlat_to_lambert93.
+
+    The latitude of an isometric latitude has no closed form: each turn shrinks the error by the
+    square of the eccentricity, so eight leave nothing of it.
+    """
+    east, south = f"({x} - {number(LAMBERT93_X0)})", f"({number(LAMBERT93_YS)} - {y})"
+    grown = f"power(sqrt({east} * {east} + {south} * {south}) / {number(LAMBERT93_C)}, -1 / {number(LAMBERT93_N)})"
+    es = f"({number(LAMBERT93_E)} * sin(it))"
+    turn = f"2 * atan(ie * power((1 + {es}) / (1 - {es}), {number(LAMBERT93_E)} / 2)) - pi() / 2"
+    latitude = bind("ie", grown, f"degrees(aggregate(sequence(1, 8), 2 * atan(ie) - pi() / 2, (it, ii) -> {turn}))")
+    return f"({number(LAMBERT93_LON0)} + degrees(atan2({east}, {south}) / {number(LAMBERT93_N)}))", latitude
+
+
+def to_lonlat(rings: str, srid: str) -> str:
+    """Rings in degrees, for export; only Lambert-93 and lon/lat itself are known."""
+    lon, lat = lambert93_to_lonlat("lp.x", "lp.y")
+    return (
+        f"CASE WHEN {srid} = {WGS84_SRID} THEN {rings} "
+        f"WHEN {srid} = {LAMBERT93_SRID} THEN "
+        f"transform({rings}, lr -> transform(lr, lp -> struct({lon} AS x, {lat} AS y))) "
+        f"ELSE raise_error(concat('no transform to degrees from srid ', coalesce(CAST({srid} AS STRING), 'NULL'))) END"
+    )
+
+
 # ---------------------------------------------------------------- segments
 
 

@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 from cropmosaic.functions import geometry as G
 from cropmosaic.functions.text import clean_number, strip_unit
 from cropmosaic.operators import analysis, charts, communes, dissolve, prepare, quality, sampling, spatial
+from cropmosaic.plans import build, staging
 from cropmosaic.plans import surrogates as data
-from cropmosaic.schemas import region_dim
+from cropmosaic.schemas import DEPARTMENTS_CORSE, DEPARTMENTS_ILE_DE_FRANCE, region_dim
 from cropmosaic.session import shared_folder, stored
 from cropmosaic.sinks import tables
 from cropmosaic.sources import layers, links
 from cropmosaic.sources.shapefile import read_shapefiles
-from cropmosaic.sources.tables import load_prepared
+from cropmosaic.sources.tables import load_prepared, read_crop_groups
 
 CELL = data.CELL_SIZE
 REPORT_YEAR = 1997
@@ -124,6 +125,21 @@ def to_lambert93(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def projected_rings(spark: SparkSession, sf: str) -> DataFrame:
+    """Small fields in degrees brought to metres, measured, and taken back to where they were (to a millimetre)."""
+    fields = data.lonlat_points(spark, sf).select("c_custkey", F.expr(G.box_rings("lon", "lat", "0.02", "0.01")).alias("drawn"))
+    metres = fields.withColumn("rings", F.expr(G.to_lambert93("drawn", str(G.WGS84_SRID))))
+    metres = metres.withColumn("back", F.expr(G.to_lonlat("rings", str(G.LAMBERT93_SRID)))).withColumn("box", F.expr(G.bbox("rings")))
+    off = "array_max(zip_with(flatten(drawn), flatten(back), (a, b) -> greatest(abs(a.x - b.x), abs(a.y - b.y))))"
+    return metres.select(
+        "c_custkey",
+        F.round(F.expr(G.polygon_area("rings")), 0).alias("area_m2"),
+        F.round("box.xmin", 3).alias("xmin"),
+        F.round("box.ymax", 3).alias("ymax"),
+        (F.expr(off) < 8e-9).alias("returns"),
+    )
+
+
 def invalid_rings(spark: SparkSession, sf: str) -> DataFrame:
     return quality.flag_invalid(data.damaged_stars(spark, sf), ["vec_id"])
 
@@ -261,6 +277,20 @@ def repaired_outlines(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def department_crop_of_regions(spark: SparkSession, sf: str) -> DataFrame:
+    """Crops of the departments of two regions, whose outlines alone are parsed from files keyed in two ways."""
+    path = shared_folder(spark)
+    staging.stage_departments(spark, sf, path)
+    listed = {"code_insee|insee_dep": DEPARTMENTS_ILE_DE_FRANCE + DEPARTMENTS_CORSE}
+    units = prepare.normalize_departments(read_shapefiles(spark, path, "department", where=listed))
+    parcels = data.parcels(spark, sf).withColumn("rings", F.expr(staging.placed("rings")))
+    parcels = parcels.withColumn("surf_parc_ha", F.col("area_m2") / 10000)
+    tiles = spatial.unit_tiles(units, 2 * CELL)
+    found = spatial.join_largest(parcels, tiles, 2 * CELL, ["parcel_id"], ["CODE_GROUP", "surf_parc_ha"])
+    crops = communes.department_crop(found.filter("geo_unit IS NOT NULL"))
+    return _rounded(crops, "surf_ha", "surf_perc", "perc_parcels")
+
+
 def units_of_region(spark: SparkSession, sf: str) -> DataFrame:
     """Parcels whose leading unit belongs to a chosen region."""
     chosen = prepare.units_of_region(_assigned(spark, sf), ["00", "01", "05", "06"])
@@ -424,6 +454,25 @@ def prepared_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/compiled")
 
 
+def whole_job(spark: SparkSession, sf: str) -> DataFrame:
+    """From delivered files to the compiled table: both layouts, split files, metres and degrees, crop names from a CSV."""
+    root = shared_folder(spark)
+    staging.stage_deliveries(spark, sf, root)
+    build.prepare_deliveries(spark, f"{root}/raw", f"{root}/communes", f"{root}/crop_groups", f"{root}/out", CELL)
+    compiled = build.compile_table(spark, f"{root}/out")
+    # a parcel drawn in degrees is exact to a few billionths of a metre
+    return compiled.withColumns({c: F.round(c, 3) for c in ("surf_agri_geo_unit_m2", "surf_cult_m2", "max_agri")}).withColumn(
+        "surf_cult_perc", F.round("surf_cult_perc", 6)
+    )
+
+
+def crop_group_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The published crop table, written as it is delivered and read back."""
+    path = shared_folder(spark)
+    data.crop_groups(spark, sf).write.csv(path, sep=";", header=True, encoding="UTF-8")
+    return read_crop_groups(spark, path)
+
+
 def shapefile_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Parcels exported as polygon files and read back by record ranges."""
     folder = shared_folder(spark)
@@ -496,6 +545,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         polygon_area,
         star_boxes,
         to_lambert93,
+        projected_rings,
         invalid_rings,
         cleaned_rings,
         repaired_area,
@@ -507,6 +557,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         repeated_ids_intersects,
         overlap_area,
         star_largest,
+        department_crop_of_regions,
+        whole_job,
+        crop_group_table,
         dissolved_department_crop,
         dissolved_stars,
         repaired_outlines,

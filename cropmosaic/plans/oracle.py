@@ -4,7 +4,6 @@ Boxes are intersected with least/greatest, stars by the edge formula with a comm
 line, diversity in two passes; nothing here knows about grid cells.
 """
 
-from cropmosaic.functions import geometry as G
 from cropmosaic.plans.surrogates import YEAR_OF_PARCELS
 from cropmosaic.schemas import EXTRA_LABELS, FIRST_YEAR, LAST_YEAR, REGIONS
 
@@ -218,7 +217,23 @@ found AS (
 SELECT *, open_rings = 0 AND repeated_points = 0 AND small_rings = 0 AND NOT misoriented AND NOT crossing AS valid
 FROM found"""
 
-_X, _Y = G.lonlat_to_lambert93("lon", "lat")
+# Lambert conformal conic from its defining parameters: ellipsoid, two parallels, origin.
+CONE = """
+shape AS (SELECT sqrt(2 * f - f * f) AS e FROM (SELECT 1 / 298.257222101::DOUBLE AS f)),
+parallels AS (
+  SELECT deg, e, cos(phi) / sqrt(1 - e * e * sin(phi) * sin(phi)) AS m,
+         tan(pi() / 4 - phi / 2) / pow((1 - e * sin(phi)) / (1 + e * sin(phi)), e / 2) AS t
+  FROM shape, (SELECT deg, radians(deg) AS phi FROM (VALUES (44.0::DOUBLE), (49.0::DOUBLE), (46.5::DOUBLE)) v(deg))),
+cone AS (
+  SELECT a.e, (ln(a.m) - ln(b.m)) / (ln(a.t) - ln(b.t)) AS n, a.m AS m1, a.t AS t1, o.t AS t0
+  FROM parallels a, parallels b, parallels o WHERE a.deg = 44 AND b.deg = 49 AND o.deg = 46.5),
+cones AS (SELECT e, n, 6378137 * m1 / (n * pow(t1, n)) AS af, 6378137 * m1 / (n * pow(t1, n)) * pow(t0, n) AS r0 FROM cone),
+projected AS (
+  SELECT p.*, 700000 + r * sin(n * radians(lon - 3)) AS x, 6600000 + r0 - r * cos(n * radians(lon - 3)) AS y
+  FROM (SELECT p.*, n, r0, af * pow(tan(pi() / 4 - radians(lat) / 2)
+                 / pow((1 - e * sin(radians(lat))) / (1 + e * sin(radians(lat))), e / 2), n) AS r FROM places p, cones) p)"""
+
+_CUSTOMERS = """SELECT c_custkey, -5 + (c_custkey * 37) % 1400 / 100.0::DOUBLE AS lon, 42 + (c_custkey * 53) % 900 / 100.0::DOUBLE AS lat FROM customer"""
 
 YEARS = "|".join(str(y) for y in range(FIRST_YEAR, LAST_YEAR + 1))
 CODES = "|".join(code for _, code in REGIONS)
@@ -335,6 +350,23 @@ UNION ALL SELECT vec_id, round(sum(CASE WHEN n % 2 = 0 THEN y ELSE -y END * (b -
 ORACLE: dict[str, str] = {
     "commune_crop": f"WITH {PREPARED} SELECT * FROM prepared",
     "border_merge_reference": f"WITH {COMPILED} SELECT * FROM compiled",
+    "whole_job": f"""WITH {COMPILED} SELECT * REPLACE (round(surf_agri_geo_unit_m2, 3) AS surf_agri_geo_unit_m2,
+  round(surf_cult_m2, 3) AS surf_cult_m2, round(surf_cult_perc, 6) AS surf_cult_perc, round(max_agri, 3) AS max_agri) FROM compiled""",
+    "crop_group_table": f"""WITH {LABELS}
+SELECT lpad(CAST(p_partkey AS VARCHAR), 10, '0') AS "CODE_CULTURE", p_name AS "LIBELLE_CULTURE",
+       CAST(CASE WHEN k < 9 THEN k + 1 WHEN k = 9 THEN 11 WHEN k < 23 THEN k + 4 ELSE 28 END AS INTEGER) AS "CODE_GROUPE_CULTURE",
+       p_type AS "LIBELLE_GROUPE_CULTURE" FROM (SELECT *, p_partkey % 24 AS k FROM part)""",
+    "department_crop_of_regions": f"""WITH {PARCELS}, {COMMUNES},
+listed AS (
+  SELECT *, ['75', '77', '78', '91', '92', '93', '94', '95', '2A', '2B'][CAST(geo_unit AS INTEGER) + 1] AS code
+  FROM communes WHERE CAST(geo_unit AS INTEGER) < 10),
+best AS (
+  SELECT p."CODE_GROUP", p.area_m2, c.code AS geo_unit, row_number() OVER (PARTITION BY p.parcel_id ORDER BY
+    (least(p.x0 + p.w, c.x0 + c.w) - greatest(p.x0, c.x0)) * (least(p.y0 + p.h, c.y0 + c.h) - greatest(p.y0, c.y0)) DESC, c.code) AS rn
+  FROM parcels p JOIN listed c ON p.x0 < c.x0 + c.w AND c.x0 < p.x0 + p.w AND p.y0 < c.y0 + c.h AND c.y0 < p.y0 + p.h),
+crops AS (SELECT geo_unit, "CODE_GROUP", sum(area_m2) / 10000 AS ha, count(*) AS n FROM best WHERE rn = 1 GROUP BY geo_unit, "CODE_GROUP")
+SELECT geo_unit, "CODE_GROUP", round(ha, 6) AS surf_ha, round(ha / sum(ha) OVER w, 6) AS surf_perc, n AS n_parcels,
+       round(n / sum(n) OVER w, 6) AS perc_parcels FROM crops WINDOW w AS (PARTITION BY geo_unit)""",
     "border_merge_complete": f"WITH {COMPLETE} SELECT * FROM compiled",
     "national_share_rows": _share("row_totals"),
     "national_share_unit": _share("unit_sums"),
@@ -412,11 +444,17 @@ FROM (
 SELECT vec_id, round(abs(sum((x - 500) * (ny - 500) - (nx - 500) * (y - 500)) / 2), 6) AS area_m2 FROM steps GROUP BY vec_id""",
     "star_boxes": f"""WITH {STARS}
 SELECT vec_id, round(xmin, 6) AS xmin, round(ymin, 6) AS ymin, round(xmax, 6) AS xmax, round(ymax, 6) AS ymax FROM star_box""",
-    "to_lambert93": f"""
-SELECT c_custkey, round({_X.replace('D)', ')').replace('D *', ' *').replace('D +', ' +').replace('D -', ' -').replace('D /', ' /')}, 4) AS x,
-       round({_Y.replace('D)', ')').replace('D *', ' *').replace('D +', ' +').replace('D -', ' -').replace('D /', ' /')}, 4) AS y
-FROM (SELECT c_custkey, -5 + (c_custkey * 37) % 1400 / 100.0::DOUBLE AS lon, 42 + (c_custkey * 53) % 900 / 100.0::DOUBLE AS lat
-      FROM customer)""",
+    "to_lambert93": f"""WITH places AS ({_CUSTOMERS}), {CONE}
+SELECT c_custkey, round(x, 4) AS x, round(y, 4) AS y FROM projected""",
+    "projected_rings": f"""WITH places AS (
+  SELECT c_custkey, i, lon + CASE WHEN i IN (1, 2) THEN 0.02 ELSE 0 END AS lon, lat + CASE WHEN i > 1 THEN 0.01 ELSE 0 END AS lat
+  FROM ({_CUSTOMERS}), range(0, 4) r(i)), {CONE},
+sides AS (
+  SELECT a.c_custkey, a.x, a.y, (a.x - o.x) * (b.y - o.y) - (b.x - o.x) * (a.y - o.y) AS cross2
+  FROM projected a JOIN projected b ON a.c_custkey = b.c_custkey AND b.i = (a.i + 1) % 4
+  JOIN projected o ON a.c_custkey = o.c_custkey AND o.i = 0)
+SELECT c_custkey, round(abs(sum(cross2)) / 2, 0) AS area_m2, round(min(x), 3) AS xmin, round(max(y), 3) AS ymax, true AS returns
+FROM sides GROUP BY c_custkey""",
     "invalid_rings": INVALID,
     "cleaned_rings": f"""WITH {DAMAGED}
 SELECT vec_id, 1 AS n_rings, CAST(65 AS INTEGER) AS n_points,

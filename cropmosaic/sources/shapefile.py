@@ -1,7 +1,9 @@
 """Polygon files (.shp, .shx, .dbf, .prj, .cpg) as a Spark data source.
 
-Reading: the index file gives the byte range of every record, so one large file is split
-into ranges of records that are parsed by many tasks. Writing: every task writes files of
+Reading: a Spark job looks at the indexes and attribute headers of all files; the index gives
+the byte range of every record, so a file is cut into ranges of records of about equal size that
+are parsed by many tasks. Attributes are read before shapes, and `where` leaves shapes that
+nobody asks for unparsed. Writing: every task writes files of
 its own and the driver publishes them when all have succeeded. Files are opened through
 pyarrow's file systems, so paths may be local or on shared storage.
 
@@ -18,9 +20,10 @@ from dataclasses import dataclass
 from itertools import repeat
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyarrow import fs as pafs
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.datasource import (
     DataSource,
@@ -141,30 +144,72 @@ class RecordRange(InputPartition):
     last: int
 
 
+#: Records and bytes of a range, and index entries looked at together.
+TASK_RECORDS, TASK_BYTES, INDEX_ROWS = 50_000, 16 << 20, 1 << 20
+
+
+def cut_records(path: str, per_task: int = TASK_RECORDS, task_bytes: int = TASK_BYTES) -> list[int]:
+    """Where the ranges of a file begin, and its number of records at the end.
+
+    By the lengths in the index: a range has at most per_task records and task_bytes bytes, or
+    one record that is larger.
+    """
+    files, inner = _open(path)
+    side = _side_file(inner, ".shx")
+    records = (files.get_file_info(side).size - HEADER_BYTES) // 8
+    cuts = []
+    with files.open_input_file(side) as index:
+        for first in range(0, records, INDEX_ROWS):
+            size = min(INDEX_ROWS, records - first)
+            words = np.frombuffer(index.read_at(8 * size, HEADER_BYTES + 8 * first), ">i4")
+            ends = np.cumsum(words[1::2].astype(np.int64) * 2 + 8)
+            at = 0
+            while at < size:
+                cuts.append(first + at)
+                before = int(ends[at - 1]) if at else 0
+                fit = int(np.searchsorted(ends, before + task_bytes, side="right"))
+                at = min(max(fit, at + 1), at + per_task, size)
+    return [*cuts, records]
+
+
 class ShapefileReader(DataSourceReader):
     """Parses ranges of records into Arrow batches."""
 
     def __init__(self, schema: T.StructType, options: dict):
         self.schema = schema
         self.wanted = {name.lower() for name in schema.names}
-        self.per_task = int(options.get("recordsPerPartition", 50_000))
-        self.task_bytes = int(options.get("bytesPerPartition", 16 << 20))
+        self.per_task = int(options.get("recordsPerPartition", TASK_RECORDS))
+        self.task_bytes = int(options.get("bytesPerPartition", TASK_BYTES))
+        self.cuts = options.get("cuts")
+        self.where = {k: set(v) for k, v in json.loads(options.get("where") or "{}").items()}
         self.per_batch = int(options.get("recordsPerBatch", 2_000))
         self.encoding = options.get("encoding")
-        self.paths = _requested(options)
+        self.paths = [] if self.cuts else _requested(options)
 
     def partitions(self) -> list[InputPartition]:
-        """Ranges of at most recordsPerPartition records and, by the file's mean, bytesPerPartition bytes."""
-        ranges = []
-        for path in self.paths:
-            files, inner = _open(path)
-            shapes, index = files.get_file_info([inner, _side_file(inner, ".shx")])
-            records = (index.size - HEADER_BYTES) // 8
-            fit = self.task_bytes * max(records, 1) // max(shapes.size, 1)
-            step = max(1, min(self.per_task, fit))
-            ranges += [RecordRange(path, first, min(first + step, records)) for first in range(0, records, step)]
+        """The ranges found by the planning job, or else by a look at each index here."""
+        if self.cuts:
+            found = json.loads(self.cuts)
+            self.cuts = None  # of no use to the tasks
+        else:
+            found = {path: cut_records(path, self.per_task, self.task_bytes) for path in self.paths}
+        ranges = [RecordRange(path, a, b) for path, cuts in found.items() for a, b in zip(cuts[:-1], cuts[1:])]
         return ranges or [RecordRange("", 0, 0)]
 
+    def _asked_for(self, rows: np.ndarray, fields: dict[str, Field], encoding: str) -> np.ndarray:
+        """Positions of the records that are not deleted and whose attributes `where` allows.
+
+        A key of `where` names one column, or several with a bar between them, of which the first that the file has counts.
+        """
+        keep = rows[:, 0] != ord("*")
+        for names, allowed in self.where.items():
+            found = [fields[n] for n in names.lower().split("|") if n in fields]
+            if not found:
+                return np.zeros(0, np.int64)
+            texts = _values(rows, found[0], encoding).cast(pa.string())
+            keep = keep & np.array([t in allowed for t in texts.to_pylist()], bool)
+        return np.flatnonzero(keep)
+
     def read(self, partition: RecordRange) -> Iterator[pa.RecordBatch]:
         if not partition.path:
             return
@@ -182,23 +227,26 @@ class ShapefileReader(DataSourceReader):
                 size = min(first + self.per_batch, partition.last) - first
                 words = np.frombuffer(index.read_at(8 * size, HEADER_BYTES + 8 * first), ">i4")
                 offsets, lengths = words.reshape(-1, 2).astype(np.int64).T * 2
-                start = int(offsets.min())
-                content = shapes.read_at(int((offsets + lengths).max()) + 8 - start, start)
                 rows = np.frombuffer(
                     attributes.read_at(table.width * size, table.start + table.width * first), np.uint8
                 ).reshape(-1, table.width)
+                at = self._asked_for(rows, {f.name.lower(): f for f in table.fields}, encoding)
+                if not len(at):
+                    continue
+                rows, offsets, lengths = rows[at], offsets[at], lengths[at]
                 columns = {
-                    "srid": pa.array([srid] * size, pa.int32()),
-                    "source_path": pa.array([partition.path] * size),
-                    "record": pa.array(np.arange(first, first + size)),
+                    "srid": pa.array([srid] * len(at), pa.int32()),
+                    "source_path": pa.array([partition.path] * len(at)),
+                    "record": pa.array(first + at),
                 }
                 if "rings" in self.wanted:
+                    start = int(offsets.min())
+                    content = shapes.read_at(int((offsets + lengths).max()) + 8 - start, start)
                     columns["rings"] = _rings(content, offsets - start + 8)
                 for field in table.fields:
                     if field.name.lower() in self.wanted:
                         columns[field.name.lower()] = _values(rows, field, encoding)
-                deleted = rows[:, 0] == ord("*")
-                yield self._batch(columns, size).filter(pa.array(~deleted))
+                yield self._batch(columns, len(at))
 
     def _batch(self, columns: dict, size: int) -> pa.RecordBatch:
         """The requested columns; those a file does not have are NULL."""
@@ -439,6 +487,12 @@ def _requested(options: dict) -> list[str]:
     return _shape_files(options["path"])
 
 
+def file_fields(path: str) -> list[list[str]]:
+    """[name, type] of the attributes of a file, in their order."""
+    files, inner = _open(path)
+    return [[f.name, f.spark_type().simpleString()] for f in AttributeTable.of(files, _side_file(inner, ".dbf")).fields]
+
+
 class ShapefileDataSource(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -452,14 +506,14 @@ class ShapefileDataSource(DataSource):
         """
         names: dict[str, str] = {}
         types: dict[str, T.DataType] = {}
-        for path in _requested(self.options):
-            files, inner = _open(path)
-            for f in AttributeTable.of(files, _side_file(inner, ".dbf")).fields:
-                low, kind = f.name.lower(), f.spark_type()
-                names.setdefault(low, f.name)
-                if types.setdefault(low, kind) != kind:
-                    both = (types[low], kind)
-                    types[low] = T.StringType() if T.StringType() in both else T.DoubleType()
+        kinds = {"string": T.StringType(), "double": T.DoubleType(), "bigint": T.LongType()}
+        told = self.options.get("fields")
+        for name, kind in json.loads(told) if told else [f for path in _requested(self.options) for f in file_fields(path)]:
+            low, kind = name.lower(), kinds[kind]
+            names.setdefault(low, name)
+            if types.setdefault(low, kind) != kind:
+                both = (types[low], kind)
+                types[low] = T.StringType() if T.StringType() in both else T.DoubleType()
         return T.StructType(
             [T.StructField(names[low], types[low]) for low in names]
             + [
@@ -482,18 +536,46 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(ShapefileDataSource)
 
 
-def read_shapefiles(spark: SparkSession, source: str | list[str], kind: str | None = None, **options):
+def _planned(per_task: int, task_bytes: int):
+    def plan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            paths = batch["path"].tolist()
+            cuts = [cut_records(p, per_task, task_bytes) for p in paths]
+            yield pd.DataFrame({"path": paths, "cuts": cuts, "fields": [json.dumps(file_fields(p)) for p in paths]})
+
+    return plan
+
+
+def list_shapefiles(spark: SparkSession, source: str | list[str]) -> DataFrame:
+    """Column `path`: every .shp file at or below a path, or the listed ones. Only listings are used."""
+    if not isinstance(source, str):
+        return spark.createDataFrame([(p,) for p in source], "path string")
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.[sS][hH][pP]")
+    return listing.load(source).select("path")
+
+
+def read_shapefiles(
+    spark: SparkSession, source: str | list[str], kind: str | None = None, where: dict[str, list[str]] | None = None, **options
+) -> DataFrame:
     """Polygon features below a folder, or of the listed files.
 
     kind 'pg', 'ia', 'commune' or 'department' gives the columns the pipeline expects, filled
-    with NULL where a file lacks one; without it the columns of all files are taken.
+    with NULL where a file lacks one; without it the columns of all files are taken. `where`
+    keeps the features whose attribute is one of a list, such as {"code_insee|insee_dep": ["75"]};
+    other shapes are not even parsed. A Spark job reads the indexes and headers of all files;
+    the driver holds the cut points, about one for each 16 MB of shapes (option bytesPerPartition).
     """
     from cropmosaic.schemas import FILE_SCHEMAS
 
     register(spark)
+    per_task, task_bytes = int(options.get("recordsPerPartition", TASK_RECORDS)), int(options.get("bytesPerPartition", TASK_BYTES))
+    paths = list_shapefiles(spark, source)
+    tasks = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    files = paths.repartition(tasks, "path").mapInPandas(_planned(per_task, task_bytes), "path string, cuts array<bigint>, fields string")
+    found = sorted(files.collect(), key=lambda r: r["path"])
     reader = spark.read.format("shapefile").options(**options)
+    reader = reader.option("cuts", json.dumps({r["path"]: r["cuts"] for r in found})).option("where", json.dumps(where or {}))
     if kind is not None:
-        reader = reader.schema(FILE_SCHEMAS[kind])
-    if isinstance(source, str):
-        return reader.load(source)
-    return reader.option("paths", json.dumps(source)).load()
+        return reader.schema(FILE_SCHEMAS[kind]).load()
+    layouts = dict.fromkeys(r["fields"] for r in found)
+    return reader.option("fields", json.dumps([f for text in layouts for f in json.loads(text)])).load()

@@ -114,6 +114,18 @@ def test_lambert93(spark):
         df.select(F.expr(G.to_lambert93("a", "27572"))).collect()
 
 
+def test_lambert93_and_back(spark):
+    rng = np.random.default_rng(1)
+    points = [(float(x), float(y)) for x, y in zip(rng.uniform(-5, 10, 200), rng.uniform(41, 51.5, 200))]
+    df = frame(spark, ([points],)).withColumn("m", F.expr(G.to_lambert93("a", "4326"))).withColumn("back", F.expr(G.to_lonlat("m", "2154")))
+    back = df.select("back", F.expr(G.to_lonlat("back", "4326")).alias("same")).first()
+    assert max(abs(p.x - x) * 1.1e8 for p, (x, _) in zip(back[0][0], points)) < 1  # millimetres
+    assert max(abs(p.y - y) * 1.1e8 for p, (_, y) in zip(back[0][0], points)) < 1
+    assert back[1] == back[0]
+    with pytest.raises(Exception, match="no transform"):
+        df.select(F.expr(G.to_lonlat("a", "27572"))).collect()
+
+
 OVERLAPS = [
     ([box(0, 0, 4, 4)], [box(2, 2, 6, 6)], 4.0),
     (WITH_HOLE, [box(1, 1, 2, 2)], 0.0),

@@ -9,11 +9,11 @@ from test_geometry import box
 from test_spatial import features
 
 from cropmosaic import session
-from cropmosaic.operators import sampling
+from cropmosaic.operators import prepare, sampling
 from cropmosaic.plans import build
 from cropmosaic.sinks import tables
 from cropmosaic.sources import layers, links
-from cropmosaic.sources.shapefile import read_shapefiles, short_names
+from cropmosaic.sources.shapefile import cut_records, read_shapefiles, short_names
 from cropmosaic.sources.tables import load_prepared, read_catch_crops, read_crop_groups, stack
 
 
@@ -200,12 +200,9 @@ def test_whole_job(spark, tmp_path):
     ia = features(spark, "NUM_ILOT", [("9", field(0, 20))]).select("NUM_ILOT", F.lit("2").alias("CODE_CULTU"), "rings")
     tables.write_features(pg, f"{raw}/deliveries/delivery_R84_2015", layer="PARCELLES_GRAPHIQUES")
     tables.write_features(ia.coalesce(1), f"{raw}/deliveries/delivery_R84_2010", layer="ILOTS_ANONYMES")
-    # a delivery holds one file of its layer
-    merged = read_shapefiles(spark, f"{raw}/deliveries/delivery_R84_2015").select("ID_PARCEL", "CODE_GROUP", "SURF_PARC", "rings")
-    tables.write_features(merged.coalesce(1), f"{raw}/one/delivery_R84_2015", layer="PARCELLES_GRAPHIQUES")
-    tables.write_features(ia.coalesce(1), f"{raw}/one/delivery_R84_2010", layer="ILOTS_ANONYMES")
+    assert len(list((tmp_path / "raw/deliveries/delivery_R84_2015").rglob("*.shp"))) > 1
 
-    prepared = build.prepare_deliveries(spark, f"{raw}/one", f"{raw}/towns", str(groups), out)
+    prepared = build.prepare_deliveries(spark, f"{raw}/deliveries", f"{raw}/towns", str(groups), out)
     got = {(r["year"], r["geo_unit"]): r for r in prepared.collect()}
     assert set(got) == {(2015, "01001"), (2015, "01002"), (2015, None), (2010, "01001")}
     town = got[2015, "01001"]
@@ -224,3 +221,75 @@ def test_columns_of_all_files_and_ranges_by_bytes(spark, tmp_path):
     assert {c: t for c, t in all_.dtypes if c in ("n", "late")} == {"n": "string", "late": "double"}
     assert all_.filter("n IS NOT NULL").count() == 80 and all_.agg(F.sum("late")).first()[0] == 195.0
     assert read_shapefiles(spark, str(tmp_path / "a"), bytesPerPartition=1000).rdd.getNumPartitions() > 4
+
+
+def test_ranges_follow_the_index(spark, tmp_path):
+    """One heavy record among light ones: no range holds more than twice the bytes, unless it is that record alone."""
+    light = spark.range(5000).select(F.col("id"), F.expr("array(array(struct(0D AS x, 0D AS y), struct(1D AS x, 0D AS y), struct(1D AS x, 1D AS y)))").alias("rings"))
+    heavy = F.expr("array(transform(sequence(1, 20000), i -> struct(cos(i / 3183.0988) AS x, sin(i / 3183.0988) AS y)))")
+    df = light.withColumn("rings", F.when(F.col("id") == 2500, heavy).otherwise(F.col("rings"))).coalesce(1)
+    tables.write_features(df, str(tmp_path / "out"))
+    path = str(next((tmp_path / "out").rglob("*.shp")))
+    cuts = cut_records(path, task_bytes=40_000)
+    assert cuts[0] == 0 and cuts[-1] == 5000 and cuts == sorted(set(cuts))
+    with open(path[:-4] + ".shx", "rb") as f:
+        lengths = [2 * n + 8 for n in struct.unpack(">10000i", f.read()[100:])[1::2]]
+    sizes = [(sum(lengths[a:b]), b - a) for a, b in zip(cuts, cuts[1:])]
+    assert all(size <= 40_000 or n == 1 for size, n in sizes) and sum(size > 40_000 for size, _ in sizes) == 1
+    assert len(cuts) < 30
+    back = read_shapefiles(spark, path, bytesPerPartition=40_000)
+    assert back.count() == 5000 and back.rdd.getNumPartitions() == len(cuts) - 1
+    assert cut_records(path, per_task=7)[:3] == [0, 7, 14]
+
+
+def test_index_read_in_pieces(spark, tmp_path, monkeypatch):
+    tables.write_features(spark.range(100).select("id", F.expr("array(array(struct(0D AS x, 0D AS y), struct(1D AS x, 0D AS y), struct(1D AS x, 1D AS y)))").alias("rings")).coalesce(1), str(tmp_path / "out"))
+    path = str(next((tmp_path / "out").rglob("*.shp")))
+    monkeypatch.setattr("cropmosaic.sources.shapefile.INDEX_ROWS", 30)
+    assert cut_records(path) == [0, 30, 60, 90, 100]
+
+
+def test_many_files_are_planned_by_a_job(spark, tmp_path):
+    rings = F.expr("array(array(struct(0D AS x, 0D AS y), struct(1D AS x, 0D AS y), struct(1D AS x, 1D AS y)))")
+    tables.write_features(spark.range(240, numPartitions=120).select("id", rings.alias("rings")), str(tmp_path / "out"))
+    back = read_shapefiles(spark, str(tmp_path / "out"))
+    assert back.select("source_path").distinct().count() == 120 and back.agg(F.sum("id")).first()[0] == 240 * 239 // 2
+    assert read_shapefiles(spark, str(tmp_path / "out"), where={"id": ["7", "239"]}).count() == 2
+    (tmp_path / "none").mkdir()
+    assert read_shapefiles(spark, str(tmp_path / "none"), "pg").count() == 0
+
+
+def test_unwanted_shapes_are_not_parsed(spark, tmp_path):
+    """Every shape but the wanted one is spoilt; only a read of all of them fails."""
+    df = features(spark, "code_insee", [(c, [box(0, 0, i + 1, 1)]) for i, c in enumerate(["01", "75", "2A", "33"])])
+    tables.write_features(df.coalesce(1), str(tmp_path / "a"))
+    tables.write_features(df.withColumnRenamed("code_insee", "insee_dep").coalesce(1), str(tmp_path / "b"))
+    for path in list(tmp_path.rglob("*.shp")):
+        content = bytearray(path.read_bytes())
+        index = path.with_suffix(".shx").read_bytes()[100:]
+        for k in (0, 2, 3):
+            at = 2 * struct.unpack_from(">i", index, 8 * k)[0] + 8
+            content[at : at + 4] = struct.pack("<i", 77)
+        path.write_bytes(bytes(content))
+    wanted = read_shapefiles(spark, str(tmp_path), "department", where={"code_insee|insee_dep": ["75", "95"]})
+    units = prepare.normalize_departments(wanted.withColumn("srid", F.lit(2154)))
+    assert [(r["geo_unit"], len(r["rings"][0])) for r in units.collect()] == [("75", 5)] * 2
+    assert read_shapefiles(spark, str(tmp_path), "department", where={"absent": ["75"]}).count() == 0
+    with pytest.raises(Exception, match="shape type 77"):
+        read_shapefiles(spark, str(tmp_path), "department").select(F.size("rings")).collect()
+
+
+@pytest.mark.parametrize("srid", [27572, None])
+def test_parcels_of_an_unknown_system_are_an_error(spark, srid):
+    df = features(spark, "ID_PARCEL", [("1", [box(0, 0, 1, 1)])])
+    df = df.select("ID_PARCEL", F.lit("1").alias("CODE_GROUP"), F.lit(1.0).alias("SURF_PARC"), "rings", F.lit(srid).cast("int").alias("srid"))
+    with pytest.raises(Exception, match="no transform"):
+        prepare.normalize_parcels(df, "pg", F.lit("R84"), F.lit(2015)).collect()
+
+
+def test_parcels_in_degrees_are_projected(spark):
+    df = features(spark, "ID_PARCEL", [("1", [box(3.0, 46.5, 3.001, 46.501)])])
+    df = df.select("ID_PARCEL", F.lit("1").alias("CODE_GROUP"), F.lit(1.0).alias("SURF_PARC"), "rings", F.lit(4326).alias("srid"))
+    row = prepare.normalize_parcels(df, "pg", F.lit("R84"), F.lit(2015)).first()
+    assert row["rings"][0][0]["x"] == pytest.approx(700000) and row["rings"][0][0]["y"] == pytest.approx(6600000)
+    assert row["area_m2"] == pytest.approx(8517, rel=1e-3)
