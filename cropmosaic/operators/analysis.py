@@ -63,6 +63,34 @@ def crop_richness(df: DataFrame, keys: list[str], value: str = "cult_label") ->
     return df.groupBy(*keys).agg(distinct_with_null(F.col(value)).alias("crops"))
 
 
+#: Registers of a richness sketch are 2^SKETCH_BITS; the standard error of an estimate is about 1.04 / 2^(SKETCH_BITS / 2).
+SKETCH_BITS = 12
+
+
+def richness_sketch(df: DataFrame, keys: list[str], value: str = "cult_label") -> DataFrame:
+    """keys, sketch, unknown: the distinct values of each group in bounded size, to be kept and merged upward.
+
+    `unknown` tells whether NULL is among them, as NULL counts as a value. A group of only NULLs has an empty sketch.
+    """
+    return df.groupBy(*keys).agg(
+        F.hll_sketch_agg(F.col(value), SKETCH_BITS).alias("sketch"), F.max(F.col(value).isNull()).alias("unknown")
+    )
+
+
+def merge_richness(sketches: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, sketch, unknown of coarser groups, from the sketches of finer ones; the finer rows are not read again."""
+    return sketches.groupBy(*keys).agg(F.hll_union_agg("sketch").alias("sketch"), F.max("unknown").alias("unknown"))
+
+
+def estimated_richness(sketches: DataFrame) -> DataFrame:
+    """The sketches replaced by `crops`, their estimated number of distinct values, NULL being one.
+
+    The standard error is 1.6 % (see SKETCH_BITS); small groups are counted exactly.
+    """
+    crops = F.hll_sketch_estimate("sketch") + F.col("unknown").cast("long")
+    return sketches.withColumn("crops", crops).drop("sketch", "unknown")
+
+
 def diversity(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Shannon and Simpson index per group, from the shares of `value` in its group sum."""
     return df.groupBy(*keys).agg(

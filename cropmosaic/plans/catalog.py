@@ -16,6 +16,7 @@ from cropmosaic.sinks import tables
 from cropmosaic.sources import layers, links
 from cropmosaic.sources.shapefile import read_shapefiles
 from cropmosaic.sources.tables import load_prepared, read_crop_groups
+from cropmosaic.sources.wkb import with_rings
 
 CELL = data.CELL_SIZE
 REPORT_YEAR = 1997
@@ -83,7 +84,8 @@ def extract_links(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def extract_links_of_block(spark: SparkSession, sf: str) -> DataFrame:
-    return links.extract_links(data.table(spark, sf, "pages"), r"(?s)<nav>(.*?)</nav>")
+    """Only the first three entries of the navigation: the block ends there."""
+    return links.extract_links(data.table(spark, sf, "pages"), r"(?s)(<nav>(?:.*?</li>){3})")
 
 
 def link_catalog(spark: SparkSession, sf: str) -> DataFrame:
@@ -331,7 +333,8 @@ def sample_hundred(spark: SparkSession, sf: str) -> DataFrame:
 
 def sample_layer(spark: SparkSession, sf: str) -> DataFrame:
     chosen = prepare.units_of_region(data.departments(spark, sf), ["00", "01"])
-    layer = sampling.sample_layer(data.parcels(spark, sf), chosen, 0.1)
+    unnamed = data.parcels(spark, sf).withColumn("feature", F.lit(None).cast("string"))  # sampled by year, region and id
+    layer = sampling.sample_layer(unnamed, chosen, 0.1)
     return layer.select("layer", "id", "CODE_GROUP", F.expr(G.polygon_area("rings")).alias("area_m2"))
 
 
@@ -392,6 +395,12 @@ def crop_richness(spark: SparkSession, sf: str) -> DataFrame:
     return analysis.crop_richness(some_unknown, ["name", "year"])
 
 
+def crop_richness_sketch(spark: SparkSession, sf: str) -> DataFrame:
+    """Crops per region and year, merged from sketches kept per commune and year."""
+    kept = stored(analysis.richness_sketch(compiled(spark, sf), ["geo_unit", "region", "year"]))
+    return analysis.estimated_richness(analysis.merge_richness(kept, ["region", "year"]))
+
+
 def diversity_area(spark: SparkSession, sf: str) -> DataFrame:
     indices = analysis.diversity(compiled(spark, sf), ["geo_unit", "year"], "surf_cult_m2")
     return _rounded(indices, "shannon_diversity", "simpson_diversity")
@@ -503,8 +512,12 @@ def geojson_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def wkb_features(spark: SparkSession, sf: str) -> DataFrame:
-    wkb = tables.with_wkb(data.parcels(spark, sf).select("parcel_id", "rings"))
-    return wkb.select("parcel_id", F.octet_length("wkb").alias("bytes"), F.hex(F.substring("wkb", 1, 9)).alias("head"))
+    """Parcels written as WKB, read back and measured."""
+    path = shared_folder(spark)
+    tables.write_features(data.parcels(spark, sf).select("parcel_id", "rings"), path, "wkb")
+    back = with_rings(spark.read.parquet(path).withColumn("bytes", F.octet_length("wkb")))
+    back = back.withColumn("box", F.expr(G.bbox("rings")))
+    return back.select("parcel_id", "bytes", "box.*", F.expr(G.signed_area("rings")).alias("area_m2"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -522,6 +535,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         top_crop_by_name_parcels,
         top_crop_one_year,
         crop_richness,
+        crop_richness_sketch,
         diversity_area,
         diversity_share,
         attach_geometry,

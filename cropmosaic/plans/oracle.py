@@ -381,6 +381,9 @@ SELECT geo_unit, "CODE_GROUP", round(ha, 6) AS surf_ha, round(ha / sum(ha) OVER
     "crop_richness": f"""WITH {COMPILED}
 SELECT name, year, count(DISTINCT label) + max(CASE WHEN label IS NULL THEN 1 ELSE 0 END) AS crops
 FROM (SELECT name, year, nullif(cult_label, 'Arboriculture') AS label FROM compiled) GROUP BY name, year""",
+    "crop_richness_sketch": f"""WITH {COMPILED}
+SELECT region, year, count(DISTINCT cult_label) + max(CASE WHEN cult_label IS NULL THEN 1 ELSE 0 END) AS crops
+FROM compiled GROUP BY region, year""",
     "diversity_area": f"WITH {_diversity('surf_cult_m2')} SELECT geo_unit, year, {_INDICES} FROM indices",
     "diversity_share": f"WITH {_diversity('surf_cult_perc')} SELECT geo_unit, year, {_INDICES} FROM indices",
     "attach_geometry": f"""WITH {COMPILED}
@@ -420,7 +423,7 @@ SELECT TRY_CAST(nullif(regexp_extract(text, '[0-9.]+'), '') AS DOUBLE) AS value,
     "units_stripped": f"""WITH {TEXTS}
 SELECT TRY_CAST(trim(regexp_replace(text, '\\[.*\\]', '')) AS DOUBLE) AS value, count(*) AS n FROM texts GROUP BY 1""",
     "extract_links": _LINKS.format(html="html"),
-    "extract_links_of_block": _LINKS.format(html="regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1)"),
+    "extract_links_of_block": _LINKS.format(html="regexp_extract(html, '(?s)(<nav>(?:.*?</li>){{3}})', 1) || '</ul>'").replace("{{3}}", "{3}"),
     "link_catalog": f"WITH {CATALOG} SELECT * FROM catalog",
     "region_year_grid": f"""WITH {CATALOG}
 SELECT g.region_code, g.year, g.region_name, count(c.url) AS files
@@ -549,5 +552,6 @@ SELECT region_code AS region, year, count(*) AS parcels, sum(area_m2) AS drawn_m
 FROM parcels GROUP BY region_code, year""",
     "geojson_roundtrip": f"""WITH {PARCELS} SELECT parcel_id, "CODE_GROUP", area_m2 FROM parcels""",
     "wkb_features": f"""WITH {PARCELS}
-SELECT parcel_id, 9 + 9 + 4 + 5 * 16 AS bytes, '010600000001000000' AS head FROM parcels""",
+SELECT parcel_id, 9 + 9 + 4 + 5 * 16 AS bytes, CAST(x0 AS DOUBLE) AS xmin, CAST(y0 AS DOUBLE) AS ymin,
+       CAST(x0 + w AS DOUBLE) AS xmax, CAST(y0 + h AS DOUBLE) AS ymax, area_m2 FROM parcels""",
 }

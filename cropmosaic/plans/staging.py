@@ -36,7 +36,7 @@ def stage_deliveries(spark: SparkSession, sf_dir: str, root: str) -> None:
     for layer, name in layers:
         drawn = stored(layer.withColumn("rings", F.expr(placed("rings"))))
         for region, year in sorted(map(tuple, drawn.select("region_code", "year").distinct().collect())):  # one row per delivery
-            of_delivery = drawn.filter((F.col("region_code") == region) & (F.col("year") == year)).drop("region_code", "year")
+            of_delivery = drawn.filter((F.col("region_code") == region) & (F.col("year") == year)).drop("region_code", "year", "feature")
             path = f"{root}/raw/delivery_{region}_{year}"
             _write(of_delivery.coalesce(FILES_PER_DELIVERY), path, region == IN_DEGREES, name)
     towns = data.communes(spark, sf_dir).select(F.col("geo_unit").alias("insee"), "nom", "surf_ha", F.expr(placed("rings")).alias("rings"))

@@ -40,12 +40,15 @@ def parcel_layers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
     code = F.expr("lpad(CAST(1 + (o_custkey * 7 + o_orderkey) % 28 AS STRING), 2, '0')")
     drawn = F.expr(G.box_rings(x0, y0, w, h)).alias("rings")
     region = F.expr(f"CASE WHEN {x0} < 500 THEN 'R84' ELSE 'R27' END").alias("region_code")
+    # one row of the table is one feature: its name does not depend on where a task finds it
+    feature = F.concat(F.lit("orders#"), F.col("o_orderkey").cast("string")).alias("feature")
     parcels = orders.filter(F.col("year") >= YEAR_OF_PARCELS)
     blocks = orders.filter(F.col("year") < YEAR_OF_PARCELS)
     declared = F.expr(f"{w} * {h} * (95 + o_orderkey % 11) / 1000000D")
     return (
         spread(parcels, "o_orderkey").select(
             F.col("o_orderkey").cast("string").alias("ID_PARCEL"),
+            feature,
             code.alias("CODE_GROUP"),
             declared.alias("SURF_PARC"),
             drawn,
@@ -53,7 +56,7 @@ def parcel_layers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
             "year",
         ),
         spread(blocks, "o_orderkey").select(
-            F.col("o_orderkey").cast("string").alias("NUM_ILOT"), code.alias("CODE_CULTU"), drawn, region, "year"
+            F.col("o_orderkey").cast("string").alias("NUM_ILOT"), feature, code.alias("CODE_CULTU"), drawn, region, "year"
         ),
     )
 

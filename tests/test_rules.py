@@ -203,3 +203,18 @@ def test_department_rows_without_parcels(spark):
 def test_value_counts_skips_null(spark):
     got = quality.value_counts(texts(spark, ["b", "a", None, "a"]), "t").collect()
     assert [tuple(r) for r in got] == [("a", 2), ("b", 1)]
+
+
+def test_richness_sketches(spark):
+    """Merged sketches against exact counts: small groups exact, large ones within four standard errors."""
+    rows = spark.range(200_000).selectExpr("id % 40 AS unit", "id % 4 AS region", "IF(id % 997 = 0, NULL, CAST(pmod(xxhash64(id), 50000) AS STRING)) AS cult_label")
+    few = spark.range(100).selectExpr("id % 5 + 100 AS unit", "9 AS region", "CAST(id % 20 AS STRING) AS cult_label")
+    blank = spark.sql("SELECT 200L AS unit, 10L AS region, CAST(NULL AS STRING) AS cult_label")
+    df = rows.unionByName(few).unionByName(blank)
+    kept = analysis.richness_sketch(df, ["unit", "region"])
+    got = {r["region"]: r["crops"] for r in analysis.estimated_richness(analysis.merge_richness(kept, ["region"])).collect()}
+    want = {r["region"]: r["crops"] for r in analysis.crop_richness(df, ["region"]).collect()}
+    assert got[9] == want[9] == 20 and got[10] == want[10] == 1
+    assert all(abs(got[g] / want[g] - 1) < 4 * 1.04 / 2 ** (analysis.SKETCH_BITS / 2) for g in range(4))
+    whole = analysis.estimated_richness(analysis.richness_sketch(df, ["region"]))
+    assert {r["region"]: r["crops"] for r in whole.collect()} == got

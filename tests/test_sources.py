@@ -2,19 +2,24 @@
 
 import os
 import struct
+import time
 
+import numpy as np
 import pytest
+from conftest import executed_plan
 from pyspark.sql import functions as F
 from test_geometry import box
 from test_spatial import features
 
 from cropmosaic import session
+from cropmosaic.functions import geometry as G
 from cropmosaic.operators import prepare, sampling
 from cropmosaic.plans import build
 from cropmosaic.sinks import tables
 from cropmosaic.sources import layers, links
 from cropmosaic.sources.shapefile import cut_records, read_shapefiles, short_names
 from cropmosaic.sources.tables import load_prepared, read_catch_crops, read_crop_groups, stack
+from cropmosaic.sources.wkb import with_rings
 
 
 def test_shapefile_keeps_geometry_and_attributes(spark, tmp_path):
@@ -75,6 +80,28 @@ def test_wkb(spark, tmp_path):
     assert struct.unpack_from("<I2d", data, 18) == (5, 0.0, 0.0)
 
 
+def test_wkb_read_back(spark, tmp_path):
+    rows = [("a", [box(0, 0, 4, 3), box(1, 1, 2, 2), box(8, 8, 9, 9)]), ("b", []), ("c", [box(0, 0, 1, 1)])]
+    df = features(spark, "name", rows)
+    df = df.unionByName(df.limit(1).select(F.lit("n").alias("name"), F.lit(None).cast(G.RINGS_TYPE).alias("rings")))
+    tables.write_features(df, str(tmp_path / "out"), "wkb")
+    back = with_rings(spark.read.parquet(str(tmp_path / "out"))).withColumn("a", F.expr(G.signed_area("rings")))
+    got = {r["name"]: (r["a"], None if r["rings"] is None else len(r["rings"])) for r in back.collect()}
+    assert got["a"] == (12.0, 3) and got["c"] == (1.0, 1) and not got["b"][1] and not got["n"][1]
+
+
+def test_wkb_of_other_writers(spark):
+    ring = [(0.0, 0.0, 7.0), (2.0, 0.0, 7.0), (0.0, 2.0, 7.0), (0.0, 0.0, 7.0)]
+    big = struct.pack(">BIII", 0, 3, 1, 4) + b"".join(struct.pack(">2d", *p[:2]) for p in ring)
+    iso_z = struct.pack("<BIII", 1, 1003, 1, 4) + b"".join(struct.pack("<3d", *p) for p in ring)
+    flagged_z = struct.pack("<BIII", 1, 0x80000003, 1, 4) + b"".join(struct.pack("<3d", *p) for p in ring)
+    df = spark.createDataFrame([(i, bytearray(w)) for i, w in enumerate((big, iso_z, flagged_z))], "i int, wkb binary")
+    assert [r[0] for r in with_rings(df).select(F.expr(G.signed_area("rings"))).collect()] == [2.0] * 3
+    point = spark.createDataFrame([(bytearray(struct.pack("<BI2d", 1, 1, 0, 0)),)], "wkb binary")
+    with pytest.raises(Exception, match="no polygon"):
+        with_rings(point).collect()
+
+
 def test_pick_layer(spark, tmp_path):
     for name in (
         "delivery_R84_2015/b/PARCELLES_GRAPHIQUES.shp",
@@ -128,6 +155,25 @@ def test_links_inside_lists_only(spark):
     assert links.extract_links(df, r"(?s)(<ul><li>.*?</ul>)").first()["url"] == "/2"
 
 
+def test_links_need_no_exchange(spark):
+    df = spark.createDataFrame([(1, "<ul><a href='/1'></ul>")], "page_id int, html string")
+    assert "Exchange" not in executed_plan(links.extract_links(df))
+
+
+def test_a_page_of_100_000_links(spark):
+    """Lists opened and closed all the way, stray ends among them, against a plain count."""
+    rng = np.random.default_rng(5)
+    tags = rng.choice(["<ul>", "</ul>", "<a href='/x'>", "<A HREF=y>", "<a name=z>"], 200_000, p=[0.2, 0.22, 0.3, 0.2, 0.08])
+    depth, want = 0, 0
+    for t in tags:
+        depth = max(0, depth + (t == "<ul>") - (t == "</ul>"))
+        want += depth > 0 and "name" not in t and t[1] in "aA"
+    df = spark.createDataFrame([(1, "".join(tags)), (2, ""), (3, None), (4, "no tag"), (5, "<a href=/out>")], "page_id int, html string")
+    start = time.time()
+    assert links.extract_links(df).groupBy("page_id").count().collect() == [(1, want)] and want > 10_000
+    assert time.time() - start < 60
+
+
 def test_code_tables(spark, tmp_path):
     groups = tmp_path / "groups.csv"
     groups.write_text("CODE_CULTURE;LIBELLE_CULTURE;CODE_GROUPE_CULTURE;LIBELLE_GROUPE_CULTURE\nBTH;Blé tendre d’hiver;1;Blé tendre\n", "utf-8")
