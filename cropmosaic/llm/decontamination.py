@@ -5,9 +5,8 @@ from pyspark.sql import functions as F
 
 from cropmosaic.llm.common import id_text, stored, with_size_hint
 
-#: What is left of ASCII are digits and small letters; all other characters belong to words.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-ANY_CASE_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: What stands between words: all of ASCII but digits and letters; every other character belongs to words.
+GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WINDOW = 10
 #: Lists intersected for each phrase before the phrase is compared word by word.
@@ -15,7 +14,16 @@ LISTS = 3
 
 
 def tokens(text: Column) -> Column:
-    return F.regexp_extract_all(F.translate(F.coalesce(text.cast("string"), F.lit("")), UPPER, LOWER), F.lit(WORD), F.lit(0))
+    """The words of a text, A-Z lower-cased; NULL has none. Cut at the gaps: far cheaper than one match per word."""
+    pieces = F.split(F.translate(F.coalesce(text.cast("string"), F.lit("")), UPPER, LOWER), GAP)
+    return F.filter(pieces, lambda w: w != "")  # a gap at either end leaves an empty piece
+
+
+def word_count(text: Column) -> Column:
+    """size(tokens(text)), without the words themselves."""
+    pieces = F.split(F.coalesce(text.cast("string"), F.lit("")), GAP)
+    blank = (F.element_at(pieces, 1) == "").cast("int") + (F.element_at(pieces, -1) == "").cast("int")
+    return F.greatest(F.size(pieces) - blank, F.lit(0))
 
 
 def phrases(items: DataFrame, key: str = "item_id", text: str = "text", window: int = WINDOW) -> DataFrame:
@@ -138,7 +146,7 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
     hit = hit_words(F.col("matches")).cast("long")
     return found.select(
         "doc_id",
-        F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(ANY_CASE_WORD)), F.lit(0)).cast("long").alias("n_words"),
+        word_count(F.col("text")).cast("long").alias("n_words"),
         hit.alias("n_hit"),
         F.size(ids).cast("long").alias("n_items"),
         ids.alias("items"),
@@ -146,31 +154,37 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
     )
 
 
-def near_phrases(docs: DataFrame, items: DataFrame, within: int, terms: int = LISTS, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Proximity matches: doc_id, item, start, end where an item's rarest terms stand within `within` words, in any order.
+def near_phrases(docs: DataFrame, items: DataFrame, within: int, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Proximity matches: doc_id, item, start, end where all words of an item stand within `within` words, in any order.
 
-    For each place of the rarest term the nearest place of every other chosen term is taken;
-    the row is returned if all lie at most `within` words apart. Items whose chosen terms are
-    not all found match nothing.
+    A row for every place `end` of a word of the item such that each of its different words has a
+    place from end - within to end; start is the largest that still holds all of them. Documents
+    are chosen by the rarest word of each item; only in those are the other words looked up. A
+    window holds the places of one item in the last `within` words, never pairs of places.
     """
     content = F.coalesce(F.col(text).cast("string"), F.lit(""))
     keyed = docs.select(id_text(F.col(key)).alias("doc"), F.xxhash64(content).alias("body"), content.alias("text"), F.col(key).alias("_id"))
-    whole = items.select(id_text(F.col("item_id")).alias("item"), tokens(F.col("text")).alias("words")).filter("size(words) > 0")
-    places = whole.select("item", F.explode(F.array_distinct("words")).alias("term"))
+    whole = items.select(id_text(F.col("item_id")).alias("item"), F.array_distinct(tokens(F.col("text"))).alias("words"))
+    whole = stored(whole.filter("size(words) > 0").distinct().withColumn("nth", F.xxhash64("item", "words")))
+    places = whole.select("item", "nth", F.size("words").alias("needed"), F.explode("words").alias("term"))
     vocabulary = stored(places.select("term").distinct())
-    index = stored(postings(keyed, with_size_hint(vocabulary, vocabulary.count(), 128)))
-    lengths = index.groupBy("term").agg(F.count(F.lit(1)).alias("places"))
-    order = Window.partitionBy("item").orderBy(F.coalesce("places", F.lit(0)), "term")
-    chosen = stored(places.join(lengths, "term", "left").withColumn("n", F.row_number().over(order)).filter(F.col("n") <= terms))
-    needed = chosen.groupBy("item").agg(F.count(F.lit(1)).alias("needed"))
-    hits = index.join(chosen, "term")
-    first = hits.filter("n = 1").select("doc", "body", "item", F.col("pos").alias("at"))
-    around = first.join(hits.select("doc", "body", "item", "n", "pos"), ["doc", "body", "item"])
-    around = around.filter(F.abs(F.col("pos") - F.col("at")) <= within)
-    nearest = around.groupBy("doc", "body", "item", "at", "n").agg(F.min_by("pos", F.struct(F.abs(F.col("pos") - F.col("at")), "pos")).alias("pos"))
-    spans = nearest.groupBy("doc", "body", "item", "at").agg(
-        F.count(F.lit(1)).alias("found"), F.min("pos").alias("start"), F.max("pos").alias("end")
+    words = keyed.select(F.explode(tokens(F.col("text"))).alias("term"))
+    lengths = words.join(with_size_hint(vocabulary, vocabulary.count(), 128), "term").groupBy("term").agg(F.count(F.lit(1)).alias("places"))
+    ranked = places.join(lengths, "term", "left").groupBy("nth").agg(
+        F.min(F.struct(F.coalesce("places", F.lit(0)).alias("places"), "term")).alias("rarest")
     )
-    spans = spans.join(needed, "item").filter((F.col("found") == F.col("needed")) & (F.col("end") - F.col("start") <= within))
+    ranked = stored(ranked.filter("rarest.places > 0").select("nth", F.col("rarest.term").alias("term")))
+    rarest = stored(ranked.select("term").distinct())
+    found = postings(keyed, with_size_hint(rarest, rarest.count(), 128)).select("doc", "body", "term").distinct()
+    chosen = stored(found.join(with_size_hint(ranked, ranked.count(), 128), "term").select("doc", "body", "nth").distinct())
+    some = stored(chosen.select("doc", "body").distinct())
+    some = with_size_hint(some, some.count(), 64)
+    hits = postings(keyed.dropDuplicates(["doc", "body"]).join(some, ["doc", "body"], "left_semi"), with_size_hint(vocabulary, vocabulary.count(), 128))
+    hits = hits.join(places, "term").join(chosen, ["doc", "body", "nth"], "left_semi")
+    last = Window.partitionBy("doc", "body", "nth").orderBy("pos").rangeBetween(-within, 0)
+    seen = hits.withColumn("_seen", F.collect_list(F.struct("term", "pos")).over(last))
+    terms = F.array_distinct(F.transform("_seen", lambda s: s["term"]))
+    latest = F.transform(terms, lambda t: F.array_max(F.transform(F.filter("_seen", lambda s: s["term"] == t), lambda s: s["pos"])))
+    spans = seen.filter(F.size(terms) == F.col("needed")).select("doc", "body", "item", F.array_min(latest).alias("start"), F.col("pos").alias("end"))
     ids = keyed.select("doc", "body", F.col("_id").alias("doc_id")).distinct()
     return spans.join(ids, ["doc", "body"]).select("doc_id", "item", "start", "end").distinct()
