@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cropmosaic.session import shared_folder, stored
 
-__all__ = ["shared_folder", "stored", "id_text", "fold", "unit_hash", "running_before", "with_size_hint", "BROADCAST_BYTES"]
+__all__ = ["shared_folder", "stored", "id_text", "fold", "unit_hash", "unused", "running_before", "with_size_hint", "BROADCAST_BYTES"]
 
 #: A side is broadcast only when its measured size is at most this.
 BROADCAST_BYTES = 64 << 20
@@ -28,6 +28,12 @@ def unit_hash(*parts: Column) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 12), 16, 10).cast("double") / F.lit(float(1 << 48))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """The name, or the first of name_1, name_2, ... that no column of df has (compared without case)."""
+    taken = {c.lower() for c in df.columns}
+    return next(n for n in (name, *(f"{name}_{i}" for i in range(1, len(taken) + 2))) if n.lower() not in taken)
+
+
 def bucket_count(rows: int, rows_per_bucket: int) -> int:
     return max(1, math.ceil(rows / rows_per_bucket))
 

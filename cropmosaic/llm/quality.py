@@ -195,8 +195,12 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     order = [unit_hash(F.lit("quality"), id_text(F.col("_id"))), F.col("_id")]
     bad, good = (marked.filter(F.col("_label") == y).orderBy(*order).limit(FIT_DOCUMENTS) for y in (0, 1))
     marked = bad.unionByName(good)
-    chosen = docs.join(F.broadcast(marked), F.col(key) == F.col("_id")).select(
-        F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary").alias("body"), F.col("_label").alias("label")
+    bodies = docs.select(F.col(key).alias("_doc"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_body"))
+    chosen = bodies.join(F.broadcast(marked), F.col("_doc") == F.col("_id")).select(
+        F.col("_id").cast("string").alias("id"),
+        F.col("_label").alias("label"),
+        F.xxhash64("_body").alias("place"),
+        F.col("_body").cast("binary").alias("body"),
     )
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -205,9 +209,11 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
             if bodies:
                 x, _, counts = line_features(bodies)
                 rows = np.split(x, np.cumsum(counts)[:-1])
-                yield pd.DataFrame({"label": batch["label"], "x": [r.astype(np.float16).tobytes() for r in rows]})
+                yield batch[["id", "label", "place"]].assign(x=[r.astype(np.float16).tobytes() for r in rows])
 
-    got = sorted((r["label"], bytes(r["x"])) for r in chosen.mapInPandas(features, "label int, x binary").toLocalIterator())
+    # an id that many rows repeat gives one of them, so the driver never holds more than the sample
+    sample = chosen.mapInPandas(features, "id string, label int, place long, x binary").groupBy("id", "label").agg(F.min_by("x", "place").alias("x"))
+    got = sorted((r["label"], bytes(r["x"])) for r in sample.toLocalIterator())
     if not got:
         return Model(np.zeros(N_FEATURES), np.zeros((2, 2)))
     rows = [np.frombuffer(b, np.float16).reshape(-1, N_FEATURES) for _, b in got]
