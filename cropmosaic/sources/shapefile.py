@@ -17,11 +17,11 @@ import struct
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -339,9 +339,15 @@ class ShapefileWriter(DataSourceArrowWriter):
         files, root = _open(self.path)
         folders, part = [], _Part(self)
         for batch in iterator:
-            columns = [batch.column(f.name).to_pylist() for f in part.columns]
-            for shape, values in zip(_polygons(batch.column("rings")), zip(*columns) if columns else repeat(())):
-                part.add(shape, values)
+            shapes, start = _Shapes(batch.column("rings")), 0
+            sizes = np.cumsum(shapes.record_bytes() + part.row_bytes)
+            while start < batch.num_rows:
+                before = int(sizes[start - 1]) if start else 0
+                # a part is full with the record that takes it over the limit
+                stop = int(np.searchsorted(sizes, before + self.max_bytes - part.bytes, side="right")) + 1
+                stop = min(max(stop, start + 1), batch.num_rows)
+                part.add(shapes, batch, start, stop)
+                start = stop
                 if part.bytes > self.max_bytes:
                     folders.append(part.save(files, root))
                     part = _Part(self)
@@ -372,16 +378,53 @@ class ShapefileWriter(DataSourceArrowWriter):
             files.delete_dir(staging)
 
 
-def _polygons(rings: pa.ListArray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Per feature the first point of each ring and the points; both empty without geometry."""
-    lists = rings.values
-    points = lists.values
-    xy = np.column_stack([points.field(c).to_numpy(zero_copy_only=False) for c in "xy"]).astype("<f8")
-    ring_ends, point_ends = rings.offsets.to_numpy(), lists.offsets.to_numpy()
-    for i, missing in enumerate(rings.is_null().to_pylist()):
-        start, end = ring_ends[i], ring_ends[i] if missing else ring_ends[i + 1]
-        at = point_ends[start : end + 1]
-        yield at[:-1] - at[0], xy[at[0] : at[-1]]
+def _runs(first: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers first[i] ... first[i] + n[i] - 1 in turn, and the place of each in its run."""
+    within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    return np.repeat(first, n) + within, within
+
+
+class _Shapes:
+    """The outlines of a batch as records, put together for many features at a time."""
+
+    def __init__(self, rings: pa.ListArray):
+        lists = rings.values
+        points = lists.values
+        self.xy = np.column_stack([points.field(c).to_numpy(zero_copy_only=False) for c in "xy"]).astype("<f8").reshape(-1, 2)
+        ring_at, self.point_at = rings.offsets.to_numpy().astype(np.int64), lists.offsets.to_numpy().astype(np.int64)
+        self.ring, last = ring_at[:-1], ring_at[1:]
+        self.points = self.point_at[last] - self.point_at[self.ring]
+        drawn = (self.points > 0) & ~rings.is_null().to_numpy(zero_copy_only=False)
+        self.rings, self.points = np.where(drawn, last - self.ring, 0), np.where(drawn, self.points, 0)
+
+    def _content(self) -> np.ndarray:
+        """Numbers of four bytes in each record behind its header: 11, the rings, the points; 1 without a shape."""
+        return np.where(self.rings > 0, 11 + self.rings + 4 * self.points, 1)
+
+    def record_bytes(self) -> np.ndarray:
+        return 4 * (2 + self._content())
+
+    def records(self, start: int, stop: int, number: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rows start to stop as words of four bytes, the words behind each header, and corners of the shapes' boxes (n x 4)."""
+        content = self._content()[start:stop]
+        base = np.cumsum(content + 2) - content - 2
+        out = np.zeros(int((content + 2).sum()), "<u4")
+        out[base] = np.arange(number, number + stop - start, dtype=">u4").view("<u4")
+        out[base + 1] = (2 * content).astype(">u4").view("<u4")
+        full = np.flatnonzero(self.rings[start:stop])
+        if not len(full):
+            return out, content, np.zeros((0, 4))
+        at, rings, points, ring = base[full], *(a[start:stop][full] for a in (self.rings, self.points, self.ring))
+        first = self.point_at[ring]
+        which, place = _runs(first, points)
+        xy, heads = self.xy[which], np.cumsum(points) - points
+        boxes = np.hstack([np.minimum.reduceat(xy, heads), np.maximum.reduceat(xy, heads)])
+        out[at + 2], out[at + 11], out[at + 12] = 5, rings, points
+        out[(at + 3)[:, None] + np.arange(8)] = np.ascontiguousarray(boxes).view("<u4")
+        out[np.repeat(at + 13 + rings, points)[:, None] + 4 * place[:, None] + np.arange(4)] = np.ascontiguousarray(xy).view("<u4")
+        which, place = _runs(ring, rings)
+        out[np.repeat(at + 13, rings) + place] = self.point_at[which] - np.repeat(first, rings)
+        return out, content, boxes
 
 
 def short_names(names: list[str]) -> list[str]:
@@ -402,27 +445,24 @@ class _Part:
         self.writer = writer
         self.columns = [f for f in writer.schema.fields if f.name not in ORIGIN]
         self.shp, self.shx, self.dbf = [], [], []
+        self.row_bytes = 1 + sum(self._kind(f)[1] for f in self.columns)
         self.records = self.bytes = 0
         self.next_offset = HEADER_BYTES
-        self.box = [np.inf, np.inf, -np.inf, -np.inf]
-
-    def add(self, shape: tuple[np.ndarray, np.ndarray], values: tuple) -> None:
-        content = self._shape(*shape)
-        self.records += 1
-        self.shp.append(struct.pack(">2i", self.records, len(content) // 2) + content)
-        self.shx.append(struct.pack(">2i", self.next_offset // 2, len(content) // 2))
-        self.dbf.append(b" " + b"".join(map(self._cell, values, self.columns)))
-        self.next_offset += len(self.shp[-1])
-        self.bytes += len(self.shp[-1]) + len(self.dbf[-1])
-
-    def _shape(self, first: np.ndarray, xy: np.ndarray) -> bytes:
-        """Record content: where each ring begins, then all points."""
-        if not len(first):
-            return struct.pack("<i", 0)
-        low, high = xy.min(axis=0), xy.max(axis=0)
-        self.box = [min(self.box[0], low[0]), min(self.box[1], low[1]), max(self.box[2], high[0]), max(self.box[3], high[1])]
-        head = struct.pack("<i4d2i", 5, *low, *high, len(first), len(xy))
-        return head + first.astype("<i4").tobytes() + xy.tobytes()
+        self.box = np.array([np.inf, np.inf, -np.inf, -np.inf])
+
+    def add(self, shapes: _Shapes, batch: pa.RecordBatch, start: int, stop: int) -> None:
+        words, content, boxes = shapes.records(start, stop, self.records + 1)
+        offsets = self.next_offset // 2 + 2 * (np.cumsum(content + 2) - content - 2)
+        cells = [self._cells(batch.column(f.name).slice(start, stop - start), f) for f in self.columns]
+        rows = np.hstack([np.full((stop - start, 1), ord(" "), np.uint8), *cells])
+        self.shp.append(words.tobytes())
+        self.shx.append(np.column_stack([offsets, 2 * content]).astype(">i4").tobytes())
+        self.dbf.append(rows.tobytes())
+        if len(boxes):
+            self.box = np.hstack([np.minimum(self.box[:2], boxes[:, :2].min(axis=0)), np.maximum(self.box[2:], boxes[:, 2:].max(axis=0))])
+        self.records += stop - start
+        self.next_offset += 4 * len(words)
+        self.bytes += 4 * len(words) + rows.size
 
     def _kind(self, field: T.StructField) -> tuple[str, int, int]:
         if isinstance(field.dataType, T.DoubleType):
@@ -433,16 +473,17 @@ class _Part:
             return "C", self.writer.width, 0
         raise TypeError(f"column {field.name} of type {field.dataType.simpleString()} has no place in the format")
 
-    def _cell(self, value, field: T.StructField) -> bytes:
+    def _cells(self, values: pa.Array, field: T.StructField) -> np.ndarray:
+        """Cells of one column as rows of bytes: text to the left, numbers to the right, NULL blank."""
         kind, width, _ = self._kind(field)
-        if value is None:
-            return b" " * width
         if kind == "C":
-            cell = value.encode("utf-8")
-            if len(cell) > width:
-                raise ValueError(f"{field.name} holds {len(cell)} bytes; raise option stringWidth (at most 254)")
-            return cell.ljust(width)
-        return repr(value).rjust(width).encode("ascii")
+            longest = pc.max(pc.binary_length(values)).as_py() or 0
+            if longest > width:
+                raise ValueError(f"{field.name} holds {longest} bytes; raise option stringWidth (at most 254)")
+            texts = [b"" if v is None else v.encode("utf-8").ljust(width) for v in values.to_pylist()]
+        else:
+            texts = [b"" if v is None else repr(v).rjust(width).encode("ascii") for v in values.to_pylist()]
+        return np.frombuffer(b"".join(t or b" " * width for t in texts), np.uint8).reshape(len(texts), width)
 
     def save(self, files: pafs.FileSystem, root: str) -> str:
         """Write the files below the staging folder under a name no other attempt uses."""
@@ -462,8 +503,7 @@ class _Part:
         for name, field in zip(short_names([f.name for f in self.columns]), self.columns):
             kind, width, decimals = self._kind(field)
             fields += struct.pack("<11sc4xBB14x", name.encode("ascii"), kind.encode("ascii"), width, decimals)
-        width = 1 + sum(self._kind(f)[1] for f in self.columns)
-        table = struct.pack("<4BIHH20x", 3, 100, 1, 1, self.records, 33 + len(fields), width)
+        table = struct.pack("<4BIHH20x", 3, 100, 1, 1, self.records, 33 + len(fields), self.row_bytes)
         contents = {
             ".shp": [header(self.next_offset), *self.shp],
             ".shx": [header(HEADER_BYTES + 8 * self.records), *self.shx],
