@@ -250,13 +250,26 @@ def department_crop_units_first(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(crops, "surf_ha", "surf_perc", "perc_parcels")
 
 
-def dissolved_department_crop(spark: SparkSession, sf: str) -> DataFrame:
-    """Ground covered per department and crop by the parcels that touch the department, overlaps counted once."""
+def _united_department_crop(spark: SparkSession, sf: str) -> DataFrame:
     tiles = spatial.unit_tiles(data.departments(spark, sf), 2 * CELL, contact=True)
     parcels = data.parcels(spark, sf)
     pairs = spatial.join_intersects(parcels, tiles, 2 * CELL, ["parcel_id"], ["CODE_GROUP"]).filter("geo_unit IS NOT NULL")
-    united = dissolve.dissolve_joined(pairs, parcels, ["parcel_id"], ["geo_unit", "CODE_GROUP"], 2 * CELL)
-    return _rounded(dissolve.dissolved_area(united, ["geo_unit", "CODE_GROUP"]), "area_m2")
+    return dissolve.dissolve_joined(pairs, parcels, ["parcel_id"], ["geo_unit", "CODE_GROUP"], 2 * CELL)
+
+
+def dissolved_department_crop(spark: SparkSession, sf: str) -> DataFrame:
+    """Ground covered per department and crop by the parcels that touch the department, overlaps counted once."""
+    united = dissolve.dissolved_area(_united_department_crop(spark, sf), ["geo_unit", "CODE_GROUP"])
+    return _rounded(united, "area_m2")
+
+
+def department_crop_outlines(spark: SparkSession, sf: str) -> DataFrame:
+    """The same table with its united outlines, one feature per department and crop, exported as polygon files and read back."""
+    path = shared_folder(spark)
+    whole = dissolve.outlines(_united_department_crop(spark, sf), ["geo_unit", "CODE_GROUP"])
+    tables.write_features(whole.withColumnRenamed("CODE_GROUP", "crop"), path, clean=False)
+    back = read_shapefiles(spark, path).withColumn("area_m2", F.expr(G.polygon_area("rings")))
+    return _rounded(back.select("geo_unit", F.col("crop").alias("CODE_GROUP"), "area_m2"), "area_m2")
 
 
 def dissolved_stars(spark: SparkSession, sf: str) -> DataFrame:
@@ -575,6 +588,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         whole_job,
         crop_group_table,
         dissolved_department_crop,
+        department_crop_outlines,
         dissolved_stars,
         repaired_outlines,
         parcels_on_stars,

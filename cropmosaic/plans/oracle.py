@@ -347,6 +347,16 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY vec_id, a ORDER BY y) AS n
 SELECT vec_id, round(abs(area), 6) AS area_m2 FROM turned WHERE vec_id % 4 != 2
 UNION ALL SELECT vec_id, round(sum(CASE WHEN n % 2 = 0 THEN y ELSE -y END * (b - a)), 6) FROM ranked GROUP BY vec_id"""
 
+COVERED = f"""WITH {PARCELS},
+departments AS (
+  SELECT lpad(CAST(r_regionkey AS VARCHAR), 2, '0') AS geo_unit, CASE WHEN r_regionkey = 4 THEN 5000 ELSE r_regionkey * 190 END AS x0 FROM region),
+squares AS (
+  SELECT DISTINCT d.geo_unit, p."CODE_GROUP", p.x0 + i AS x, p.y0 + j AS y
+  FROM parcels p JOIN departments d ON p.x0 <= d.x0 + 190 AND d.x0 <= p.x0 + p.w AND p.y0 <= 950,
+       range(0, 25) r(i), range(0, 20) t(j)
+  WHERE i < p.w AND j < p.h)
+SELECT geo_unit, "CODE_GROUP", CAST(count(*) AS DOUBLE) AS area_m2 FROM squares GROUP BY geo_unit, "CODE_GROUP\""""
+
 ORACLE: dict[str, str] = {
     "commune_crop": f"WITH {PREPARED} SELECT * FROM prepared",
     "border_merge_reference": f"WITH {COMPILED} SELECT * FROM compiled",
@@ -464,15 +474,8 @@ SELECT vec_id, 1 AS n_rings, CAST(65 AS INTEGER) AS n_points,
        round(abs(area), 6) AS signed_area_m2 FROM turned""",
     "repaired_area": REPAIRED,
     "repaired_outlines": f"SELECT vec_id, area_m2, 0 AS crossing FROM ({REPAIRED})",
-    "dissolved_department_crop": f"""WITH {PARCELS},
-departments AS (
-  SELECT lpad(CAST(r_regionkey AS VARCHAR), 2, '0') AS geo_unit, CASE WHEN r_regionkey = 4 THEN 5000 ELSE r_regionkey * 190 END AS x0 FROM region),
-squares AS (
-  SELECT DISTINCT d.geo_unit, p."CODE_GROUP", p.x0 + i AS x, p.y0 + j AS y
-  FROM parcels p JOIN departments d ON p.x0 <= d.x0 + 190 AND d.x0 <= p.x0 + p.w AND p.y0 <= 950,
-       range(0, 25) r(i), range(0, 20) t(j)
-  WHERE i < p.w AND j < p.h)
-SELECT geo_unit, "CODE_GROUP", CAST(count(*) AS DOUBLE) AS area_m2 FROM squares GROUP BY geo_unit, "CODE_GROUP\"""",
+    "dissolved_department_crop": COVERED,
+    "department_crop_outlines": COVERED,
     "dissolved_stars": """WITH corners AS (
   SELECT vec_id, i, ((vec_id - vec_id % 2) * 37) % 950 + (vec_id % 2) * 13 + r * cos(a) AS x, ((vec_id - vec_id % 2) * 53) % 950 + r * sin(a) AS y
   FROM (SELECT vec_id, i, 20 * (1 + abs(CAST(embedding[i] AS DOUBLE))) AS r, 2 * pi() * (i - 1) / len(embedding) AS a

@@ -84,13 +84,19 @@ def geojson_lines(df: DataFrame, rings: str = "rings") -> DataFrame:
     return clean.select(F.to_json(feature).alias("value"))
 
 
-def write_features(df: DataFrame, path: str, format: str = "shapefile", **options: str) -> None:
-    """Features with geometry, replacing what is there: 'shapefile', 'geojson' (lines) or 'wkb' (Parquet)."""
+def write_features(df: DataFrame, path: str, format: str = "shapefile", clean: bool = True, **options: str) -> None:
+    """Features with geometry, replacing what is there: 'shapefile', 'geojson' (lines) or 'wkb' (Parquet).
+
+    Rings are closed and turned on the way, each compared with the others of its feature. For
+    shapefiles clean=False leaves that out, for outlines that are valid already, such as united
+    or repaired ones: their rings may be very many.
+    """
+    if not clean and format != "shapefile":
+        raise ValueError("clean=False is for shapefiles")
     if format == "shapefile":
         register(df.sparkSession)
-        clockwise = df.withColumn(
-            "rings", F.expr(f"transform({G.clean_rings('rings')}, r -> reverse(r))")
-        )
+        rings = G.clean_rings("rings") if clean else "rings"
+        clockwise = df.withColumn("rings", F.expr(f"transform({rings}, r -> reverse(r))"))
         clockwise.write.format("shapefile").mode("overwrite").options(**options).save(path)
     elif format == "geojson":
         geojson_lines(df).write.mode("overwrite").options(**options).text(path)
