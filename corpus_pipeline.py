@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cropmosaic.llm import decontamination, mixing, quality, sharding, simhash
-from cropmosaic.llm.common import stored
+from cropmosaic.llm.common import stored, unused
 
 
 #: Documents of a lower score are rejected.
@@ -14,7 +14,8 @@ GOOD = 0.3
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality is at least GOOD; empty ones are judged like any other."""
     model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return docs.withColumn("_score", quality.quality(F.col("text"), model)).filter(F.col("_score") >= GOOD).drop("_score")
+    score = unused(docs, "score")
+    return docs.withColumn(score, quality.quality(F.col("text"), model)).filter(F.col(score) >= GOOD).drop(score)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,8 +26,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no phrase of the benchmark stands."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontamination.find_phrases(docs, items, out="_matches")
-    return found.filter(F.size("_matches") == 0).drop("_matches")
+    matches = unused(docs, "matches")
+    found = decontamination.find_phrases(docs, items, out=matches)
+    return found.filter(F.size(matches) == 0).drop(matches)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
