@@ -524,6 +524,27 @@ def geojson_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return back.select("properties.*", F.expr(G.polygon_area(corners)).alias("area_m2"))
 
 
+def holed_stars_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Stars with holes through each of the three formats: area and number of rings as read back."""
+    folder = shared_folder(spark)
+    drawn = stored(data.holed_stars(spark, sf).select("vec_id", "rings"))
+    for name in ("shapefile", "wkb", "geojson"):
+        tables.write_features(drawn, f"{folder}/{name}", name)
+    feature = F.from_json("value", "geometry struct<coordinates:array<array<array<array<double>>>>>, properties struct<vec_id:bigint>")
+    lines = spark.read.text(f"{folder}/geojson").select(feature.alias("f")).select("f.properties.vec_id", "f.geometry")
+    corners = "transform(flatten(geometry.coordinates), r -> transform(r, p -> struct(p[0] AS x, p[1] AS y)))"
+    back = {
+        "shapefile": read_shapefiles(spark, f"{folder}/shapefile").select("vec_id", "rings"),
+        "wkb": with_rings(spark.read.parquet(f"{folder}/wkb")).select("vec_id", "rings"),
+        "geojson": lines.select("vec_id", F.expr(corners).alias("rings")),
+    }
+    measured = [
+        df.select("vec_id", F.lit(name).alias("format"), F.size("rings").alias("n_rings"), F.round(F.expr(G.polygon_area("rings")), 5).alias("area_m2"))
+        for name, df in back.items()
+    ]
+    return measured[0].unionByName(measured[1]).unionByName(measured[2])
+
+
 def wkb_features(spark: SparkSession, sf: str) -> DataFrame:
     """Parcels written as WKB, read back and measured."""
     path = shared_folder(spark)
@@ -606,5 +627,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         shapefile_roundtrip,
         geojson_roundtrip,
         wkb_features,
+        holed_stars_roundtrip,
     )
 }

@@ -453,6 +453,10 @@ FROM (
     FROM (SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS year,
                  CASE WHEN (o_orderkey * 37) % 1000 < 500 THEN 'R84' ELSE 'R27' END AS region_code FROM orders))
   GROUP BY region_code, year)""",
+    "holed_stars_roundtrip": f"""WITH {STARS}
+SELECT vec_id, format, 2 AS n_rings, round(area * 0.91, 5) AS area_m2
+FROM (SELECT vec_id, abs(sum((x - 500) * (ny - 500) - (nx - 500) * (y - 500)) / 2) AS area FROM steps GROUP BY vec_id),
+     (VALUES ('shapefile'), ('wkb'), ('geojson')) f(format)""",
     "polygon_area": f"""WITH {STARS}
 SELECT vec_id, round(abs(sum((x - 500) * (ny - 500) - (nx - 500) * (y - 500)) / 2), 6) AS area_m2 FROM steps GROUP BY vec_id""",
     "star_boxes": f"""WITH {STARS}

@@ -97,6 +97,13 @@ def stars(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def holed_stars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """vec_id, rings: stars with a hole of their own shape, three tenths as wide, drawn in the same direction as the shell."""
+    x, y = "((vec_id * 37) % 950)", "((vec_id * 53) % 950)"
+    hole = f"transform(rings[0], p -> struct({x} + 0.3D * (p.x - {x}) AS x, {y} + 0.3D * (p.y - {y}) AS y))"
+    return stars(spark, sf_dir).withColumn("rings", F.expr(f"array(rings[0], {hole})"))
+
+
 def paired_stars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """pair_id, rings: two stars of neighbouring numbers drawn over each other, the second one 13 m further right."""
     radius = "20 * (1 + abs(CAST(embedding[i - 1] AS DOUBLE)))"

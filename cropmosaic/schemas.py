@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cropmosaic.functions.geometry import RINGS_TYPE
 
-# What each kind of polygon file holds, as DDL. The origin columns are filled by the reader.
+# Attribute names of each kind of delivered polygon file, as DDL. The origin columns are filled by the reader.
 _ORIGIN = f"rings {RINGS_TYPE}, srid int, source_path string, record bigint"
 FILE_SCHEMAS = {
     "pg": "ID_PARCEL string, CODE_CULTU string, CODE_GROUP string, CULTURE_D1 string, "
@@ -14,11 +14,13 @@ FILE_SCHEMAS = {
     "department": "code_insee string, insee_dep string, " + _ORIGIN,
 }
 
+# Columns of the published code tables.
 CROP_GROUPS_CSV = (
     "CODE_CULTURE string, LIBELLE_CULTURE string, CODE_GROUPE_CULTURE int, LIBELLE_GROUPE_CULTURE string"
 )
 CATCH_CROPS_CSV = "CODE_CULTURE_DEROBEE string, LIBELLE_CULTURE_DEROBEE string"
 
+# Columns of the prepared table, in order.
 PREPARED_COLUMNS = [
     "geo_unit",
     "CODE_GROUP",
@@ -35,6 +37,7 @@ PREPARED_COLUMNS = [
     "parcel_cult_perc",
 ]
 
+# Columns of the map table, in order.
 MAP_COLUMNS = [
     "geo_unit",
     "name",
