@@ -12,17 +12,17 @@ from cropmosaic.llm.common import fold, id_text, unit_hash
 
 #: The automaton of a language is built from at most FIT_CHARACTERS of labelled text, at most
 #: FIT_PER_DOCUMENT of one document, taking documents of the smallest id hashes. Texts to be
-#: judged are read whole, in pieces of PIECE characters that are parsed side by side.
+#: judged are read whole, each as one parse, many side by side.
 FIT_CHARACTERS, FIT_PER_DOCUMENT, FIT_DOCUMENTS, MAX_LANGUAGES = 32_000, 1_000, 64, 100
-#: Characters that keep a code of their own; 0 is any other, 1 stands for all that is no letter.
-ALPHABET = 63
-PIECE, LANES_AT_ONCE = 2048, 4096
+#: Every letter of the samples has a code: 0 is a letter that none holds, 1 stands for all that is no letter. The
+#: DENSE commonest have a column of the tables, the others are looked up among the transitions that exist.
+DENSE = 62
 UNKNOWN = "und"
 
 
 @dataclass(frozen=True)
 class Model:
-    """Languages, their sample texts, and the characters that have codes."""
+    """Languages, their sample texts, and all their letters, the commonest first."""
 
     languages: tuple[str, ...]
     samples: tuple[str, ...]
@@ -57,8 +57,8 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
         for c in sample:
             if c.isalpha():
                 counts[c] = counts.get(c, 0) + 1
-    common = sorted(counts, key=lambda c: (-counts[c], c))[: ALPHABET - 1]
-    return Model(tuple(samples), tuple(samples.values()), "".join(common))
+    letters = sorted(counts, key=lambda c: (-counts[c], c))
+    return Model(tuple(samples), tuple(samples.values()), "".join(letters))
 
 
 def automaton(codes: list[int]) -> list[dict[int, int]]:
@@ -105,30 +105,40 @@ def _clone(step: list[dict[int, int]], length: list[int], link: list[int], p: in
 
 
 class Parser:
-    """Dense tables of all languages: table[state, code] is 2 x next state, plus 1 where a phrase ends before the code.
+    """Tables of all languages: table[state, code] is 2 x next state, plus 1 where a phrase ends before the code.
 
     Where the automaton cannot go on, the longest match ends and the next phrase starts at the
-    root with the same code; a code that no sample has is a phrase of its own.
+    root with the same code. A code that the sample lacks is a phrase of its own and leads to the
+    language's last state, where a text begins too: every code starts a phrase there. Transitions by
+    codes without a column are sorted by (state, code) and found by bisection.
     """
 
     def __init__(self, model: Model):
         self.model = model
-        self.code = np.zeros(0x110000, np.uint8)
+        self.code = np.zeros(0x110000, np.int32)
         known = {c: 2 + i for i, c in enumerate(model.characters)}
-        width = ALPHABET + 2
-        tables, self.roots, base = [], [], 0
+        self.width, self.codes_known = DENSE + 2, 2 + len(known)
+        tables, self.roots, self.starts, base = [], [], [], 0
+        rare: list[tuple[int, int]] = []
         for sample in model.samples:
             steps = automaton([-1 if c == "\x00" else known.get(c, 0 if c.isalpha() else 1) for c in sample])
-            table = np.full((len(steps), width), -1, np.int64)
+            table = np.full((len(steps) + 1, self.width), -1, np.int64)
             for state, to in enumerate(steps):
                 for c, q in to.items():
-                    table[state, c] = 2 * (base + q)
-            root = np.where(table[0] >= 0, table[0], 2 * base) | 1
+                    if c < self.width:
+                        table[state, c] = 2 * (base + q)
+                    else:
+                        rare.append(((base + state) * self.codes_known + c, 2 * (base + q)))
+            start = base + len(steps)
+            root = np.where(table[0] >= 0, table[0], 2 * start) | 1
             tables.append(np.where(table >= 0, table, root[None, :]).astype(np.int32))
             self.roots.append(base)
-            base += len(steps)
+            self.starts.append(start)
+            base = start + 1
         self.table = np.concatenate(tables).ravel() if tables else np.zeros(0, np.int32)
-        self.width = width
+        rare.sort()
+        self.rare_keys = np.array([k for k, _ in rare] + [1 << 62], np.int64)
+        self.rare_next = np.array([q for _, q in rare] + [-1], np.int32)
         for c, i in known.items():
             for form in {c, c.upper()}:
                 if len(form) == 1:
@@ -136,6 +146,18 @@ class Parser:
         self.letter: dict[int, bool] = {}
         self.norm = np.array([math.log2(max(2, len(s))) for s in model.samples])
 
+    def _rare(self, state: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """The table's entry for codes without a column: states (texts x languages), one code a text."""
+
+        def next_of(at: np.ndarray) -> np.ndarray:
+            key = at.astype(np.int64) * self.codes_known + code[:, None]
+            place = np.searchsorted(self.rare_keys, key)
+            return np.where(self.rare_keys[place] == key, self.rare_next[place], -1)
+
+        on, start = next_of(state), 2 * np.array(self.starts, np.int32)[None, :]
+        again = next_of(np.broadcast_to(np.array(self.roots, np.int32), state.shape))
+        return np.where(on >= 0, on, np.where(again >= 0, again, start) | 1)
+
     def codes(self, text: str) -> np.ndarray:
         """Codes of the text's characters; each run of other characters than letters is one code 1."""
         points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -152,35 +174,39 @@ class Parser:
         return found[keep]
 
     def phrases(self, codes: list[np.ndarray]) -> np.ndarray:
-        """Phrases of each text against each language; a piece of PIECE characters begins a phrase."""
+        """Phrases of each text against each language: all texts go on by one character at a time."""
+        order = np.argsort([-len(c) for c in codes], kind="stable")
+        sizes = np.array([len(codes[i]) for i in order], np.int64)
+        flat = np.concatenate([codes[i] for i in order]) if len(codes) else np.zeros(0, np.int32)
+        start = np.cumsum(sizes) - sizes
+        state = np.tile(2 * np.array(self.starts, np.int32), (len(codes), 1))
+        count = np.zeros((len(codes), len(self.roots)), np.int32)
+        longest = int(sizes[0]) if len(sizes) else 0
+        live = np.searchsorted(-sizes, -np.arange(1, longest + 1), side="right")
+        rare = flat >= self.width
+        some_rare = bool(rare.any())
+        column = np.where(rare, 0, flat)
+        for t in range(longest):
+            n = live[t]
+            at = start[:n] + t
+            now = (state[:n] >> 1) * self.width
+            now += column[at, None]
+            now = self.table[now]
+            if some_rare:
+                which = np.flatnonzero(rare[at])
+                if len(which):
+                    now[which] = self._rare(state[which] >> 1, flat[at[which]])
+            state[:n] = now
+            count[:n] += now & 1
         total = np.zeros((len(codes), len(self.roots)))
-        pieces = [(i, c[k : k + PIECE]) for i, c in enumerate(codes) for k in range(0, len(c), PIECE)]
-        pieces.sort(key=lambda p: -len(p[1]))
-        roots = 2 * np.array(self.roots, np.int32)
-        for lo in range(0, len(pieces), LANES_AT_ONCE):
-            part = pieces[lo : lo + LANES_AT_ONCE]
-            sizes = np.array([len(c) for _, c in part])
-            padded = np.zeros((sizes[0], len(part)), np.int32)
-            for j, (_, c) in enumerate(part):
-                padded[: len(c), j] = c
-            state = np.tile(roots, (len(part), 1))
-            count = np.ones((len(part), len(roots)), np.int32)
-            live = np.searchsorted(-sizes, -np.arange(1, sizes[0] + 1), side="right")
-            for t in range(sizes[0]):
-                n = live[t]
-                now = (state[:n] >> 1) * self.width
-                now += padded[t, :n, None]
-                now = self.table[now]
-                state[:n] = now
-                count[:n] += now & 1
-            np.add.at(total, [i for i, _ in part], count)
+        total[order] = count
         return total
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
         if not self.roots:
             return names, scores
-        codes = [self.codes(t) if t else np.zeros(0, np.uint8) for t in texts]
+        codes = [self.codes(t) if t else np.zeros(0, np.int32) for t in texts]
         judged = [i for i, c in enumerate(codes) if (c != 1).any()]
         # phrases of one text cost log2 of the sample's length each: bits per character, up to a factor
         cost = self.phrases([codes[i] for i in judged]) * self.norm
