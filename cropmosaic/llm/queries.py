@@ -23,19 +23,23 @@ from cropmosaic.llm.sql import ORACLE  # noqa: F401
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A test table by its name."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every document under the unigram base and the mixed bit model; remainder 2 of 7 is held out."""
     return lm_scoring.score(table(spark, sf_dir, "documents"), held_out=(7, 2))
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document, and the smallest id that links of at most 3 bits reach."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
     return found.select("doc_id", F.lower(F.hex("bits")).alias("fingerprint"), "component_id")
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document, its source at weight 1, 2 or 3."""
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
@@ -49,11 +53,13 @@ RULES = [
 
 
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page by the rules, else by its host's trust on the link graph."""
     judged = url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url", "html"), RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by the fewest phrases of a cross-parse; remainder 2 of 4 is held out."""
     docs = table(spark, sf_dir, "documents")
     model = language_id.train(docs, held_out=(4, 2))
     told = docs.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), language_id.predict(F.col("text"), model).alias("p"))
@@ -61,6 +67,7 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document from the marginals of its lines; remainder 0 of 5 is held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.train(docs, table(spark, sf_dir, "labels"), held_out=(5, 0))
     scored = docs.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), quality.quality(F.col("text"), model).alias("score"))
@@ -68,6 +75,7 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as read back from the archives through the capture index."""
     read = warc.archive_and_read(table(spark, sf_dir, "pages"), least_bytes=0)
     return read.select(
         F.col("page_id").try_cast("long").alias("page_id"),
@@ -79,17 +87,20 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard, slot, and shard if there were one more, of every document under the law `key`."""
     placed = sharding.shard_documents(table(spark, sf_dir, "documents"), shards=40)
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside a benchmark window of 10 words, and the items found."""
     found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     digest = F.sha2(F.concat_ws(",", "items").cast("binary"), 256)
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
 
 
 def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """20 largest inner products of every vector whose id is divisible by 20."""
     return ann.nearest(table(spark, sf_dir, "embeddings"), queries=F.col("id") % 20 == 0, k=20)
 
 

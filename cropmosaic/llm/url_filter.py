@@ -11,9 +11,9 @@ from cropmosaic.llm.common import stored, with_size_hint
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Part of the rank that goes on over links; rounds at most; change at which to stop.
 DAMPING, ROUNDS, TOLERANCE = 0.85, 30, 1e-6
-#: A host is a seed if a rule of one kind judges at least this share of its pages; it is blocked
-#: from this share of distrust in all its trust and distrust.
-SEED_SHARE, BLOCK_SHARE = 0.5, 0.5
+#: A host whose distrust exceeds its trust is blocked if rules block this share of its pages, or if the distrust
+#: that links bring it, beyond its own blocked pages, comes to this share of its pages.
+BLOCK_SHARE, LINK_SHARE = 0.5, 0.1
 #: Absolute or protocol-relative targets of links.
 LINK = r"""(?i)href\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s<>]+)"""
 
@@ -32,10 +32,12 @@ class Rule:
 
 
 def host_of(url: Column) -> Column:
+    """What stands after :// up to /, ?, # or the end, A-Z lower-cased; '' without ://."""
     return F.translate(F.coalesce(F.regexp_extract(url.cast("string"), r"://([^/?#]*)", 1), F.lit("")), UPPER, LOWER)
 
 
 def path_of(url: Column) -> Column:
+    """What follows the host, up to ? or #; '' without ://."""
     return F.coalesce(F.regexp_extract(url.cast("string"), r"://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
@@ -102,28 +104,34 @@ def propagate(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, roun
 
 
 def host_trust(pages: DataFrame, links: DataFrame) -> DataFrame:
-    """(host, trust, distrust) from pages (host, verdict by rule or NULL) and host links.
+    """(host, pages, blocked, trust, distrust) from pages (host, verdict by rule or NULL) and host links.
 
-    Trust flows along links from hosts that rules mostly allow; distrust flows against them, to
-    those that link to hosts that rules mostly block. Hosts only known as targets take part.
+    Trust flows along links from hosts with allowed pages; distrust flows against them, to those
+    that link to hosts with blocked pages; each judged page is a seed of equal weight. Both are in
+    pages: all trust adds up to the allowed pages, all distrust to the blocked ones, and a host has
+    no less of either than rules judge of its own. Hosts only known as targets have 0 pages.
     """
     counts = pages.filter("host <> ''").groupBy("host").agg(
         F.count(F.lit(1)).alias("pages"), F.count_if(F.col("verdict") == "allow").alias("allowed"), F.count_if(F.col("verdict") == "block").alias("blocked")
     )
     hosts = counts.select("host").union(links.select("src")).union(links.select("dst")).distinct().join(counts, "host", "left")
-    mostly = lambda c: F.when(F.col(c) / F.col("pages") >= SEED_SHARE, 1.0).otherwise(0.0)
-    hosts = stored(hosts.select("host", mostly("allowed").alias("good"), mostly("blocked").alias("bad")))
-    trust = propagate(hosts.select("host", F.col("good").alias("seed")), links)
+    hosts = stored(hosts.na.fill(0, ["pages", "allowed", "blocked"]))
     against = links.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "n")
-    distrust = propagate(hosts.select("host", F.col("bad").alias("seed")), against)
-    return trust.withColumnRenamed("rank", "trust").join(distrust.withColumnRenamed("rank", "distrust"), "host")
+    out = hosts
+    for judged, name, edges in (("allowed", "trust", links), ("blocked", "distrust", against)):
+        total = hosts.agg(F.coalesce(F.sum(judged), F.lit(0))).first()[0]
+        ranks = propagate(hosts.select("host", F.col(judged).cast("double").alias("seed")), edges)
+        ranks = ranks.select("host", (F.col("rank") * F.lit(float(total))).alias("_pages"))
+        out = out.join(ranks, "host").withColumn(name, F.greatest(F.col(judged).cast("double"), "_pages")).drop("_pages")
+    return out.select("host", "pages", "blocked", "trust", "distrust")
 
 
 def judge(pages: DataFrame, rules: Sequence[Rule], url: str = "url", html: str = "html") -> DataFrame:
     """pages with host, path, rule, verdict in place of any columns of those names.
 
-    The longest fitting rule decides; else the host's trust: block from BLOCK_SHARE of distrust
-    on, allow below and for hosts that neither reaches. A NULL url or one without :// has empty
+    The longest fitting rule decides; else the host's trust: block if its distrust is more than
+    its trust and large for its pages (BLOCK_SHARE, LINK_SHARE), so that a large host is not
+    blocked for a few links; allow otherwise and for hosts that neither reaches. A NULL url or one without :// has empty
     host and path, which no rule fits and no link reaches: allow. Repeated rows get equal
     verdicts and their links count again.
     """
@@ -134,8 +142,10 @@ def judge(pages: DataFrame, rules: Sequence[Rule], url: str = "url", html: str =
     rows = rows.withColumn("_rule", best_rule(F.col("host"), F.col("path"), rules))
     links = stored(host_links(rows, "host", body))
     trust = host_trust(rows.select("host", F.col("_rule")["verdict"].alias("verdict")), links)
-    both = F.col("trust") + F.col("distrust")
-    bad = stored(trust.filter((both > 0) & (F.col("distrust") / both >= BLOCK_SHARE)).select(F.col("host").alias("_bad")))
+    ruled = F.col("blocked") >= F.lit(BLOCK_SHARE) * F.col("pages")
+    brought = F.col("distrust") - F.col("blocked") >= F.lit(LINK_SHARE) * F.col("pages")
+    bad = (F.col("distrust") > F.col("trust")) & (ruled | brought)
+    bad = stored(trust.filter(bad).select(F.col("host").alias("_bad")))
     rows = rows.join(with_size_hint(bad, bad.count(), 128), F.col("host") == F.col("_bad"), "left")
     verdict = F.coalesce(F.col("_rule")["verdict"], F.when(F.col("_bad").isNotNull(), "block").otherwise("allow"))
     kept = [F.col(n).alias(c) for n, c in zip(names, pages.columns) if c not in ("host", "path", "rule", "verdict")]

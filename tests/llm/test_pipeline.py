@@ -53,6 +53,17 @@ def test_odd_and_empty(spark, odd_docs):
     assert docs.filter(F.col("slot") < 0).count() == 0
 
 
+def test_clashing_columns(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(40)
+    for name in ("score", "_score", "matches", "_matches", "_id", "_label", "MATCHES_1", "_doc", "_body", "component_id", "position"):
+        docs = docs.withColumn(name, F.col("doc_id"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stored(docs)
+        out = stored(stage(spark, docs, SF))
+        assert out.columns == docs.columns and out.filter("_score <> doc_id OR MATCHES_1 <> doc_id").count() == 0, name
+        docs = out
+
+
 def test_model_is_stable(spark):
     docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
     a, b = quality.train(docs, labels), quality.train(docs.repartition(7), labels.repartition(3))

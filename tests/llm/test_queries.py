@@ -15,6 +15,7 @@ sys.path.insert(0, str(Path(__file__).parents[1]))
 
 import __spark_entry__ as entry_point  # noqa: E402
 from check_oracle import compare, duck  # noqa: E402
+from cropmosaic.llm import language_id  # noqa: E402
 from cropmosaic.llm.queries import ORACLE, QUERIES  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
@@ -89,6 +90,27 @@ def test_language(spark, documents):
     assert (got.held_out.to_numpy() == [zlib.crc32(str(i).encode()) % 4 == 2 for i in documents.doc_id]).all()
     assert (got.lang_pred == documents.lang)[got.held_out].mean() > 0.9
     assert got.score.between(0, 1).all()
+    model = language_id.train(spark.read.parquet(f"{SF}/documents.parquet"), held_out=(4, 2))
+
+    def phrases(text, sample):
+        n, now = 0, ""
+        for c in text:
+            if now and now + c in sample:
+                now += c
+            else:
+                n, now = n + 1, c if c in sample else ""
+        return n
+
+    for text, told, score in zip(documents.text, got.lang_pred, got.score):
+        plain = re.sub("[^\\W\\d_]", lambda m: m[0].lower() if len(m[0].lower()) == 1 else m[0], text or "")
+        plain = re.sub(" +", " ", "".join(c if c.isalpha() else " " for c in plain))
+        if len(plain) > 3000:
+            continue
+        if not plain.strip():
+            assert told == "und" and score == 0
+            continue
+        cost = sorted((phrases(plain, s) * math.log2(len(s)), la) for la, s in zip(model.languages, model.samples))
+        assert told == cost[0][1] and score == pytest.approx(cost[1][0] / (cost[0][0] + cost[1][0]))
 
 
 def test_quality(spark, documents):
