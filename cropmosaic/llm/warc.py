@@ -14,6 +14,8 @@ from cropmosaic.llm.common import BROADCAST_BYTES, bucket_count, shared_folder,
 
 #: Aimed-at bytes of an archive file, and captures in a compressed block of the index.
 ARCHIVE_BYTES, BLOCK_CAPTURES = 16 << 20, 512
+#: Archives that a range read names to the reader one by one.
+NAMED_ARCHIVES = 1000
 CRLF = "\r\n"
 #: The digits of base32.
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -118,7 +120,8 @@ def parse_record(record: bytes) -> tuple:
     return name(fields[b"warc-record-id"]), kind, name(fields.get(b"warc-refers-to")), url and url.decode(), size, digest, payload
 
 
-def _archives(spark: SparkSession, folder: str) -> DataFrame:
+def _archives(spark: SparkSession, folder: str | list[str]) -> DataFrame:
+    """file, content of the archives below a folder, or of the listed ones."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder)
     return files.select(F.col("path").alias("file"), "content")
 
@@ -243,15 +246,23 @@ def find_captures(index: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def read_captures(spark: SparkSession, folder: str, found: DataFrame) -> DataFrame:
-    """The records (RECORD) at the places found. Only the archives named are opened, each once, and only the ranges parsed.
+    """The records (RECORD) at the places found; each archive is opened once at most, and only the ranges are parsed.
 
     Spark's binary reader hands over an archive (a bounded file) as one value; the ranges are
-    cut from it in the task that reads it.
+    cut from it in the task that reads it. Up to NAMED_ARCHIVES archives are named to the reader,
+    which opens no other; for more than that, or for all, it reads the folder and the join drops
+    what nobody asked for.
     """
     found = stored(found)
     ranges = found.groupBy("file").agg(F.sort_array(F.collect_list(F.struct("offset", "length", "key"))).alias("ranges"))
     size = found.agg(F.coalesce(F.sum(F.octet_length("key") + 24), F.lit(0))).first()[0]
-    both = _archives(spark, folder).join(with_size_hint(ranges, size, 1), "file").select("content", "ranges")
+    ranges = with_size_hint(stored(ranges), size, 1)
+    archives = _archives(spark, folder)
+    named = found.select("file").distinct()
+    if named.count() <= min(NAMED_ARCHIVES, archives.select("file").count() - 1):
+        paths = [r["file"] for r in named.collect()]  # at most NAMED_ARCHIVES
+        archives = _archives(spark, paths) if paths else archives.limit(0)
+    both = archives.join(ranges, "file").select("content", "ranges")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [c.split()[0] for c in RECORD.split(", ")]
