@@ -505,9 +505,15 @@ def overlaps(
     return _overlaps(parcels, tiles, size, key, keep, unit, limit).drop("_row", "_drawn")
 
 
-#: Part of a parcel's area below which an overlap is rounding error: metres near 7,000,000 are exact to 1e-9,
-#: so two borders drawn as one may cross by that much once one of them has been projected.
-SLIVER = 1e-9
+def _rounding() -> Column:
+    """Square metres up to which an overlap is rounding error.
+
+    Metres near 7,000,000 are exact to 1e-9, so two borders drawn as one may cross by that much
+    once one of them has been projected: for a field that is below 1e-9 of its area. The bound
+    grows more slowly for large parcels, so that a small unit inside one still counts.
+    """
+    drawn = F.col("_drawn")
+    return F.least(F.lit(1e-9) * drawn, F.lit(1e-6) + F.lit(1e-11) * drawn)
 
 
 def join_largest(
@@ -530,7 +536,7 @@ def join_largest(
     rounded = F.round("overlap_m2", 6)
     best = F.min(
         F.when(
-            F.col("overlap_m2") > F.lit(SLIVER) * F.col("_drawn"),
+            F.col("overlap_m2") > _rounding(),
             F.struct((-rounded).alias("o"), F.col(unit).alias("u"), F.col("overlap_m2").alias("area")),
         )
     )
@@ -561,7 +567,7 @@ def join_intersects(
         F.when(F.col(unit).isNull(), F.lit(False))
         .when(F.col("full") & _box_in_cell("box"), F.lit(True))
         .when(F.expr(G.segments_touch("_segs", "segs")), F.lit(True))
-        .otherwise(F.expr(_piece_area()) > F.lit(SLIVER) * F.col("_drawn"))
+        .otherwise(F.expr(_piece_area()) > _rounding())
     )
     moved = joined.select(*columns, "_row", F.when(hit, F.col(unit)).alias(unit)).repartition(*[F.col(k) for k in key])
     # collect_set holds the distinct units touched by one parcel, at most the units near it
