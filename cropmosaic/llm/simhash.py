@@ -9,12 +9,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
-from cropmosaic.llm.common import stored, with_size_hint
+from cropmosaic.llm.common import bucket_count, stored, with_size_hint
 from cropmosaic.llm.components import components
 
 WORD_BITS, BLOCK_BITS = 64, 16
 #: Rows of one masked pattern that a task holds together; larger groups are cut in Gray order.
 CELL_ROWS = 2048
+#: Cells' worth of rows in a range that one task cuts.
+RANGE_CELLS = 32
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _STEP = 1 << 13
 
@@ -240,16 +242,19 @@ def _cells(prints: DataFrame, words: int, max_bits: int) -> DataFrame:
     value = lambda i: F.conv(F.hex(F.substring("bits", 2 * i + 1, 2)), 16, 10).cast("long")
     keys = F.array(*[F.lit(i << BLOCK_BITS).cast("long") + value(i) for i in blocks])
     rows = prints.select("id", "bits", gray_rank(_word(F.col("bits"), 0)).alias("gray"), F.explode(keys).alias("key"))
-    large = rows.groupBy("key").count().filter(F.col("count") > CELL_ROWS).select("key")
-    large = stored(large)
-    n = large.count()
+    large = stored(rows.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > CELL_ROWS))
+    n, total = large.agg(F.count(F.lit(1)), F.coalesce(F.sum("rows"), F.lit(0))).first()
     if not n:
         return rows.select(F.col("key").alias("cell"), "id", "bits", "gray")
-    large = with_size_hint(large, n, 32)
+    large = with_size_hint(large.select("key"), n, 32)
     small = rows.join(large, "key", "left_anti").select(F.col("key").alias("cell"), "id", "bits", "gray")
-    order = Window.partitionBy("key").orderBy("gray", "bits")
-    cut = rows.join(large, "key").withColumn("chunk", F.floor((F.row_number().over(order) - 1) / CELL_ROWS))
-    cut = stored(cut.select("key", "chunk", "id", "bits", "gray"))
+    # ranges of (key, Gray rank) first, chunks within each: a block value of any size is cut by many tasks
+    order = ["key", "gray", "bits"]
+    ranges = rows.join(large, "key").repartitionByRange(bucket_count(total, RANGE_CELLS * CELL_ROWS), *order)
+    ranges = stored(ranges.select("key", "id", "bits", "gray", F.spark_partition_id().cast("long").alias("range")))
+    nth = F.row_number().over(Window.partitionBy("range").orderBy(*order))
+    chunk = F.col("range") * F.lit(1 << 32) + F.floor((nth - 1) / CELL_ROWS)
+    cut = stored(ranges.withColumn("chunk", chunk).select("key", "chunk", "id", "bits", "gray"))
     parts = [_word(F.col("bits"), i) for i in range(words)]
     nodes = cut.groupBy("key", "chunk").agg(
         *[F.bit_and(w).alias(f"all{i}") for i, w in enumerate(parts)], *[F.bit_or(w).alias(f"any{i}") for i, w in enumerate(parts)]
