@@ -15,6 +15,7 @@ from cropmosaic import session
 from cropmosaic.functions import geometry as G
 from cropmosaic.operators import prepare, sampling
 from cropmosaic.plans import build
+from cropmosaic.plans.catalog import QUERIES
 from cropmosaic.sinks import tables
 from cropmosaic.sources import layers, links
 from cropmosaic.sources.shapefile import cut_records, read_shapefiles, short_names
@@ -339,3 +340,14 @@ def test_parcels_in_degrees_are_projected(spark):
     row = prepare.normalize_parcels(df, "pg", F.lit("R84"), F.lit(2015)).first()
     assert row["rings"][0][0]["x"] == pytest.approx(700000) and row["rings"][0][0]["y"] == pytest.approx(6600000)
     assert row["area_m2"] == pytest.approx(8517, rel=1e-3)
+
+
+def test_links_of_the_whole_block(spark, tmp_path):
+    def entries(names: str) -> str:
+        return "".join(f'<li><a href="/{n}">{n}</a></li>' for n in names)
+
+    html = f"<ul>{entries('x')}</ul><nav>\n<ul>{entries('abcde')}</ul></nav><ul>{entries('y')}</ul>"
+    pages = [(1, html), (2, f"<nav><ul>{entries('fg')}</ul></nav>"), (3, f"<ul>{entries('z')}</ul>"), (4, None)]
+    spark.createDataFrame(pages, "page_id long, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    found = QUERIES["extract_links_of_block"](spark, str(tmp_path)).collect()
+    assert sorted((r["page_id"], r["url"]) for r in found) == [(1, f"/{n}") for n in "abcde"] + [(2, f"/{n}") for n in "fg"]
