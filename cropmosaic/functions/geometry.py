@@ -351,16 +351,19 @@ def even_odd_edges(rings: str) -> str:
     return _even_odd_of(segments(rings))
 
 
-def valid_edges(rings: str) -> str:
+def valid_edges(rings: str, meets: str | None = None) -> str:
     """Signed edges after repair: boundaries that do not meet themselves as drawn, all others by the even-odd rule.
 
-    Several rings that do not meet need only be turned the right way, shells against holes.
+    Several rings that do not meet need only be turned the right way, shells against holes. `meets`
+    names a column that knows whether the boundary meets itself (`outlines.meets_itself`); where it is
+    NULL the boundary is tested here.
     """
     nested = segments(f"({clean_rings(rings)})")
+    crossing = _crossing_among("gv") if meets is None else f"CASE WHEN {meets} IS NULL THEN {_crossing_among('gv')} ELSE {meets} END"
     return bind(
         "gv",
         segments(rings),
-        f"CASE WHEN {_crossing_among('gv')} THEN {_even_odd_of('gv')} "
+        f"CASE WHEN {crossing} THEN {_even_odd_of('gv')} "
         f"WHEN size({rings}) > 1 THEN {bind('gn', nested, _oriented_of('gn'))} ELSE {_oriented_of('gv')} END",
     )
 

@@ -8,10 +8,15 @@ import math
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 #: Points of one vertical line, and lines, nearer than this are one (metres; rounding is some 1e-9).
 SNAP = 1e-7
 _ROWS = 512
+#: Outlines with more segments are not tested here.
+MOST_SEGMENTS = 1000
 
 Edges = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
@@ -23,6 +28,84 @@ def _at(x1, y1, x2, y2, x):
     return np.where(x == x1, y1, np.where(x == x2, y2, inner))
 
 
+def _runs_of(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers first[i] ... last[i] - 1 in turn, and the i of each."""
+    n = last - first
+    owner = np.repeat(np.arange(len(n)), n)
+    return np.arange(n.sum()) - np.repeat(np.cumsum(n) - n - first, n), owner
+
+
+def self_meetings(rings: pa.ListArray) -> pa.Array:
+    """For each feature what `geometry.self_crossing` tells, all features of a batch side by side.
+
+    NULL where that is left to the expression: outlines of more than MOST_SEGMENTS segments, and
+    those with a coordinate that is missing or not finite. The comparisons are those of the expression.
+    """
+    lists = rings.values
+    points = lists.values
+    xs, ys = (points.field(c).to_numpy(zero_copy_only=False) for c in "xy")
+    ring_at, point_at = rings.offsets.to_numpy().astype(np.int64), lists.offsets.to_numpy().astype(np.int64)
+    absent = rings.is_null().to_numpy(zero_copy_only=False)
+    ring, feature = _runs_of(ring_at[:-1], np.where(absent, ring_at[:-1], ring_at[1:]))
+    start, which = _runs_of(point_at[ring], point_at[ring + 1])
+    of = feature[which]
+    end = start + 1
+    final = end == point_at[ring[which] + 1]
+    end[final] = point_at[ring[which[final]]]
+    x1, y1, x2, y2 = xs[start], ys[start], xs[end], ys[end]
+    n = len(rings)
+    unknown = np.bincount(of, weights=~(np.isfinite(x1) & np.isfinite(y1)), minlength=n) > 0
+    if lists.null_count or points.null_count:
+        unknown |= True
+    drawn = ((x1 != x2) | (y1 != y2)) & ~unknown[of]
+    unknown |= np.bincount(of[drawn], minlength=n) > MOST_SEGMENTS
+    drawn &= ~unknown[of]
+    of, x1, y1, x2, y2 = of[drawn], x1[drawn], y1[drawn], x2[drawn], y2[drawn]
+    meets = np.zeros(n, bool)
+    order = np.lexsort((y1, x1, of))
+    a, b = order[:-1], order[1:]
+    meets[of[a][(of[a] == of[b]) & (x1[a] == x1[b]) & (y1[a] == y1[b])]] = True  # a corner returned to
+    back = (x1 > x2) | ((x1 == x2) & (y1 > y2))
+    x1, y1, x2, y2 = np.where(back, x2, x1), np.where(back, y2, y1), np.where(back, x1, x2), np.where(back, y1, y2)
+    order = np.lexsort((x1, of))
+    of, x1, y1, x2, y2 = of[order], x1[order], y1[order], x2[order], y2[order]
+    low, high = np.minimum(y1, y2), np.maximum(y1, y2)
+    dx, dy = x2 - x1, y2 - y1
+    last = np.searchsorted(of, of, side="right")
+
+    def side(e, x, y):
+        return np.sign(dx[e] * (y - y1[e]) - dy[e] * (x - x1[e]))
+
+    def inside(e, x, y, turn):
+        on = (turn == 0) & (x >= x1[e]) & (x <= x2[e]) & (y >= low[e]) & (y <= high[e])
+        return on & ((x != x1[e]) | (y != y1[e])) & ((x != x2[e]) | (y != y2[e]))
+
+    e, step = np.flatnonzero(~meets[of]), 0
+    while len(e):  # each segment against the next one by its left end, then the one after that, while they reach so far
+        step += 1
+        e = e[e + step < last[e]]
+        f = e + step
+        near = (x1[f] <= x2[e]) & ~meets[of[e]]
+        e, f = e[near], f[near]
+        close = (high[e] >= low[f]) & (high[f] >= low[e])
+        p, q = e[close], f[close]
+        p1, p2, q1, q2 = side(q, x1[p], y1[p]), side(q, x2[p], y2[p]), side(p, x1[q], y1[q]), side(p, x2[q], y2[q])
+        hit = (q1 * q2 < 0) & (p1 * p2 < 0)
+        hit |= inside(p, x1[q], y1[q], q1) | inside(p, x2[q], y2[q], q2)
+        hit |= inside(q, x1[p], y1[p], p1) | inside(q, x2[p], y2[p], p2)
+        meets[of[p[hit]]] = True
+    return pa.array(meets, mask=unknown)
+
+
+def meets_itself(rings: str) -> Column:
+    """self_meetings() of a column of rings."""
+
+    def run(column: pa.Array) -> pa.Array:
+        return self_meetings(column)
+
+    return F.arrow_udf(run, "boolean")(rings)
+
+
 def crossings(x1: np.ndarray, y1: np.ndarray, x2: np.ndarray, y2: np.ndarray) -> np.ndarray:
     """x of every point at which two edges cross inside both; some rows against all later ones at a time."""
     order = np.argsort(x1, kind="stable")
@@ -46,16 +129,58 @@ def crossings(x1: np.ndarray, y1: np.ndarray, x2: np.ndarray, y2: np.ndarray) ->
     return np.concatenate(found) if found else np.zeros(0)
 
 
+def crossings_of_groups(of: np.ndarray, x1: np.ndarray, y1: np.ndarray, x2: np.ndarray, y2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Group and x of every point at which two edges of a group cross inside both; `of` is the group of each edge.
+
+    Edges are sorted by group and left end; each is compared with the next one, then with the one
+    after that, while they begin before it ends, all edges of all groups at a time.
+    """
+    order = np.lexsort((x1, of))
+    of, x1, y1, x2, y2 = of[order], x1[order], y1[order], x2[order], y2[order]
+    last = np.searchsorted(of, of, side="right")
+    groups, found = [np.zeros(0, of.dtype)], [np.zeros(0)]
+    i, step = np.arange(len(x1)), 0
+    while len(i):
+        step += 1
+        i = i[i + step < last[i]]
+        i = i[x1[i + step] < x2[i]]
+        j = i + step
+        lo, hi = x1[j], np.minimum(x2[i], x2[j])
+        at_lo = _at(x1[i], y1[i], x2[i], y2[i], lo) - _at(x1[j], y1[j], x2[j], y2[j], lo)
+        at_hi = _at(x1[i], y1[i], x2[i], y2[i], hi) - _at(x1[j], y1[j], x2[j], y2[j], hi)
+        cross = at_lo * at_hi < 0
+        lo, hi, at_lo, at_hi = lo[cross], hi[cross], at_lo[cross], at_hi[cross]
+        groups.append(of[i[cross]])
+        found.append(lo + (hi - lo) * at_lo / (at_lo - at_hi))
+    return np.concatenate(groups), np.concatenate(found)
+
+
 def union(x1: np.ndarray, y1: np.ndarray, x2: np.ndarray, y2: np.ndarray, s: np.ndarray) -> Edges:
-    """Signed edges of what at least one polygon covers, from the edges of all of them put together.
+    """Signed edges of what at least one polygon covers, from the edges of all of them put together."""
+    return union_of_groups(np.zeros(len(x1), np.int64), x1, y1, x2, y2, s)[1:]
+
+
+def union_of_groups(of: np.ndarray, x1: np.ndarray, y1: np.ndarray, x2: np.ndarray, y2: np.ndarray, s: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Group and signed edges of what at least one polygon of the group covers; `of`, ascending, is the group of each edge.
 
     The plane is cut into strips at all ends and crossings. In a strip edges do not cross, and
     the running sum of their signs from below is the number of polygons that cover the gap above
     each; edges stay where that number leaves or reaches zero. Neighbouring pieces of one edge
     are one piece again.
     """
-    xs = np.unique(np.concatenate([x1, x2, crossings(x1, y1, x2, y2)]))
-    first, last = np.searchsorted(xs, x1), np.searchsorted(xs, x2)
+    if len(of) and of[0] == of[-1]:
+        cut = crossings(x1, y1, x2, y2)
+        where = np.full(len(cut), of[0])
+    else:
+        where, cut = crossings_of_groups(of, x1, y1, x2, y2)
+    where, cut = np.concatenate([of, of, where]), np.concatenate([x1, x2, cut])
+    order = np.lexsort((cut, where))
+    where, cut = where[order], cut[order]
+    fresh = np.ones(len(cut), bool)
+    fresh[1:] = (where[1:] != where[:-1]) | (cut[1:] != cut[:-1])
+    xs, place = cut[fresh], np.empty(len(cut), np.int64)
+    place[order] = np.cumsum(fresh) - 1
+    first, last = place[: len(x1)], place[len(x1) : 2 * len(x1)]
     parts = last - first
     edge = np.repeat(np.arange(len(x1)), parts)
     strip = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts) + first[edge]
@@ -74,7 +199,7 @@ def union(x1: np.ndarray, y1: np.ndarray, x2: np.ndarray, y2: np.ndarray, s: np.
     tail = np.r_[head[1:], len(edge)] - 1 if len(edge) else head
     e, a, b = edge[head], xs[strip[head]], xs[strip[tail] + 1]
     line = x1[e], y1[e], x2[e], y2[e]
-    return a, _at(*line, a), b, _at(*line, b), sign[head]
+    return of[e], a, _at(*line, a), b, _at(*line, b), sign[head]
 
 
 def _snapped(values: np.ndarray) -> dict[float, float]:

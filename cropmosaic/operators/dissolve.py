@@ -3,7 +3,6 @@
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +15,8 @@ from cropmosaic.session import stored
 
 #: Edges of one group in one cell that a task unites at once; fuller cells are cut into four, this often at most.
 MOST_EDGES, DEEPEST = 1024, 12
+#: Edges that a task unites side by side, of whole cells.
+EDGES_AT_ONCE = 1 << 16
 _PIECE = ["x1", "y1", "x2", "y2", "s"]
 
 
@@ -25,7 +26,8 @@ def _in_cells(features: DataFrame, keys: list[str], size: float, rings: str) ->
     Cells of level lv have the side size / 2^lv. A cell holding more than MOST_EDGES is cut
     into four, and those again: one crowded place costs more cells, not a larger task.
     """
-    edges = features.select(*keys, F.expr(G.bbox(rings)).alias("box"), F.explode(F.expr(G.valid_edges(rings))).alias("e"))
+    features = features.select(*keys, F.col(rings).alias("_rings"), O.meets_itself(rings).alias("_meets"))
+    edges = features.select(*keys, F.expr(G.bbox("_rings")).alias("box"), F.explode(F.expr(G.valid_edges("_rings", "_meets"))).alias("e"))
     edges = edges.select(*keys, "box.ymin", "box.ymax", "e")
     done = None
     for level in range(DEEPEST + 1):
@@ -49,8 +51,23 @@ def _in_cells(features: DataFrame, keys: list[str], size: float, rings: str) ->
         )
 
 
-def _union(pieces: pd.DataFrame) -> list[np.ndarray]:
-    return O.union(*[pieces[c].to_numpy(np.int64 if c == "s" else np.float64) for c in _PIECE])
+def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Last column, the signed edges of each row, replaced by those of their union; many rows at a time."""
+    for batch in batches:
+        lists = batch.column(batch.num_columns - 1)
+        at, flat = lists.offsets.to_numpy().astype(np.int64), lists.values
+        pieces = [flat.field(c).to_numpy(zero_copy_only=False) for c in _PIECE]
+        lo = 0
+        while lo < batch.num_rows:
+            hi = max(int(np.searchsorted(at, at[lo] + EDGES_AT_ONCE, side="right")) - 1, lo + 1)
+            of = np.repeat(np.arange(hi - lo), np.diff(at[lo : hi + 1]))
+            of, *found = O.union_of_groups(of, *[p[at[lo] : at[hi]] for p in pieces])
+            columns = [pa.array(c, pa.int32() if n == "s" else pa.float64()) for n, c in zip(_PIECE, found)]
+            ends = pa.array(np.searchsorted(of, np.arange(hi - lo + 1)), pa.int32())
+            united = pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays(columns, _PIECE))
+            others = [c.slice(lo, hi - lo) for c in batch.columns[:-1]]
+            yield pa.RecordBatch.from_arrays([*others, united], names=batch.schema.names)
+            lo = hi
 
 
 def dissolve(features: DataFrame, keys: list[str], size: float, rings: str = "rings") -> DataFrame:
@@ -63,16 +80,9 @@ def dissolve(features: DataFrame, keys: list[str], size: float, rings: str = "ri
     """
     cells = _in_cells(features, keys, size, rings)
     names = [*keys, "lv", *CELL]
+    lists = cells.groupBy(*names).agg(F.collect_list(F.struct(*_PIECE)).alias("edges"))
     schema = T.StructType([cells.schema[c] for c in names] + [T.StructField("edges", T.DataType.fromDDL(f"array<{G.EDGE_TYPE}>"))])
-
-    def unite(key: tuple, group: pa.Table) -> pa.Table:
-        found = _union(group.select(_PIECE).to_pandas())
-        columns = [pa.array(c, pa.int32() if n == "s" else pa.float64()) for n, c in zip(_PIECE, found)]
-        list_ = pa.ListArray.from_arrays(pa.array([0, len(found[0])], pa.int32()), pa.StructArray.from_arrays(columns, _PIECE))
-        one = group.select(names).slice(0, 1)
-        return one.append_column("edges", list_)
-
-    united = cells.select(*names, *_PIECE).groupBy(*names).applyInArrow(unite, schema)
+    united = lists.mapInArrow(_united, schema)
     base = f"(cy * {G.number(size)} / power(2, lv))"
     return united.filter(F.size("edges") > 0).withColumn("area_m2", F.expr(G.edges_area("edges", base)))
 
@@ -131,6 +141,7 @@ def repair_outlines(df: DataFrame, rings: str = "rings") -> DataFrame:
     boundary vanishes, a ring inside another is a hole. Row by row; an outline without area
     becomes [], NULL stays NULL. Column order is kept but for `rings`, which comes last.
     """
-    edges = df.withColumn("_edges", F.when(F.col(rings).isNotNull(), F.expr(G.valid_edges(rings)))).drop(rings)
+    tested = df.withColumn("_meets", O.meets_itself(rings))
+    edges = tested.withColumn("_edges", F.when(F.col(rings).isNotNull(), F.expr(G.valid_edges(rings, "_meets")))).drop(rings, "_meets")
     out = _with_rings(edges, "_edges")
     return out if rings == "rings" else out.withColumnRenamed("rings", rings)

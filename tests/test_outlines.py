@@ -258,3 +258,30 @@ def test_a_stray_parcel_stays_within_the_tiles(spark):
     stray = features(spark, "parcel_id", [("stray", [[(10.0, 10.0), (1e9, 11.0), (1e9, 12.0), (10.0, 12.0)]]), ("away", [box(90, 90, 91, 91)]), ("empty", [])])
     got = {r["parcel_id"]: (r["geo_unit"], r["overlap_m2"]) for r in spatial.join_largest(stray, tiles, 5.0, ["parcel_id"]).collect()}
     assert got == {"stray": ("u", pytest.approx(20.0, abs=1e-6)), "away": (None, None), "empty": (None, None)}
+
+
+def test_groups_united_side_by_side_as_one_by_one():
+    rng = np.random.default_rng(5)
+    edges = []
+    for group in range(40):
+        for _ in range(rng.integers(1, 6)):
+            x, y, r = *rng.integers(0, 6, 2), rng.integers(1, 4)
+            corners = [(x, y), (x + r, y + 0.5), (x + r + 1, y + r), (x - 1, y + r)]
+            for (ax, ay), (bx, by) in zip(corners, corners[1:] + corners[:1]):
+                if ax != bx:
+                    edges.append((group, *((ax, ay, bx, by, -1) if ax < bx else (bx, by, ax, ay, 1))))
+    of, *pieces = (np.array(c, np.int64 if i in (0, 5) else np.float64) for i, c in enumerate(zip(*edges)))
+    got = outlines.union_of_groups(of, *pieces)
+    for group in range(40):
+        alone = outlines.union(*[p[of == group] for p in pieces])
+        assert all(np.array_equal(a[got[0] == group], b) for a, b in zip(got[1:], alone))
+
+
+def test_self_meetings_tell_what_the_expression_tells(spark):
+    rng = np.random.default_rng(3)
+    shapes = [[[tuple(map(float, p)) for p in rng.integers(0, g, (rng.integers(0, 8), 2))] for _ in range(rng.integers(0, 3))] for g in (3, 6, 40) * 200]
+    shapes += [None, [], [[(0.0, float("nan")), (1.0, 1.0), (2.0, 0.0)]]]
+    df = spark.createDataFrame([(s,) for s in shapes], f"rings {G.RINGS_TYPE}")
+    rows = df.select(outlines.meets_itself("rings").alias("a"), F.expr(G.self_crossing("rings")).alias("b")).collect()
+    assert {(r["a"], r["b"]) for r in rows[:-1]} == {(True, True), (False, False)}
+    assert rows[-1]["a"] is None  # left to the expression
