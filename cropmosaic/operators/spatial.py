@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cropmosaic.functions import geometry as G
+from cropmosaic.functions import outlines as O
 from cropmosaic.operators.skew import BROADCAST_BYTES, fits_broadcast, keyed_join, salted_join, sized_join
 from cropmosaic.session import stored
 
@@ -372,10 +373,11 @@ FEW_EDGES = 8
 
 def _shaped(parcels: DataFrame, columns: list[str], contact: bool) -> DataFrame:
     """columns, _row, box, _drawn (area of the whole outline), _edges (signed), with `contact` also _segs; computed once per parcel."""
-    shape = [F.expr(G.valid_edges("rings")).alias("_edges"), F.expr(G.polygon_area("rings")).alias("_drawn")]
+    parcels = parcels.select("*", _row_id(parcels), O.meets_itself("rings").alias("_meets"))
+    shape = [F.expr(G.valid_edges("rings", "_meets")).alias("_edges"), F.expr(G.polygon_area("rings")).alias("_drawn")]
     if contact:
         shape.append(F.expr(G.contact_segments("rings")).alias("_segs"))
-    return parcels.select(*columns, _row_id(parcels), F.expr(G.bbox("rings")).alias("box"), *shape)
+    return parcels.select(*columns, "_row", F.expr(G.bbox("rings")).alias("box"), *shape)
 
 
 def parcel_cells(shaped: DataFrame, size: float, contact: bool = False, extent: tuple | None = None) -> DataFrame:
