@@ -285,3 +285,27 @@ def test_self_meetings_tell_what_the_expression_tells(spark):
     rows = df.select(outlines.meets_itself("rings").alias("a"), F.expr(G.self_crossing("rings")).alias("b")).collect()
     assert {(r["a"], r["b"]) for r in rows[:-1]} == {(True, True), (False, False)}
     assert rows[-1]["a"] is None  # left to the expression
+
+
+def test_overlap_areas_add_up_what_the_expression_adds_up(spark, monkeypatch):
+    monkeypatch.setattr(outlines, "EDGE_PAIRS", 5)
+    rng = np.random.default_rng(4)
+
+    def edges(most):
+        x, y = np.sort(rng.integers(0, 9, (rng.integers(0, most), 2))) + [0, 1], rng.normal(size=(99, 2))
+        return [(float(a), float(c), float(b), float(d), int(s)) for (a, b), (c, d), s in zip(x, y, rng.choice([-1, 1], 99))]
+
+    rows = [(edges(5), edges(30)) for _ in range(300)] + [(None, edges(5)), (edges(5), None), ([], edges(5))]
+    odd = [([(0.0, y, 1.0, 1.0, 1)], edges(9)) for y in (None, float("nan"), float("inf"))]
+    df = spark.createDataFrame(rows + odd, f"a array<{G.EDGE_TYPE}>, b array<{G.EDGE_TYPE}>").coalesce(1)
+    told = F.expr(G.overlap_area("a", "b"))
+    got = df.select("a", outlines.overlap_of_edges(F.col("a"), F.col("b")).alias("batch"), told.alias("told")).collect()
+    assert [r["batch"] for r in got[:300]] == [r["told"] for r in got[:300]]
+    assert [r["batch"] for r in got[300:]] == [None, None, 0.0, None, None, None]  # left to the expression
+
+
+def test_overlaps_are_added_up_a_batch_at_a_time(spark):
+    units = features(spark, "geo_unit", [("u", star(np.random.default_rng(5), 5, 5, 9))])
+    parcels = features(spark, "parcel_id", [("p", [box(3, 3, 4, 4)])])
+    pairs = spatial.overlaps(parcels, spatial.unit_tiles(units, 2.0), 2.0, ["parcel_id"])
+    assert executed_plan(pairs).count("ArrowEvalPython") == 2  # self-contact, and the overlap
