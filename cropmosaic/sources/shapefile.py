@@ -513,7 +513,8 @@ class _Part:
         }
         for suffix, pieces in contents.items():
             with files.open_output_stream(f"{target}/{self.writer.layer}{suffix}") as out:
-                out.write(b"".join(pieces))
+                for piece in pieces:  # not joined first, which would hold the part twice
+                    out.write(piece)
         return folder
 
 
