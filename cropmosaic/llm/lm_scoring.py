@@ -12,6 +12,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pandas as pd
@@ -19,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cropmosaic.llm.common import fold, id_text, stored, unit_hash
+from cropmosaic.llm.common import fold, stored
 
 #: Preceding bytes that are the context of a predictor ("word": the word so far), and the bits of the
 #: predictor's table index. The tables, and so the model, have a fixed size.
@@ -29,20 +30,25 @@ RANGE_BITS = 16
 #: Bytes that must agree with an earlier place of the document to guess the next one from it, and the
 #: log-odds of the guess by how often in a row it came true: never, up to 3, up to 15 times, more.
 MATCH, MATCH_ODDS = 6, np.array([0.5, 1.5, 3.0, 5.0], np.float32)
-#: Documents (those of the smallest id hashes, at most one in TUNING_SHARE) that set the mixing weights and the
-#: shape of the code tree, and the bytes read of each for that. They are counted, whole, after the weights are set.
-TUNING_DOCUMENTS, TUNING_BYTES, TUNING_SHARE = 256, 8192, 8
+#: Training documents at most whose slopes are worked out together when the weights are set; all of them are read, whole.
+TUNING_DOCUMENTS = 4096
+#: The weight that all inputs start with, and what is added to the curvature so that a gate with few bits stays near it.
+START, RIDGE = 0.3, 20.0
 #: Tokens with at least 1 / FREQUENT of all occurrences, of which there are at most FREQUENT, are broadcast with
 #: their counts; all others are joined by a shuffle.
 FREQUENT = 1 << 20
 #: Bytes worked on together (arrays of that size stay in the cache), bytes between corrections of a
 #: document's weights, bytes in front of a piece that are context only, and bytes whose words are held at once.
 PIECE_BYTES, BLOCK_BYTES, LEFT, WORDS_BYTES = 1 << 17, 512, 64, 1 << 19
+#: Bytes looked up together: equal contexts with equal bytes are worked out once, so more of them cost less.
+GROUP_BYTES = 1 << 19
+#: Bytes whose arrays are worked out together.
+CACHED_BYTES = 1 << 16
 #: Log-odds are kept in steps of 1 / SCALE in a byte, so that a table stays in a core's cache.
 SCALE = 12.0
 PRIOR, RATE, END = 0.15, 0.03, 255
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-_MIX = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 _POWER = 0x5851F42D4C957F2D
 N_INPUTS = len(CONTEXTS) + 2
 DEPTHS, KINDS = 4, 7
@@ -54,17 +60,17 @@ REFINED = 2
 class Tree:
     """Codes of all pairs (byte before, byte): their steps end to end.
 
-    mixed (node in the tree, hashed), bit, depth and prior log-odds of each step; of a pair
-    256 * before + byte, at and size are where its steps begin and how many they are, code its bits, first bit highest.
+    mark (twice the node's number, plus the bit) and prior log-odds (of the step's bit) of each step; of a pair
+    256 * before + byte, at and size are where its steps begin and how many they are, code its bits, first bit highest,
+    rank its place among all pairs by the kind of the byte before and, within a kind, from long codes to short.
     """
 
-    mixed: np.ndarray
-    bit: np.ndarray
-    depth: np.ndarray
+    mark: np.ndarray
     prior: np.ndarray
     at: np.ndarray
     size: np.ndarray
     code: np.ndarray
+    rank: np.ndarray
 
 
 def _paths(weight: np.ndarray) -> list[list[tuple[int, int, float]]]:
@@ -108,10 +114,14 @@ def build_tree(pairs: np.ndarray) -> Tree:
         for byte, path in enumerate(paths):
             size[256 * before + byte] = len(path)
             code[256 * before + byte] = sum(bit << (31 - i) for i, (_, bit, _) in enumerate(path))
-            steps += [(256 * before + node, bit, min(i, DEPTHS - 1), odds) for i, (node, bit, odds) in enumerate(path)]
-    node, bit, depth, prior = (np.array(v) for v in zip(*steps))
-    mixed = ((node.astype(np.uint64) * _MIX[2]) >> np.uint64(32)).astype(np.uint32)
-    return Tree(mixed, bit.astype(np.uint8), depth.astype(np.int64), prior.astype(np.float32), np.cumsum(size) - size, size, code)
+            # nodes near the root get the smallest numbers: a context's slots for them stand side by side
+            steps += [(before, 254 - node, bit, odds) for node, bit, odds in path]
+    before, node, bit, prior = (np.array(v) for v in zip(*steps))
+    mixed = (before.astype(np.uint32) * np.uint32(0x9E3779B1) >> np.uint32(20)).astype(np.int64)
+    mark = (mixed << 8 | node) << 1 | bit
+    rank = np.empty(65536, np.int64)
+    rank[np.lexsort((-size, np.repeat(_KIND, 256)))] = np.arange(65536)
+    return Tree(mark, (prior * (2 * bit - 1)).astype(np.float32), np.cumsum(size) - size, size, code, rank)
 
 
 def pair_counts(texts: list[bytes]) -> np.ndarray:
@@ -132,49 +142,68 @@ _GAP[[0, 9, 10, 11, 12, 13, 32]] = True
 _INVERSE = pow(_POWER, -1, 1 << 64)
 
 
+@lru_cache(maxsize=4)
 def _powers(base: int, n: int) -> np.ndarray:
     out = np.full(n, base, np.uint64)
     out[0] = 1
     return np.cumprod(out, dtype=np.uint64)
 
 
+def _before(data: np.ndarray) -> np.ndarray:
+    """The eight bytes in front of every position as a number, the nearest one highest."""
+    wide = np.zeros(len(data) + 8, np.uint8)
+    wide[8:] = data
+    return np.ndarray(len(data), "<u8", wide, 0, (1,)).astype(np.uint64)
+
+
 def contexts(data: np.ndarray) -> list[np.ndarray]:
     """A 64-bit number of each predictor's context for every position of data (LEFT bytes in front are context only)."""
-    wide = data.astype(np.uint64)
-    before = [np.zeros_like(wide)]
-    value = np.zeros_like(wide)
-    for k in range(1, max(c for c in CONTEXTS if c != "word") + 1):
-        value = value.copy()
-        value[k:] |= wide[:-k] << np.uint64(8 * (k - 1))
-        before.append(value)
-    place = np.arange(len(data))
+    n = len(data)
+    whole = 1 << n.bit_length()
+    place = np.arange(n)
     start = np.maximum.accumulate(np.where(_GAP[data], place + 1, 0))  # the word that goes on after each byte
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((wide + np.uint64(1)) * _powers(_POWER, len(data)), dtype=np.uint64)))
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum((data + np.uint64(1)) * _powers(_POWER, whole)[:n], out=sums[1:])
     begin = np.concatenate((np.zeros(1, np.int64), start[:-1]))
-    word = (sums[place] - sums[begin]) * _powers(_INVERSE, len(data))[begin]
-    return [(word if c == "word" else before[c]) for c in CONTEXTS]
+    word = (sums[:-1] - sums[begin]) * _powers(_INVERSE, whole)[begin]
+    before = _before(data)
+    return [(word if c == "word" else before >> np.uint64(64 - 8 * c)) for c in CONTEXTS]
 
 
 def _pairs(data: np.ndarray, places: np.ndarray) -> np.ndarray:
-    return 256 * data[places - 1].astype(np.int64) + data[places]
+    pairs = data.take(places - 1).astype(np.int64)
+    pairs <<= 8
+    pairs |= data.take(places)
+    return pairs
+
+
+def _spread(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """begin, begin + 1, ... for each, as many (at least one) as size says."""
+    if not len(size):
+        return np.zeros(0, np.int64)
+    first = np.cumsum(size, dtype=np.int64)
+    out = np.ones(first[-1], np.int64)
+    first -= size
+    out[first[1:]] = begin[1:] - begin[:-1] - size[:-1] + 1
+    out[0] = begin[0]
+    return np.cumsum(out, out=out)
 
 
 def _steps(tree: Tree, data: np.ndarray) -> np.ndarray:
     """Indexes into the tree's steps for the bits of the pairs in data."""
-    size = tree.size[data]
-    first = np.cumsum(size) - size
-    return np.arange(size.sum()) - np.repeat(first - tree.at[data], size)
+    return _spread(tree.at.take(data), tree.size.take(data))
 
 
-def slots(number: np.ndarray, size: np.ndarray, node: np.ndarray, predictor: int) -> np.ndarray:
-    """Table index for each bit: 32 bits of the context's number and the mixed node, mixed to the predictor's bits."""
-    mixed = np.repeat((((number + np.uint64(predictor + 1)) * _MIX[0]) >> np.uint64(32)).astype(np.uint32), size)
-    mixed += node
-    mixed *= np.uint32(0x9E3779B1)
-    mixed ^= mixed >> np.uint32(15)
-    mixed *= np.uint32(0x85EBCA77)
-    mixed >>= np.uint32(32 - TABLE_BITS[predictor])
-    return mixed.astype(np.int64)
+def slots(data: np.ndarray, places: np.ndarray) -> Iterator[np.ndarray]:
+    """For each predictor twice the table index of the context at every place; a step's mark is added by exclusive or."""
+    for k, number in enumerate(contexts(data)):
+        number = number.take(places)
+        number += np.uint64(k + 1)
+        number *= _MIX
+        number ^= number >> np.uint64(29)
+        number *= _MIX
+        number >>= np.uint64(64 - TABLE_BITS[k])
+        yield number.view(np.int64) << 1
 
 
 def _slices(text: bytes) -> Iterator[tuple[np.ndarray, int]]:
@@ -197,7 +226,7 @@ class Counts:
         for data, _ in _slices(text):
             self.held.append(data)
             self.size += len(data)
-            if self.size >= PIECE_BYTES:
+            if self.size >= GROUP_BYTES:
                 self.flush()
 
     def flush(self) -> None:
@@ -206,16 +235,18 @@ class Counts:
         data = np.concatenate(self.held)
         real = np.flatnonzero(np.concatenate([np.arange(len(d)) >= LEFT for d in self.held]))
         self.held, self.size = [], 0
-        numbers = contexts(data)
         coded = _pairs(data, real)
-        steps = _steps(self.tree, coded)
-        size, node, bit = self.tree.size[coded], self.tree.mixed.take(steps), self.tree.bit.take(steps)
-        for k, number in enumerate(numbers):
-            where = slots(number[real], size, node, k)
-            where <<= 1
-            where += bit
-            where.sort()  # in order, the table is walked through once instead of at random
-            np.add.at(self.seen[k], where, np.int32(1))
+        for k, slot in enumerate(slots(data, real)):
+            key = slot << 15 | coded
+            key.sort()  # in order, equal ones stand together and the table is walked through once instead of at random
+            first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+            often = np.diff(first, append=len(key)).astype(np.int32)
+            key = key[first]
+            pair = key & 0xFFFF
+            size = self.tree.size[pair]
+            where = np.repeat(key >> 16 << 1, size)
+            where ^= self.tree.mark.take(_steps(self.tree, pair))
+            np.add.at(self.seen[k], where, np.repeat(often, size))
 
     def parts(self) -> Iterator[tuple[int, int, bytes]]:
         """predictor, range, packed (slot, zeros, ones) of what was seen."""
@@ -248,49 +279,103 @@ def _hash(token: bytes) -> int:
     return xxhash.xxh64_intdigest(token, 7) - (1 << 63)
 
 
-def count(docs: DataFrame, tree: Tree) -> DataFrame:
-    """One pass over docs (body, train, tuning): rows (kind, part, data), of context counts (kind >= 0) and token counts (-1).
+def _pieces(bodies: pd.Series, size: int) -> Iterator[np.ndarray]:
+    """Places of bodies that follow each other, in parts of about `size` bytes."""
+    cut = (bodies.map(len).cumsum() // size).to_numpy()
+    return (part for part in np.split(np.arange(len(bodies)), np.flatnonzero(np.diff(cut)) + 1) if len(part))
+
+
+def count_tokens(docs: DataFrame) -> DataFrame:
+    """One pass over docs (body, train): token counts by hash (kind -1), and a task's counts of byte pairs (kind -2) of training documents.
 
-    A task adds up what it reads in tables of fixed size and a token count that it hands on
-    whenever it has grown large.
+    The token count is handed on whenever it has grown large.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen, trained, everywhere = Counts(tree), Counter(), Counter()
+        trained, everywhere, pairs = Counter(), Counter(), np.zeros((256, 256), np.int64)
 
         def tokens() -> pd.DataFrame:
             names = list(everywhere)
             hashed = np.array([_hash(t) for t in names], np.int64)
             both = np.array([(trained[t], everywhere[t]) for t in names], np.int64).reshape(-1, 2)
-            return pd.DataFrame({"kind": -1, "part": 0, "hash": hashed, "trained": both[:, 0], "everywhere": both[:, 1], "data": None})
+            return pd.DataFrame({"kind": -1, "hash": hashed, "trained": both[:, 0], "everywhere": both[:, 1], "data": None})
 
         for batch in batches:
-            for body, train, tuning in zip(batch["body"], batch["train"], batch["tuning"]):
-                words = _tokens(body)
-                everywhere.update(words)
-                if train:
-                    trained.update(words)
-                    if not tuning:
-                        seen.add(body)
+            for part in _pieces(batch["body"], WORDS_BYTES):
+                piece = batch.iloc[part]
+                learned = []
+                for body, train in zip(piece["body"], piece["train"]):
+                    words = _tokens(body)
+                    everywhere.update(words)
+                    if train:
+                        trained.update(words)
+                        learned.append(body)
+                if learned:
+                    pairs += pair_counts(learned)
                 if len(everywhere) > 300_000:
                     yield tokens()
                     trained.clear()
                     everywhere.clear()
         yield tokens()
-        found = list(seen.parts())
+        if pairs.any():
+            at = np.flatnonzero(pairs)
+            data = np.stack((at, pairs.ravel()[at])).tobytes()
+            yield pd.DataFrame({"kind": [-2], "hash": [0], "trained": [0], "everywhere": [0], "data": [data]})
+
+    return docs.mapInPandas(run, "kind int, hash long, trained long, everywhere long, data binary")
+
+
+def total_pairs(counted: DataFrame) -> np.ndarray:
+    """The byte pairs of all tasks of count_tokens: 65,536 sums at most."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pairs = np.zeros(65536, np.int64)
+        for batch in batches:
+            for data in batch["data"]:
+                at, often = np.frombuffer(data, np.int64).reshape(2, -1)
+                pairs[at] += often
+        at = np.flatnonzero(pairs)
+        yield pd.DataFrame({"at": at, "often": pairs[at]})
+
+    each = counted.filter("kind = -2").select("data").mapInPandas(run, "at int, often long")
+    found = each.groupBy("at").agg(F.sum("often").alias("often")).toPandas()
+    pairs = np.zeros(65536, np.int64)
+    pairs[found["at"].to_numpy(np.int64)] = found["often"].to_numpy(np.int64)
+    return pairs.reshape(256, 256)
+
+
+def count(docs: DataFrame, tree: Tree) -> DataFrame:
+    """One pass over training documents (body): rows (kind, part, data) of context counts; a task adds up what it reads in tables of fixed size."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen = None
+        for batch in batches:
+            for body in batch["body"]:
+                seen = seen or Counts(tree)
+                seen.add(body)
+        found = list(seen.parts()) if seen else []
         for lo in range(0, len(found), 16):
             k, r, data = zip(*found[lo : lo + 16])
-            yield pd.DataFrame({"kind": k, "part": r, "hash": 0, "trained": 0, "everywhere": 0, "data": data})
+            yield pd.DataFrame({"kind": k, "part": r, "data": data})
 
-    return docs.mapInPandas(run, "kind int, part int, hash long, trained long, everywhere long, data binary")
+    return docs.select("body").mapInPandas(run, "kind int, part int, data binary")
 
 
 def quantized(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return np.clip(np.rint(SCALE * np.log((ones + PRIOR) / (zeros + PRIOR))), -127, 127).astype(np.int8)
 
 
+def without_itself(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    """Log-odds of the bit that came, 0 or 1, at each slot (slots x 2), from all counts but that one occurrence."""
+    zero = quantized(ones, np.maximum(zeros - 1, 0))
+    return np.stack((zero, quantized(zeros, np.maximum(ones - 1, 0))), axis=1)
+
+
 def merge(counted: DataFrame) -> DataFrame:
-    """(kind, part, odds): log-odds of every slot in a byte each. A task holds the dense ranges it is dealt, streams the rest."""
+    """(kind, part, odds, apart): log-odds of every slot in a byte each, and those without the occurrence looked at.
+
+    A task holds the dense ranges it is dealt, streams the rest.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total: dict[tuple[int, int], np.ndarray] = {}
@@ -301,11 +386,11 @@ def merge(counted: DataFrame) -> DataFrame:
                 own[0][at] += zeros
                 own[1][at] += ones
         for (k, r), own in total.items():
-            odds = quantized(own[0], own[1])
-            yield pd.DataFrame({"kind": [k], "part": [r], "odds": [odds.tobytes()]})
+            odds, apart = quantized(own[0], own[1]), without_itself(own[0], own[1])
+            yield pd.DataFrame({"kind": [k], "part": [r], "odds": [odds.tobytes()], "apart": [apart.tobytes()]})
 
     dealt = counted.filter("kind >= 0").select("kind", "part", "data").repartition("kind", "part")
-    return dealt.mapInPandas(run, "kind int, part int, odds binary")
+    return dealt.mapInPandas(run, "kind int, part int, odds binary, apart binary")
 
 
 @dataclass
@@ -313,6 +398,12 @@ class Model:
     tree: Tree
     odds: list[np.ndarray]
     weights: np.ndarray
+    apart: list[np.ndarray] | None = None
+
+    @cached_property
+    def speaking(self) -> list[np.ndarray]:
+        """The tables' log-odds of the bit that came, 0 or 1, at each slot (slots x 2)."""
+        return [np.stack((-odds, odds), axis=1).ravel() for odds in self.odds]
 
 
 def _same_bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -325,61 +416,225 @@ def _same_bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def _guesses(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each place the byte that followed the last time the MATCH bytes before it stood in its part, and how sure (-1: none)."""
-    wide = data.astype(np.uint64)
-    part = np.repeat(np.arange(len(lengths)), lengths).astype(np.uint64)
-    key = part << np.uint64(8 * MATCH)
-    for k in range(1, MATCH + 1):
-        key[k:] |= wide[:-k] << np.uint64(8 * (k - 1))
-    order = np.argsort(key, kind="stable")
-    same = key[order[1:]] == key[order[:-1]]
-    before = np.full(len(data), -1)
-    before[order[1:][same]] = order[:-1][same]
-    first = np.repeat(np.cumsum(lengths) - lengths, lengths) + LEFT
-    before[before < first] = -1
-    guess = data[np.maximum(before, 0)]
     place = np.arange(len(data))
-    failed = np.maximum.accumulate(np.where((before < 0) | (guess != data), place, 0))
-    run = np.concatenate(([0], (place - failed)[:-1]))
-    sure = np.searchsorted([1, 4, 16], run, side="right")
-    return guess, np.where(before < 0, -1, sure)
-
-
-def _inputs(model: Model, data: np.ndarray, real: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For the bits of the bytes at the places `real`, in that order: log-odds (inputs x bits), gate, bit, bits of each byte."""
-    coded = _pairs(data, real)
-    steps = _steps(model.tree, coded)
-    size, mixed = model.tree.size[coded], model.tree.mixed.take(steps)
-    odds = np.empty((N_INPUTS, len(steps)), np.float32)
-    odds[0] = model.tree.prior.take(steps)
-    for k, number in enumerate(contexts(data)):
-        odds[k + 1] = model.odds[k].take(slots(number[real], size, mixed, k))
-        odds[k + 1] *= 1 / SCALE
-    guess, sure = _guesses(data, lengths)
-    place = np.arange(len(steps)) - np.repeat(np.cumsum(size) - size, size)
-    other = 256 * (coded >> 8) + guess[real]
-    agree = np.repeat(_same_bits(model.tree.code[coded], model.tree.code[other]), size)
-    odds[-1] = np.repeat(np.where(sure[real] < 0, 0, MATCH_ODDS[sure[real]]), size)
-    odds[-1] *= np.where(place < agree, 1, np.where(place == agree, -1, 0)).astype(np.float32)
-    odds[-1] *= 2 * model.tree.bit.take(steps).astype(np.float32) - 1
-    gate = np.repeat(_KIND[data[real - 1]] * DEPTHS, size) + model.tree.depth.take(steps)
-    return odds, gate, model.tree.bit.take(steps), size
-
-
-def tune(model: Model, texts: list[bytes], rounds: int = 6, rate: float = 0.3) -> None:
-    """Set the gated weights by gradient steps, block after block, over the tuning texts."""
-    model.weights[:] = 0.35
-    for n in range(rounds):
-        for lo in range(0, len(texts), 4):
-            data = np.concatenate([np.frombuffer(bytes(LEFT) + t + bytes([END]), np.uint8) for t in texts[lo : lo + 4]])
-            real = np.flatnonzero(np.concatenate([np.arange(LEFT + len(t) + 1) >= LEFT for t in texts[lo : lo + 4]]))
-            lengths = np.array([LEFT + len(t) + 1 for t in texts[lo : lo + 4]])
-            odds, gate, bit, _ = _inputs(model, data, real, lengths)
-            z = np.clip((model.weights[gate].T * odds).sum(axis=0), -12, 12)
-            error = bit - 1 / (1 + np.exp(-z))
-            hits = np.bincount(gate, minlength=len(model.weights))
-            for k in range(N_INPUTS):
-                slope = np.bincount(gate, weights=error * odds[k], minlength=len(model.weights))
-                model.weights[:, k] += rate / (n + 1) * slope / (hits + 200)
+    part = np.repeat(np.arange(len(lengths), dtype=np.uint64), lengths)
+    part <<= np.uint64(8 * MATCH)
+    number = _before(data)
+    number >>= np.uint64(64 - 8 * MATCH)
+    number |= part
+    # sorted by a hash of part and bytes, with the place in the low bits; the numbers themselves are compared after that
+    bits = np.uint64(len(data).bit_length())
+    key = number * _MIX
+    key ^= key >> np.uint64(31)
+    key *= _MIX
+    key >>= bits
+    key <<= bits
+    key |= place.view(np.uint64)
+    key.sort()
+    key &= (np.uint64(1) << bits) - np.uint64(1)
+    order = key.view(np.int64)
+    number = number.take(order)
+    old = order[:-1].copy()
+    old[number[1:] != number[:-1]] = -1
+    before = np.empty(len(data), np.int64)
+    before[order[1:]] = old
+    before[order[0]] = -1
+    before[before < np.repeat(np.cumsum(lengths) - lengths + LEFT, lengths)] = -1
+    guess = data.take(np.maximum(before, 0))
+    none = before < 0
+    place[~(none | (guess != data))] = 0
+    failed = np.maximum.accumulate(place)
+    run = np.zeros(len(data), np.int64)
+    np.subtract(np.arange(len(data) - 1), failed[:-1], out=run[1:])
+    sure = (run >= 1).astype(np.int8) + (run >= 4) + (run >= 16)
+    sure[none] = -1
+    return guess, sure
+
+
+class Bytes:
+    """The bytes of parts (each with LEFT bytes of context in front), part after part, as the model sees them.
+
+    Of each: pair, bits (size), slots, how sure the guess from an earlier place is (-1: none) and how many bits it has
+    right. Worked out for so many parts at a time that their arrays stay in the cache.
+    """
+
+    def __init__(self, tree: Tree, parts: list[np.ndarray], matches: bool):
+        self.tree = tree
+        length = np.array([len(p) - LEFT for p in parts])
+        self.first = np.cumsum(length) - length
+        n = int(length.sum())
+        self.coded, self.size, self.sure, self.agree = np.empty(n, np.int32), np.empty(n, np.int64), np.empty(n, np.int8), np.zeros(n, np.int8)
+        self.slot = [np.empty(n, np.int32) for _ in CONTEXTS]
+        self.hash = np.empty(n, np.uint64)
+        lo, held = 0, []
+        for i, part in enumerate(parts):
+            held.append(part)
+            if i + 1 == len(parts) or sum(map(len, held)) >= CACHED_BYTES:
+                lo = self._fill(lo, held, matches)
+                held = []
+
+    def _fill(self, lo: int, parts: list[np.ndarray], matches: bool) -> int:
+        tree, data, lengths = self.tree, np.concatenate(parts), np.array([len(p) for p in parts])
+        real = _spread(np.cumsum(lengths) - lengths + LEFT, lengths - LEFT)
+        to = slice(lo, lo + len(real))
+        coded = self.coded[to] = _pairs(data, real)
+        self.size[to] = tree.size.take(coded)
+        slot = list(slots(data, real))
+        for own, found in zip(self.slot, slot):
+            own[to] = found
+        guess, sure = _guesses(data, lengths)
+        sure = self.sure[to] = sure.take(real)
+        some = np.flatnonzero(sure >= 0)
+        few, other = coded.take(some), guess.take(real.take(some))
+        agree = self.agree[to]
+        agree[some] = _same_bits(tree.code.take(few), tree.code.take((few & 0xFF00) | other))
+        full = (slot[2] << 24 | slot[1]).view(np.uint64)
+        full *= _MIX
+        full += slot[0].view(np.uint64)
+        if matches:
+            full += ((sure + 1).astype(np.uint64) << np.uint64(40)) + (agree.astype(np.uint64) << np.uint64(48))
+        full ^= full >> np.uint64(31)
+        full *= _MIX
+        full ^= full >> np.uint64(32)
+        self.hash[to] = full
+        return to.stop
+
+    def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Bytes (one of each kind) that differ in pair, contexts or, with matches, in the guess, in order of
+        their pair's rank; the number of its kind for every byte; how often each occurs. Kinds are told apart by 64-bit hashes."""
+        bits = np.uint64(len(self.hash).bit_length())
+        key = self.hash >> np.uint64(16)
+        key >>= bits
+        key <<= bits
+        key |= np.arange(len(key), dtype=np.uint64)
+        key |= (self.tree.rank << 48).view(np.uint64).take(self.coded)
+        key.sort()
+        fresh = np.ones(len(key), bool)
+        order = (key & ((np.uint64(1) << bits) - np.uint64(1))).view(np.int64)
+        key >>= np.uint64(48)
+        np.not_equal(key[1:], key[:-1], out=fresh[1:])
+        full = self.hash.take(order)
+        fresh[1:] |= full[1:] != full[:-1]
+        start = np.flatnonzero(fresh)
+        number = np.empty(len(key), np.int32)
+        number[order] = np.cumsum(fresh, dtype=np.int32) - np.int32(1)
+        return order.take(start), number, np.diff(start, append=len(key))
+
+    def levels(self, tables: list[np.ndarray], which: np.ndarray, matches: bool) -> Iterator[tuple[int, slice, int, np.ndarray]]:
+        """The inputs for all bits of the bytes `which`, in order of their pairs' rank: gate, which of them, the bit's
+        place in their codes, log-odds of the bit that came (inputs x bytes).
+
+        Those with a bit at some place stand in front of their kind. tables hold the log-odds of the bit that came (slots x 2).
+        """
+        tree, coded, size = self.tree, self.coded.take(which), self.size.take(which)
+        slot, at = [v.take(which) for v in self.slot], tree.at.take(coded)
+        if matches:
+            odds, agree = np.append(MATCH_ODDS, np.float32(0)).take(self.sure.take(which), mode="wrap"), self.agree.take(which)
+        edges = np.searchsorted(_KIND.take(coded >> 8), np.arange(KINDS + 1))
+        for kind, (lo, hi) in enumerate(zip(edges[:-1], edges[1:])):
+            longer = np.cumsum(np.bincount(size[lo:hi], minlength=33)[::-1])[::-1]  # bytes with codes of at least n bits
+            for n in range(int(np.flatnonzero(longer)[-1]) if lo < hi else 0):
+                part = slice(lo, lo + longer[n + 1])
+                steps = at[part] + n
+                mark = tree.mark.take(steps)
+                x = np.zeros((N_INPUTS, len(steps)), np.float32)
+                x[0] = tree.prior.take(steps)
+                for k, table in enumerate(tables):
+                    np.multiply(table.take(slot[k][part] ^ mark), np.float32(1 / SCALE), out=x[k + 1])
+                if matches:
+                    np.multiply(odds[part], (agree[part] > n).view(np.int8) - (agree[part] == n).view(np.int8), out=x[-1])
+                yield kind * DEPTHS + min(n, DEPTHS - 1), part, n, x
+
+
+def slopes(model: Model, texts: list[bytes]) -> np.ndarray:
+    """gates x inputs x (1 + inputs): slope of the texts' log-probability by the weights at START, and its curvature.
+
+    Each bit's table entries leave that one occurrence out of the counts.
+    """
+    out = np.zeros((DEPTHS * KINDS, N_INPUTS, 1 + N_INPUTS))
+    held: list[np.ndarray] = []
+    weights = np.full(N_INPUTS, START, np.float32)
+    cuts = [data for t in texts for data, _ in _slices(t)]
+    size = 0
+    for i, cut in enumerate(cuts):
+        held.append(cut)
+        size += len(cut)
+        if size < GROUP_BYTES and i + 1 < len(cuts):
+            continue
+        seen = Bytes(model.tree, held, True)
+        held, size = [], 0
+        which, _, often = seen.distinct()
+        often = often.astype(np.float32)
+        for gate, part, _, x in seen.levels(model.apart, which, True):
+            miss = 1 / (1 + np.exp(np.clip(weights @ x, -12, 12)))
+            curve = miss * (1 - miss)
+            miss *= often[part]
+            curve *= often[part]
+            out[gate, :, 0] += x @ miss
+            out[gate, :, 1:] += (x * curve) @ x.T
+    return out
+
+
+def tune(docs: DataFrame, model: Model) -> None:
+    """Set the gated weights by one Newton step over the slopes and curvatures of all training documents (body), whole."""
+    shared = docs.sparkSession.sparkContext.broadcast((vars(model.tree), model.apart))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tree, apart = shared.value
+        model = Model(Tree(**tree), [], np.empty(0), apart)
+        total = np.zeros((DEPTHS * KINDS, N_INPUTS, 1 + N_INPUTS))
+        for batch in batches:
+            bodies = batch["body"]
+            for part in _pieces(bodies, GROUP_BYTES):
+                for lo in range(0, len(part), TUNING_DOCUMENTS):
+                    total += slopes(model, list(bodies.iloc[part[lo : lo + TUNING_DOCUMENTS]]))
+        yield pd.DataFrame({"at": np.arange(total.size), "value": total.ravel()})
+
+    each = docs.select("body").mapInPandas(run, "at int, value double")
+    found = each.groupBy("at").agg(F.sum("value").alias("value")).toPandas()
+    shared.unpersist()
+    total = np.zeros(DEPTHS * KINDS * N_INPUTS * (1 + N_INPUTS))
+    total[found["at"].to_numpy(np.int64)] = found["value"]
+    model.weights = fitted(total.reshape(DEPTHS * KINDS, N_INPUTS, 1 + N_INPUTS))
+
+
+def fitted(total: np.ndarray) -> np.ndarray:
+    slope, curve = total[:, :, :1], total[:, :, 1:] + RIDGE * np.eye(N_INPUTS)
+    return START + np.linalg.solve(curve, slope)[:, :, 0]
+
+
+class _Lookup:
+    """Weighted inputs of all kinds of bytes seen, bit by bit, but for the earlier place, and where each kind's bits begin."""
+
+    def __init__(self, model: Model, seen: Bytes):
+        self.seen = seen
+        self.weights = model.weights.astype(np.float32)
+        which, self.number, _ = seen.distinct()
+        size = seen.size.take(which)
+        self.first = np.cumsum(size) - size
+        self.bits = np.empty((size.sum(), REFINED), np.float32)
+        for gate, part, n, x in seen.levels(model.speaking, which, False):
+            where = self.first[part] + n
+            self.bits[where, 0] = self.weights[gate] @ x
+            self.bits[where, 1] = x[-2]
+
+    def inputs(self, places: np.ndarray) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+        """For the bits of the bytes at those places: weighted log-odds of the bit that came, the refined inputs, bits of each byte."""
+        seen, size, sure = self.seen, self.seen.size.take(places), self.seen.sure.take(places)
+        found = self.bits.take(_spread(self.first.take(self.number.take(places)), size), axis=0)
+        fixed, word = found[:, 0].copy(), found[:, 1].copy()
+        match = np.zeros(len(fixed), np.float32)
+        some = np.flatnonzero(sure >= 0)
+        agree, kind = seen.agree.take(places.take(some)).astype(np.int64), _KIND.take(seen.coded.take(places.take(some)) >> 8)
+        odds, begin, few = MATCH_ODDS.take(sure.take(some)), (np.cumsum(size) - size).take(some), size.take(some)
+        told = np.minimum(agree + 1, few)  # from the first bit that differs, the guess says nothing more
+        where = _spread(begin, told)
+        match[where] = np.repeat(odds, told)
+        wrong = agree < few
+        match[(begin + agree)[wrong]] *= -1
+        depth = np.minimum(where - np.repeat(begin, told), DEPTHS - 1)
+        fixed[where] += match[where] * self.weights[:, -1].take(np.repeat(kind * DEPTHS, told) + depth)
+        return fixed, [word, match], size
 
 
 def score_texts(model: Model, texts: list[bytes], rate: float = RATE) -> np.ndarray:
@@ -400,7 +655,7 @@ def score_texts(model: Model, texts: list[bytes], rate: float = RATE) -> np.ndar
             continue
         group.append((i, np.frombuffer(bytes(LEFT) + text + bytes([END]), np.uint8)))
         held += len(text) + LEFT
-        if held >= PIECE_BYTES:
+        if held >= GROUP_BYTES:
             _score_group(model, group, result, rate)
             group, held = [], 0
     _score_group(model, group, result, rate)
@@ -416,45 +671,44 @@ def _score_group(model: Model, group: list[tuple[int, np.ndarray]], result: np.n
 
 def _score(model: Model, parts: list[np.ndarray], shift: np.ndarray, rate: float) -> tuple[np.ndarray, np.ndarray]:
     """log2 probability of each part (longest first) and the corrections after it."""
-    data = np.concatenate(parts)
-    length = np.array([len(p) for p in parts])
-    first = np.cumsum(length) - length + LEFT
-    length = length - LEFT
+    length = np.array([len(p) - LEFT for p in parts])
     blocks = -(-length // BLOCK_BYTES)
     live = np.searchsorted(-blocks, -np.arange(1, blocks[0] + 1), side="right")
+    seen = Bytes(model.tree, parts, False)
+    look = _Lookup(model, seen)
     # bytes in the order they are coded: block after block, and in each block part after part
     part = np.concatenate([np.arange(n) for n in live])
     block = np.repeat(np.arange(len(live)), live)
     size = np.minimum(BLOCK_BYTES, length[part] - block * BLOCK_BYTES)
-    begin = np.cumsum(size) - size
-    real = np.arange(size.sum()) + np.repeat(first[part] + block * BLOCK_BYTES - begin, size)
-    odds, gate, bit, bits = _inputs(model, data, real, length + LEFT)
-    bits_at = np.cumsum(bits) - bits
-    start = bits_at[begin]
-    fixed = np.zeros(odds.shape[1], np.float32)
-    for k in range(N_INPUTS):
-        fixed += model.weights[:, k].astype(np.float32).take(gate) * odds[k]
-    sign = 2 * bit.astype(np.float32) - 1
+    begin = np.append(0, np.cumsum(size))
+    real = _spread(seen.first[part] + block * BLOCK_BYTES, size)
     total = np.zeros(len(parts))
     shift = shift.copy()
-    refined = range(N_INPUTS - REFINED, N_INPUTS)
-    edges = np.concatenate((start, [odds.shape[1]]))
-    at = 0
-    for n in live:
-        lo, hi = edges[at], edges[at + n]
-        cut = start[at : at + n] - lo
-        each = np.diff(np.append(cut, hi - lo))
-        x = odds[:, lo:hi]
-        z = fixed[lo:hi].copy()
-        for k in refined:
-            z += np.repeat(shift[:n, k].astype(np.float32), each) * x[k]
-        np.clip(z, -12, 12, out=z)
-        miss = 1 / (1 + np.exp(z * sign[lo:hi]))  # the probability that the other bit got
-        total[:n] += np.add.reduceat(np.log1p(-miss), cut, dtype=np.float64)
-        error = miss * sign[lo:hi]
-        for k in refined:
-            shift[:n, k] += rate * np.add.reduceat(error * x[k], cut) / np.sqrt(each)
-        at += n
+    after = np.cumsum(live)
+    done = 0
+    while done < len(live):  # as many blocks as fit the cache
+        at = after[done] - live[done]
+        end = max(done + 1, int(np.searchsorted(begin[after], begin[at] + PIECE_BYTES, side="right")))
+        fixed, refined, bits = look.inputs(real[begin[at] : begin[after[end - 1]]])
+        bit_at = np.append(0, np.cumsum(bits))[begin[at : after[end - 1] + 1] - begin[at]]
+        base = at
+        for n in live[done:end]:
+            start = bit_at[at - base : at - base + n + 1]
+            lo, hi = start[0], start[-1]
+            cut, each = start[:-1] - lo, np.diff(start)
+            z = fixed[lo:hi]
+            for k, x in enumerate(refined, N_INPUTS - REFINED):
+                z += np.repeat(shift[:n, k].astype(np.float32), each) * x[lo:hi]
+            np.clip(z, -12, 12, out=z)
+            np.negative(z, out=z)
+            wrong = np.exp(z, out=z)
+            both = 1 + wrong
+            total[:n] -= np.add.reduceat(np.log(both), cut, dtype=np.float64)
+            wrong /= both  # the probability that the other bit got
+            for k, x in enumerate(refined, N_INPUTS - REFINED):
+                shift[:n, k] += rate * np.add.reduceat(wrong * x[lo:hi], cut) / np.sqrt(each)
+            at += n
+        done = end
     return total / np.log(2), shift
 
 
@@ -462,7 +716,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", held_out: tu
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte.
 
     Learns from documents whose crc32(id) mod held_out[0] is not held_out[1] and scores all,
-    whole. NULL texts are empty: their only token, and only byte, is the end. score is log10 of
+    whole; code trees and mixing weights come from all of the former, too. NULL texts are empty: their only token, and only byte, is the end. score is log10 of
     the mixed model's probability, base_score that of single tokens with one added to each count.
     Tokens are told apart by 64-bit hashes. Without training documents the model is the prior:
     even odds in all contexts. Repeated rows are scored, and counted, one by one.
@@ -471,22 +725,14 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", held_out: tu
     body = F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary")
     out = F.coalesce(fold(F.col(key), held_out[0]) == held_out[1], F.lit(False))
     rows = docs.select(F.col(key).alias("doc_id"), body.alias("body"), out.alias("held_out"))
-    place = unit_hash(F.lit("tune"), id_text(F.col("doc_id")))
-    best = rows.filter(~F.col("held_out")).select(place.alias("at"), F.substring("body", 1, TUNING_BYTES).alias("body"))
     n_docs = rows.agg(F.count_if(~F.col("held_out"))).first()[0]
-    tuning = best.orderBy("at").limit(min(TUNING_DOCUMENTS, max(n_docs // TUNING_SHARE, 1))).collect()
-    texts = [bytes(r["body"]) for r in tuning]
-    tree = build_tree(pair_counts(texts))
-    last = tuning[-1]["at"] if tuning else -1.0
-    apart = place <= F.lit(last)
-    read = rows.select("body", (~F.col("held_out")).alias("train"), apart.alias("tuning"))
-    counted = stored(count(read, tree))
-    model = _collect_model(counted, tree)
-    tune(model, texts)
-    late = rows.filter(~F.col("held_out") & apart).select("body", F.lit(True).alias("train"), F.lit(False).alias("tuning"))
-    whole = _collect_model(counted.filter("kind >= 0").unionByName(count(late, tree).filter("kind >= 0")), tree)
-    model.odds = whole.odds
-    known = stored(counted.filter("kind < 0").groupBy("hash").agg(F.sum("trained").alias("trained"), F.sum("everywhere").alias("everywhere")))
+    training = rows.filter(~F.col("held_out")).select("body")
+    counted = stored(count_tokens(rows.select("body", (~F.col("held_out")).alias("train"))))
+    tree = build_tree(total_pairs(counted))
+    model = _collect_model(count(training, tree), tree)
+    tune(training, model)
+    known = counted.filter("kind = -1").groupBy("hash").agg(F.sum("trained").alias("trained"), F.sum("everywhere").alias("everywhere"))
+    known = stored(known)
     sums = known.agg(F.sum("trained"), F.count_if(F.col("trained") > 0), F.sum("everywhere")).first()
     tokens, kinds = (sums[0] or 0) + n_docs, (sums[1] or 0) + (n_docs > 0)
     floor = (sums[2] or 0) / FREQUENT
@@ -498,9 +744,12 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", held_out: tu
 def _collect_model(counted: DataFrame, tree: Tree) -> Model:
     """The tables, of fixed size, by way of the driver to all workers."""
     odds = [np.zeros(1 << bits, np.int8) for bits in TABLE_BITS]
+    apart = [np.zeros(2 << bits, np.int8) for bits in TABLE_BITS]
     for r in merge(counted).collect():
-        odds[r["kind"]][r["part"] << RANGE_BITS : (r["part"] + 1) << RANGE_BITS] = np.frombuffer(r["odds"], np.int8)
-    return Model(tree, odds, np.full((DEPTHS * KINDS, N_INPUTS), 0.35))
+        lo, hi = r["part"] << RANGE_BITS, (r["part"] + 1) << RANGE_BITS
+        odds[r["kind"]][lo:hi] = np.frombuffer(r["odds"], np.int8)
+        apart[r["kind"]][2 * lo : 2 * hi] = np.frombuffer(r["apart"], np.int8)
+    return Model(tree, odds, np.full((DEPTHS * KINDS, N_INPUTS), START), apart)
 
 
 SCORED = (
@@ -512,20 +761,13 @@ def _score_rows(spark: SparkSession, rows: DataFrame, model: Model, common: pd.D
     arrays = (vars(model.tree), model.odds, model.weights)
     shared = spark.sparkContext.broadcast((arrays, common["hash"].to_numpy(np.int64), common["trained"].to_numpy(np.int64)))
 
-    def small(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Parts of the batches of about WORDS_BYTES of text: words take far more memory than text."""
-        for batch in batches:
-            cut = (batch["body"].map(len).cumsum() // WORDS_BYTES).to_numpy()
-            for part in np.split(np.arange(len(batch)), np.flatnonzero(np.diff(cut)) + 1):
-                if len(part):
-                    yield batch.iloc[part].reset_index(drop=True)
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         (tree, odds, weights), hashes, trained = shared.value
         model = Model(Tree(**tree), odds, weights)
         value = np.log10((np.append(trained, 0) + 1.0) / (tokens + kinds + 1))
         end = np.log10((n_docs + 1.0) / (tokens + kinds + 1))
-        for batch in small(batches):
+
+        def counted(batch: pd.DataFrame, bits: np.ndarray) -> pd.DataFrame:
             bodies = list(batch["body"])
             words = [_tokens(b) for b in bodies]
             flat = [t for w in words for t in w]
@@ -538,12 +780,11 @@ def _score_rows(spark: SparkSession, rows: DataFrame, model: Model, common: pd.D
             base = np.bincount(owner, weights=value[at], minlength=len(bodies)) + end
             hit = np.bincount(owner, weights=trained[at] > 0, minlength=len(bodies)).astype(np.int64) + (n_docs > 0)
             rest = np.split(hashed[~frequent], np.cumsum(np.bincount(doc[~frequent], minlength=len(bodies)))[:-1])
-            bits = score_texts(model, bodies)
-            yield pd.DataFrame(
+            return pd.DataFrame(
                 {
-                    "row": batch["row"],
-                    "doc_id": batch["doc_id"],
-                    "held_out": batch["held_out"],
+                    "row": batch["row"].to_numpy(),
+                    "doc_id": batch["doc_id"].array,
+                    "held_out": batch["held_out"].to_numpy(),
                     "n_tokens": [len(w) + 1 for w in words],
                     "known": hit,
                     "base": base,
@@ -553,6 +794,13 @@ def _score_rows(spark: SparkSession, rows: DataFrame, model: Model, common: pd.D
                 }
             )
 
+        for batch in batches:
+            for group in _pieces(batch["body"], GROUP_BYTES):
+                rows = batch.iloc[group]
+                bits = score_texts(model, list(rows["body"]))
+                for part in _pieces(rows["body"], WORDS_BYTES):  # words take far more memory than text
+                    yield counted(rows.iloc[part], bits[part])
+
     numbered = rows.withColumn("row", F.monotonically_increasing_id())
     return stored(numbered.mapInPandas(run, SCORED.format(kind=rows.schema["doc_id"].dataType.simpleString())))
 
