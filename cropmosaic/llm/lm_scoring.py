@@ -9,13 +9,14 @@ the weights are refined along each document.
 import heapq
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property, lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,9 +40,18 @@ START, RIDGE = 0.3, 20.0
 FREQUENT = 1 << 20
 #: Bytes worked on together (arrays of that size stay in the cache), bytes between corrections of a
 #: document's weights, bytes in front of a piece that are context only, and bytes whose words are held at once.
-PIECE_BYTES, BLOCK_BYTES, LEFT, WORDS_BYTES = 1 << 17, 512, 64, 1 << 19
-#: Bytes looked up together: equal contexts with equal bytes are worked out once, so more of them cost less.
+PIECE_BYTES, BLOCK_BYTES, LEFT, WORDS_BYTES = 1 << 17, 512, 64, 1 << 21
+#: Tokens counted together before they are handed on.
+TOKENS = 1 << 19
+#: Bytes scored together.
 GROUP_BYTES = 1 << 19
+#: Bytes counted together.
+COUNTED_BYTES = 1 << 20
+#: Kinds of bytes (equal in contexts and byte) that a task holds at a time: a kind is worked out once while it is
+#: held. It is found by the first bits of its hash, so a kind may be driven out by another and come back.
+KINDS_HELD, PLACE_BITS = 1 << 20, 20
+#: Kinds whose arrays are worked out together.
+KINDS_CACHED = 1 << 14
 #: Bytes whose arrays are worked out together.
 CACHED_BYTES = 1 << 16
 #: Log-odds are kept in steps of 1 / SCALE in a byte, so that a table stays in a core's cache.
@@ -60,17 +70,16 @@ REFINED = 2
 class Tree:
     """Codes of all pairs (byte before, byte): their steps end to end.
 
-    mark (twice the node's number, plus the bit) and prior log-odds (of the step's bit) of each step; of a pair
-    256 * before + byte, at and size are where its steps begin and how many they are, code its bits, first bit highest,
-    rank its place among all pairs by the kind of the byte before and, within a kind, from long codes to short.
+    mark (twice the node's number, plus the bit), prior log-odds (of the step's bit) and gate of each step; of a pair
+    256 * before + byte, at and size are where its steps begin and how many they are, code its bits, first bit highest.
     """
 
     mark: np.ndarray
     prior: np.ndarray
+    gate: np.ndarray
     at: np.ndarray
     size: np.ndarray
     code: np.ndarray
-    rank: np.ndarray
 
 
 def _paths(weight: np.ndarray) -> list[list[tuple[int, int, float]]]:
@@ -119,9 +128,10 @@ def build_tree(pairs: np.ndarray) -> Tree:
     before, node, bit, prior = (np.array(v) for v in zip(*steps))
     mixed = (before.astype(np.uint32) * np.uint32(0x9E3779B1) >> np.uint32(20)).astype(np.int64)
     mark = (mixed << 8 | node) << 1 | bit
-    rank = np.empty(65536, np.int64)
-    rank[np.lexsort((-size, np.repeat(_KIND, 256)))] = np.arange(65536)
-    return Tree(mark, (prior * (2 * bit - 1)).astype(np.float32), np.cumsum(size) - size, size, code, rank)
+    at = np.cumsum(size) - size
+    depth = np.minimum(np.arange(len(mark)) - np.repeat(at, size), DEPTHS - 1)
+    gate = (_KIND[before] * DEPTHS + depth).astype(np.uint8)
+    return Tree(mark, (prior * (2 * bit - 1)).astype(np.float32), gate, at, size, code)
 
 
 def pair_counts(texts: list[bytes]) -> np.ndarray:
@@ -149,32 +159,29 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
-def _before(data: np.ndarray) -> np.ndarray:
-    """The eight bytes in front of every position as a number, the nearest one highest."""
-    wide = np.zeros(len(data) + 8, np.uint8)
-    wide[8:] = data
+def _upto(data: np.ndarray) -> np.ndarray:
+    """Every byte and the seven in front of it as a number, the byte itself highest."""
+    wide = np.zeros(len(data) + 7, np.uint8)
+    wide[7:] = data
     return np.ndarray(len(data), "<u8", wide, 0, (1,)).astype(np.uint64)
 
 
-def contexts(data: np.ndarray) -> list[np.ndarray]:
-    """A 64-bit number of each predictor's context for every position of data (LEFT bytes in front are context only)."""
+def _words(data: np.ndarray) -> np.ndarray:
+    """A 64-bit number of the word in front of every position (LEFT bytes in front are context only)."""
     n = len(data)
     whole = 1 << n.bit_length()
-    place = np.arange(n)
-    start = np.maximum.accumulate(np.where(_GAP[data], place + 1, 0))  # the word that goes on after each byte
+    start = np.arange(1, n + 1)
+    start *= _GAP.take(data)
+    np.maximum.accumulate(start, out=start)  # the word that goes on after each byte
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((data + np.uint64(1)) * _powers(_POWER, whole)[:n], out=sums[1:])
+    added = data.astype(np.uint64)
+    added += np.uint64(1)
+    added *= _powers(_POWER, whole)[:n]
+    np.cumsum(added, out=sums[1:])
     begin = np.concatenate((np.zeros(1, np.int64), start[:-1]))
-    word = (sums[:-1] - sums[begin]) * _powers(_INVERSE, whole)[begin]
-    before = _before(data)
-    return [(word if c == "word" else before >> np.uint64(64 - 8 * c)) for c in CONTEXTS]
-
-
-def _pairs(data: np.ndarray, places: np.ndarray) -> np.ndarray:
-    pairs = data.take(places - 1).astype(np.int64)
-    pairs <<= 8
-    pairs |= data.take(places)
-    return pairs
+    word = sums[:-1] - sums.take(begin)
+    word *= _powers(_INVERSE, whole).take(begin)
+    return word
 
 
 def _spread(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -194,16 +201,30 @@ def _steps(tree: Tree, data: np.ndarray) -> np.ndarray:
     return _spread(tree.at.take(data), tree.size.take(data))
 
 
-def slots(data: np.ndarray, places: np.ndarray) -> Iterator[np.ndarray]:
-    """For each predictor twice the table index of the context at every place; a step's mark is added by exclusive or."""
-    for k, number in enumerate(contexts(data)):
-        number = number.take(places)
+def slot(k: int, upto: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """The table index of predictor k for bytes with those bytes in front of them (_upto) and that word."""
+    number = word + np.uint64(k + 1)
+    if CONTEXTS[k] != "word":
+        np.left_shift(upto, np.uint64(8), out=number)
+        number >>= np.uint64(64 - 8 * CONTEXTS[k])
         number += np.uint64(k + 1)
-        number *= _MIX
-        number ^= number >> np.uint64(29)
-        number *= _MIX
-        number >>= np.uint64(64 - TABLE_BITS[k])
-        yield number.view(np.int64) << 1
+    number *= _MIX
+    number ^= number >> np.uint64(29)
+    number *= _MIX
+    number >>= np.uint64(64 - TABLE_BITS[k])
+    return number.view(np.int64)
+
+
+def _pair(upto: np.ndarray) -> np.ndarray:
+    """256 * byte before + byte."""
+    return upto << np.uint64(8) >> np.uint64(56) << np.uint64(8) | upto >> np.uint64(56)
+
+
+def _starts(key: np.ndarray) -> np.ndarray:
+    """Where runs of equal numbers begin."""
+    fresh = np.ones(len(key), bool)
+    np.not_equal(key[1:], key[:-1], out=fresh[1:])
+    return np.flatnonzero(fresh)
 
 
 def _slices(text: bytes) -> Iterator[tuple[np.ndarray, int]]:
@@ -213,40 +234,238 @@ def _slices(text: bytes) -> Iterator[tuple[np.ndarray, int]]:
         yield np.frombuffer(whole[lo - LEFT : lo + PIECE_BYTES], np.uint8), LEFT
 
 
+class Kinds:
+    """The kinds of bytes met so far: bytes equal in the six bytes up to them, in the word in front and, with matches, in the guess.
+
+    Of each: the bytes up to it, word, pair, how sure the guess is (-1: none), how many bits it has right, how often it
+    was met. Kinds are told apart by 64-bit hashes, of which a table of fixed size holds the last for each place.
+    """
+
+    def __init__(self, tree: Tree, matches: bool):
+        self.tree, self.matches = tree, matches
+        self.upto, self.word = np.empty(KINDS_HELD, np.uint64), np.empty(KINDS_HELD, np.uint64)
+        self.hash, self.often = np.empty(KINDS_HELD, np.uint64), np.zeros(KINDS_HELD, np.int64)
+        self.coded, self.sure, self.agree = np.empty(KINDS_HELD, np.int32), np.empty(KINDS_HELD, np.int8), np.empty(KINDS_HELD, np.int8)
+        self.owner = np.zeros(1 << PLACE_BITS, np.int32)
+        self.clear()
+
+    def clear(self) -> None:
+        self.size, self.met = 0, []
+        self.often[:] = 0
+        # what cannot stand at a place: a hash whose first bits are others
+        self.known = ~(np.arange(1 << PLACE_BITS, dtype=np.uint64) << np.uint64(64 - PLACE_BITS))
+
+    def full(self, n: int) -> bool:
+        """Whether n more bytes may find no room."""
+        return self.size + n > KINDS_HELD
+
+    def add(self, full: np.ndarray, columns: dict[str, np.ndarray], at: np.ndarray) -> np.ndarray:
+        """The kind of each byte, by the hashes of kinds; columns, of which at are the bytes' places, describe them."""
+        place = (full >> np.uint64(64 - PLACE_BITS)).view(np.int64)
+        found = self.owner.take(place)
+        new = np.flatnonzero(self.known.take(place) != full)
+        if len(new):
+            bits = np.uint64(len(new).bit_length())
+            own = full.take(new)
+            key = own >> bits
+            key <<= bits
+            key |= np.arange(len(new), dtype=np.uint64)
+            key.sort()
+            key &= (np.uint64(1) << bits) - np.uint64(1)
+            order = key.view(np.int64)
+            own = own.take(order)
+            fresh = np.ones(len(new), bool)
+            np.not_equal(own[1:], own[:-1], out=fresh[1:])
+            number = np.cumsum(fresh, dtype=np.int32)
+            number += np.int32(self.size - 1)
+            start = np.flatnonzero(fresh)
+            found[new.take(order)] = number
+            first = new.take(order.take(start))
+            to = slice(self.size, self.size + len(start))
+            self.hash[to] = own.take(start)
+            where = at.take(first)
+            for name, column in columns.items():
+                getattr(self, name)[to] = column.take(where)
+            place = place.take(first)
+            self.owner[place] = np.arange(to.start, to.stop, dtype=np.int32)
+            self.known[place] = self.hash.take(self.owner.take(place))
+            self.size = to.stop
+        return found
+
+    def count(self, found: np.ndarray) -> None:
+        """Bytes of those kinds were met; added up from time to time."""
+        self.met.append(found)
+        if sum(map(len, self.met)) >= KINDS_HELD:
+            self.settle()
+
+    def settle(self) -> None:
+        if self.met:
+            self.often += np.bincount(np.concatenate(self.met), minlength=KINDS_HELD)
+            self.met = []
+
+    def inputs(self, lo: int, tables: list[np.ndarray], signed: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """The inputs for all bits of the kinds from lo on, some kinds at a time: which kinds, the bits of each, gate and
+        log-odds of the bit that came (inputs x bits) of their bits, end to end.
+
+        Kinds come in order of the bytes before, so that those next to each other look up much the same table entries.
+        tables hold the log-odds of the bit that came (slots x 2) or, signed, of a 1 (slots).
+        """
+        tree = self.tree
+        key = self.upto[lo : self.size] << np.uint64(8)
+        key &= ~np.uint64((1 << 24) - 1)
+        key |= np.arange(len(key), dtype=np.uint64)
+        key.sort()
+        key &= np.uint64((1 << 24) - 1)
+        order = key.view(np.int64)
+        order += lo
+        for cut in range(0, len(order), KINDS_CACHED):
+            which = order[cut : cut + KINDS_CACHED]
+            coded, upto, word = self.coded.take(which), self.upto.take(which), self.word.take(which)
+            size, at = tree.size.take(coded), tree.at.take(coded)
+            steps = _spread(at, size)
+            mark = tree.mark.take(steps)
+            x = np.empty((N_INPUTS, len(steps)), np.float32)
+            tree.prior.take(steps, out=x[0], mode="clip")
+            scale = np.float32(1 / SCALE)
+            if signed:
+                scale = (mark & 1).astype(np.float32)
+                scale *= np.float32(2 / SCALE)
+                scale -= np.float32(1 / SCALE)
+                mark >>= 1
+            for k, table in enumerate(tables):
+                index = slot(k, upto, word)
+                if not signed:
+                    index <<= 1
+                index = np.repeat(index, size)
+                index ^= mark
+                np.multiply(table.take(index), scale, out=x[k + 1])
+            x[-1] = 0
+            if self.matches:
+                some = np.flatnonzero(self.sure.take(which) >= 0)
+                few = which.take(some)
+                _guessed(x[-1], (np.cumsum(size) - size).take(some), size.take(some), self.sure.take(few), self.agree.take(few))
+            yield which, size, tree.gate.take(steps), x
+
+
+def _guessed(out: np.ndarray, begin: np.ndarray, size: np.ndarray, sure: np.ndarray, agree: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Set the log-odds that a guess gives the bits of bytes, which begin at begin; the places that were set, how many of each byte."""
+    told = np.minimum(agree + np.int64(1), size)  # from the first bit that differs, the guess says nothing more
+    where = _spread(begin, told)
+    out[where] = np.repeat(MATCH_ODDS.take(sure), told)
+    wrong = agree < size
+    out[(begin + agree)[wrong]] *= -1
+    return where, told
+
+
+def _blocks(parts: list[np.ndarray], size: int = CACHED_BYTES) -> Iterator[list[np.ndarray]]:
+    """Parts that follow each other, in lists of about `size` bytes."""
+    held, n = [], 0
+    for part in parts:
+        held.append(part)
+        n += len(part)
+        if n >= size:
+            yield held
+            held, n = [], 0
+    if held:
+        yield held
+
+
+def seen(kinds: Kinds, parts: list[np.ndarray], guesses: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Kind and pair of the bytes of parts (each with LEFT bytes of context in front), part after part, and with guesses how
+    sure the guess from an earlier place is (-1: none) and how many bits it has right."""
+    tree, data, lengths = kinds.tree, np.concatenate(parts), np.array([len(p) for p in parts])
+    real = _spread(np.cumsum(lengths) - lengths + LEFT, lengths - LEFT)
+    upto, word = _upto(data), _words(data)
+    coded = np.empty(len(data), np.int32)
+    coded[0] = data[0]
+    np.left_shift(data[:-1], 8, out=coded[1:], dtype=np.int32)
+    coded[1:] |= data[1:]
+    full = upto >> np.uint64(16)
+    full *= _MIX
+    full ^= full >> np.uint64(32)
+    full += word
+    columns = {"upto": upto, "word": word, "coded": coded}
+    sure = agree = np.zeros(0, np.int8)
+    if guesses:
+        guess, sure = _guesses(data, upto, lengths)
+        agree = np.zeros(len(data), np.int8)
+        some = np.flatnonzero(sure >= 0)
+        few = coded.take(some)
+        agree[some] = _same_bits(tree.code.take(few), tree.code.take((few & 0xFF00) | guess.take(some)))
+        if kinds.matches:
+            columns |= {"sure": sure, "agree": agree}
+            full[some] += ((sure.take(some) + 1).astype(np.uint64) << np.uint64(40)) + (agree.take(some).astype(np.uint64) << np.uint64(48))
+        sure, agree = sure.take(real), agree.take(real)
+    full *= _MIX
+    full ^= full >> np.uint64(31)
+    full *= _MIX
+    full ^= full >> np.uint64(32)
+    return kinds.add(full.take(real), columns, real), coded.take(real), sure, agree
+
+
 class Counts:
     """How often each slot saw a 0 and a 1."""
 
     def __init__(self, tree: Tree):
         self.tree = tree
         self.seen = [np.zeros(2 << bits, np.int32) for bits in TABLE_BITS]
-        self.held: list[np.ndarray] = []
-        self.size = 0
+        self.texts: list[np.ndarray] = []
+        self.held: list[tuple[np.ndarray, np.ndarray]] = []
+        self.size = self.waiting = 0
 
     def add(self, text: bytes) -> None:
         for data, _ in _slices(text):
-            self.held.append(data)
-            self.size += len(data)
-            if self.size >= GROUP_BYTES:
-                self.flush()
+            self.texts.append(data)
+            self.waiting += len(data)
+            if self.waiting >= CACHED_BYTES:
+                self._look()
+                if self.size >= COUNTED_BYTES:
+                    self._count()
 
     def flush(self) -> None:
-        if not self.held:
-            return
-        data = np.concatenate(self.held)
-        real = np.flatnonzero(np.concatenate([np.arange(len(d)) >= LEFT for d in self.held]))
+        if self.texts:
+            self._look()
+        if self.held:
+            self._count()
+
+    def _look(self) -> None:
+        data, lengths = np.concatenate(self.texts), np.array([len(d) for d in self.texts])
+        real = _spread(np.cumsum(lengths) - lengths + LEFT, lengths - LEFT)
+        upto, word = _upto(data), _words(data)
+        number = slot(CONTEXTS.index("word"), upto, word)
+        number <<= 16
+        number |= _pair(upto).view(np.int64)
+        # the three bytes before, the byte, the two in front of those: equal contexts of either length stand together
+        key = upto << np.uint64(8) >> np.uint64(40) << np.uint64(24)
+        key |= upto >> np.uint64(56) << np.uint64(16)
+        key |= upto >> np.uint64(16) & np.uint64(0xFFFF)
+        self.held.append((key.take(real), number.take(real)))
+        self.size += len(real)
+        self.texts, self.waiting = [], 0
+
+    def _count(self) -> None:
+        key, number = (np.concatenate(v) for v in zip(*self.held))
         self.held, self.size = [], 0
-        coded = _pairs(data, real)
-        for k, slot in enumerate(slots(data, real)):
-            key = slot << 15 | coded
-            key.sort()  # in order, equal ones stand together and the table is walked through once instead of at random
-            first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-            often = np.diff(first, append=len(key)).astype(np.int32)
-            key = key[first]
-            pair = key & 0xFFFF
-            size = self.tree.size[pair]
-            where = np.repeat(key >> 16 << 1, size)
-            where ^= self.tree.mark.take(_steps(self.tree, pair))
-            np.add.at(self.seen[k], where, np.repeat(often, size))
+        key.sort()  # in order, equal ones stand together and a table is walked through once instead of at random
+        first = _starts(key)
+        often, key = np.diff(first, append=len(key)), key.take(first)
+        byte = key >> np.uint64(16) & np.uint64(0xFF)
+        upto = byte << np.uint64(56) | key >> np.uint64(24) << np.uint64(32) | (key & np.uint64(0xFFFF)) << np.uint64(16)
+        for k, context in enumerate(CONTEXTS):
+            if context == "word":
+                number.sort()
+                first = _starts(number)
+                self._add(k, number.take(first) >> 16, number.take(first) & 0xFFFF, np.diff(first, append=len(number)))
+            else:
+                start = _starts(key >> np.uint64(16)) if context == 3 else np.arange(len(key))
+                few = upto.take(start)
+                self._add(k, slot(k, few, few), _pair(few).view(np.int64), np.add.reduceat(often, start))
+
+    def _add(self, k: int, index: np.ndarray, pair: np.ndarray, often: np.ndarray) -> None:
+        size = self.tree.size.take(pair)
+        where = np.repeat(index << 1, size)
+        where ^= self.tree.mark.take(_steps(self.tree, pair))
+        np.add.at(self.seen[k], where, np.repeat(often.astype(np.int32), size))
 
     def parts(self) -> Iterator[tuple[int, int, bytes]]:
         """predictor, range, packed (slot, zeros, ones) of what was seen."""
@@ -271,8 +490,18 @@ def unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.cumsum(steps), zeros, ones
 
 
-def _tokens(text: bytes) -> list[bytes]:
-    return text.translate(_LOWER).split()
+def _tokens(bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the different tokens of bodies; for every token, body after body, which of them it is; tokens of each body."""
+    lower = pc.ascii_lower(pa.array(bodies, pa.binary()).view(pa.string()))
+    split = pc.ascii_split_whitespace(lower)
+    each = np.diff(split.offsets.to_numpy())
+    words = split.values.dictionary_encode()
+    names, number = words.dictionary.view(pa.binary()).to_pylist(), words.indices.to_numpy()
+    if b"" in names:  # what stands before a gap at the start, and behind one at the end
+        empty = number == names.index(b"")
+        each = each - np.bincount(np.repeat(np.arange(len(bodies)), each)[empty], minlength=len(bodies))
+        number = number[~empty]
+    return np.array([_hash(t) for t in names], np.int64), number, each
 
 
 def _hash(token: bytes) -> int:
@@ -292,30 +521,34 @@ def count_tokens(docs: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        trained, everywhere, pairs = Counter(), Counter(), np.zeros((256, 256), np.int64)
+        pairs = np.zeros((256, 256), np.int64)
+        held: list[np.ndarray] = [np.zeros((3, 0), np.int64)]
+
+        def summed() -> np.ndarray:
+            rows = np.concatenate(held, axis=1)
+            rows = rows[:, rows[0].argsort()]
+            first = np.flatnonzero(np.concatenate((np.ones(min(1, rows.shape[1]), bool), rows[0, 1:] != rows[0, :-1])))
+            return np.stack((rows[0, first], *np.add.reduceat(rows[1:], first, axis=1))) if len(first) else rows
 
         def tokens() -> pd.DataFrame:
-            names = list(everywhere)
-            hashed = np.array([_hash(t) for t in names], np.int64)
-            both = np.array([(trained[t], everywhere[t]) for t in names], np.int64).reshape(-1, 2)
-            return pd.DataFrame({"kind": -1, "hash": hashed, "trained": both[:, 0], "everywhere": both[:, 1], "data": None})
+            found = summed()
+            return pd.DataFrame({"kind": -1, "hash": found[0], "trained": found[1], "everywhere": found[2], "data": None})
 
         for batch in batches:
             for part in _pieces(batch["body"], WORDS_BYTES):
                 piece = batch.iloc[part]
-                learned = []
-                for body, train in zip(piece["body"], piece["train"]):
-                    words = _tokens(body)
-                    everywhere.update(words)
-                    if train:
-                        trained.update(words)
-                        learned.append(body)
+                bodies, train = list(piece["body"]), piece["train"].to_numpy(bool)
+                hashed, number, each = _tokens(bodies)
+                rows = np.stack((hashed, np.bincount(number[np.repeat(train, each)], minlength=len(hashed)), np.bincount(number, minlength=len(hashed))))
+                held.append(rows[:, rows[2] > 0])
+                learned = [body for body, t in zip(bodies, train) if t]
                 if learned:
                     pairs += pair_counts(learned)
-                if len(everywhere) > 300_000:
-                    yield tokens()
-                    trained.clear()
-                    everywhere.clear()
+                if sum(h.shape[1] for h in held) > 2 * TOKENS:
+                    held = [summed()]
+                    if held[0].shape[1] > TOKENS:
+                        yield tokens()
+                        held = [np.zeros((3, 0), np.int64)]
         yield tokens()
         if pairs.any():
             at = np.flatnonzero(pairs)
@@ -401,9 +634,8 @@ class Model:
     apart: list[np.ndarray] | None = None
 
     @cached_property
-    def speaking(self) -> list[np.ndarray]:
-        """The tables' log-odds of the bit that came, 0 or 1, at each slot (slots x 2)."""
-        return [np.stack((-odds, odds), axis=1).ravel() for odds in self.odds]
+    def kinds(self) -> "_Kinds":
+        return _Kinds(self)
 
 
 def _same_bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -414,12 +646,12 @@ def _same_bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return 32 - np.bitwise_count(x).astype(np.int64)
 
 
-def _guesses(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _guesses(data: np.ndarray, upto: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each place the byte that followed the last time the MATCH bytes before it stood in its part, and how sure (-1: none)."""
     place = np.arange(len(data))
     part = np.repeat(np.arange(len(lengths), dtype=np.uint64), lengths)
     part <<= np.uint64(8 * MATCH)
-    number = _before(data)
+    number = upto << np.uint64(8)
     number >>= np.uint64(64 - 8 * MATCH)
     number |= part
     # sorted by a hash of part and bytes, with the place in the low bits; the numbers themselves are compared after that
@@ -451,128 +683,50 @@ def _guesses(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndar
     return guess, sure
 
 
-class Bytes:
-    """The bytes of parts (each with LEFT bytes of context in front), part after part, as the model sees them.
+class Slopes:
+    """gates x inputs x (1 + inputs): slope of texts' log-probability by the weights at START, and its curvature.
 
-    Of each: pair, bits (size), slots, how sure the guess from an earlier place is (-1: none) and how many bits it has
-    right. Worked out for so many parts at a time that their arrays stay in the cache.
+    Each bit's table entries leave that one occurrence out of the counts.
     """
 
-    def __init__(self, tree: Tree, parts: list[np.ndarray], matches: bool):
-        self.tree = tree
-        length = np.array([len(p) - LEFT for p in parts])
-        self.first = np.cumsum(length) - length
-        n = int(length.sum())
-        self.coded, self.size, self.sure, self.agree = np.empty(n, np.int32), np.empty(n, np.int64), np.empty(n, np.int8), np.zeros(n, np.int8)
-        self.slot = [np.empty(n, np.int32) for _ in CONTEXTS]
-        self.hash = np.empty(n, np.uint64)
-        lo, held = 0, []
-        for i, part in enumerate(parts):
-            held.append(part)
-            if i + 1 == len(parts) or sum(map(len, held)) >= CACHED_BYTES:
-                lo = self._fill(lo, held, matches)
-                held = []
-
-    def _fill(self, lo: int, parts: list[np.ndarray], matches: bool) -> int:
-        tree, data, lengths = self.tree, np.concatenate(parts), np.array([len(p) for p in parts])
-        real = _spread(np.cumsum(lengths) - lengths + LEFT, lengths - LEFT)
-        to = slice(lo, lo + len(real))
-        coded = self.coded[to] = _pairs(data, real)
-        self.size[to] = tree.size.take(coded)
-        slot = list(slots(data, real))
-        for own, found in zip(self.slot, slot):
-            own[to] = found
-        guess, sure = _guesses(data, lengths)
-        sure = self.sure[to] = sure.take(real)
-        some = np.flatnonzero(sure >= 0)
-        few, other = coded.take(some), guess.take(real.take(some))
-        agree = self.agree[to]
-        agree[some] = _same_bits(tree.code.take(few), tree.code.take((few & 0xFF00) | other))
-        full = (slot[2] << 24 | slot[1]).view(np.uint64)
-        full *= _MIX
-        full += slot[0].view(np.uint64)
-        if matches:
-            full += ((sure + 1).astype(np.uint64) << np.uint64(40)) + (agree.astype(np.uint64) << np.uint64(48))
-        full ^= full >> np.uint64(31)
-        full *= _MIX
-        full ^= full >> np.uint64(32)
-        self.hash[to] = full
-        return to.stop
-
-    def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Bytes (one of each kind) that differ in pair, contexts or, with matches, in the guess, in order of
-        their pair's rank; the number of its kind for every byte; how often each occurs. Kinds are told apart by 64-bit hashes."""
-        bits = np.uint64(len(self.hash).bit_length())
-        key = self.hash >> np.uint64(16)
-        key >>= bits
-        key <<= bits
-        key |= np.arange(len(key), dtype=np.uint64)
-        key |= (self.tree.rank << 48).view(np.uint64).take(self.coded)
-        key.sort()
-        fresh = np.ones(len(key), bool)
-        order = (key & ((np.uint64(1) << bits) - np.uint64(1))).view(np.int64)
-        key >>= np.uint64(48)
-        np.not_equal(key[1:], key[:-1], out=fresh[1:])
-        full = self.hash.take(order)
-        fresh[1:] |= full[1:] != full[:-1]
-        start = np.flatnonzero(fresh)
-        number = np.empty(len(key), np.int32)
-        number[order] = np.cumsum(fresh, dtype=np.int32) - np.int32(1)
-        return order.take(start), number, np.diff(start, append=len(key))
-
-    def levels(self, tables: list[np.ndarray], which: np.ndarray, matches: bool) -> Iterator[tuple[int, slice, int, np.ndarray]]:
-        """The inputs for all bits of the bytes `which`, in order of their pairs' rank: gate, which of them, the bit's
-        place in their codes, log-odds of the bit that came (inputs x bytes).
-
-        Those with a bit at some place stand in front of their kind. tables hold the log-odds of the bit that came (slots x 2).
-        """
-        tree, coded, size = self.tree, self.coded.take(which), self.size.take(which)
-        slot, at = [v.take(which) for v in self.slot], tree.at.take(coded)
-        if matches:
-            odds, agree = np.append(MATCH_ODDS, np.float32(0)).take(self.sure.take(which), mode="wrap"), self.agree.take(which)
-        edges = np.searchsorted(_KIND.take(coded >> 8), np.arange(KINDS + 1))
-        for kind, (lo, hi) in enumerate(zip(edges[:-1], edges[1:])):
-            longer = np.cumsum(np.bincount(size[lo:hi], minlength=33)[::-1])[::-1]  # bytes with codes of at least n bits
-            for n in range(int(np.flatnonzero(longer)[-1]) if lo < hi else 0):
-                part = slice(lo, lo + longer[n + 1])
-                steps = at[part] + n
-                mark = tree.mark.take(steps)
-                x = np.zeros((N_INPUTS, len(steps)), np.float32)
-                x[0] = tree.prior.take(steps)
-                for k, table in enumerate(tables):
-                    np.multiply(table.take(slot[k][part] ^ mark), np.float32(1 / SCALE), out=x[k + 1])
-                if matches:
-                    np.multiply(odds[part], (agree[part] > n).view(np.int8) - (agree[part] == n).view(np.int8), out=x[-1])
-                yield kind * DEPTHS + min(n, DEPTHS - 1), part, n, x
-
+    def __init__(self, model: Model):
+        self.model, self.kinds = model, Kinds(model.tree, True)
+        self.total = np.zeros((DEPTHS * KINDS, N_INPUTS, 1 + N_INPUTS))
 
-def slopes(model: Model, texts: list[bytes]) -> np.ndarray:
-    """gates x inputs x (1 + inputs): slope of the texts' log-probability by the weights at START, and its curvature.
-
-    Each bit's table entries leave that one occurrence out of the counts.
-    """
-    out = np.zeros((DEPTHS * KINDS, N_INPUTS, 1 + N_INPUTS))
-    held: list[np.ndarray] = []
-    weights = np.full(N_INPUTS, START, np.float32)
-    cuts = [data for t in texts for data, _ in _slices(t)]
-    size = 0
-    for i, cut in enumerate(cuts):
-        held.append(cut)
-        size += len(cut)
-        if size < GROUP_BYTES and i + 1 < len(cuts):
-            continue
-        seen = Bytes(model.tree, held, True)
-        held, size = [], 0
-        which, _, often = seen.distinct()
-        often = often.astype(np.float32)
-        for gate, part, _, x in seen.levels(model.apart, which, True):
+    def add(self, texts: list[bytes]) -> None:
+        for parts in _blocks([data for t in texts for data, _ in _slices(t)]):
+            if self.kinds.full(sum(map(len, parts))):
+                self.flush()
+            self.kinds.count(seen(self.kinds, parts, True)[0])
+
+    def flush(self) -> np.ndarray:
+        """The sums so far, with what is held."""
+        kinds = self.kinds
+        kinds.settle()
+        weights = np.full(N_INPUTS, START, np.float32)
+        for which, size, gate, x in kinds.inputs(0, self.model.apart, False):
+            order = gate.argsort(kind="stable")
+            edges = np.searchsorted(gate.take(order), np.arange(DEPTHS * KINDS + 1))
             miss = 1 / (1 + np.exp(np.clip(weights @ x, -12, 12)))
+            often = np.repeat(kinds.often.take(which).astype(np.float32), size)
             curve = miss * (1 - miss)
-            miss *= often[part]
-            curve *= often[part]
-            out[gate, :, 0] += x @ miss
-            out[gate, :, 1:] += (x * curve) @ x.T
-    return out
+            miss *= often
+            curve *= often
+            miss, curve, x = miss.take(order), curve.take(order), x.take(order, axis=1)
+            curved = x * curve
+            for g in np.flatnonzero(np.diff(edges)):
+                own = slice(edges[g], edges[g + 1])
+                self.total[g, :, 0] += x[:, own] @ miss[own]
+                self.total[g, :, 1:] += curved[:, own] @ x[:, own].T
+        kinds.clear()
+        return self.total
+
+
+def slopes(model: Model, texts: list[bytes]) -> np.ndarray:
+    """The slopes and curvatures of these texts."""
+    both = Slopes(model)
+    both.add(texts)
+    return both.flush()
 
 
 def tune(docs: DataFrame, model: Model) -> None:
@@ -582,12 +736,12 @@ def tune(docs: DataFrame, model: Model) -> None:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tree, apart = shared.value
         model = Model(Tree(**tree), [], np.empty(0), apart)
-        total = np.zeros((DEPTHS * KINDS, N_INPUTS, 1 + N_INPUTS))
+        both = Slopes(model)
         for batch in batches:
             bodies = batch["body"]
-            for part in _pieces(bodies, GROUP_BYTES):
-                for lo in range(0, len(part), TUNING_DOCUMENTS):
-                    total += slopes(model, list(bodies.iloc[part[lo : lo + TUNING_DOCUMENTS]]))
+            for lo in range(0, len(bodies), TUNING_DOCUMENTS):
+                both.add(list(bodies.iloc[lo : lo + TUNING_DOCUMENTS]))
+        total = both.flush()
         yield pd.DataFrame({"at": np.arange(total.size), "value": total.ravel()})
 
     each = docs.select("body").mapInPandas(run, "at int, value double")
@@ -603,37 +757,60 @@ def fitted(total: np.ndarray) -> np.ndarray:
     return START + np.linalg.solve(curve, slope)[:, :, 0]
 
 
-class _Lookup:
-    """Weighted inputs of all kinds of bytes seen, bit by bit, but for the earlier place, and where each kind's bits begin."""
+class _Kinds:
+    """Weighted inputs of the kinds of bytes met so far, bit by bit, but for the earlier place, and where each kind's bits begin."""
 
-    def __init__(self, model: Model, seen: Bytes):
-        self.seen = seen
+    def __init__(self, model: Model):
+        self.model, self.kinds = model, Kinds(model.tree, False)
         self.weights = model.weights.astype(np.float32)
-        which, self.number, _ = seen.distinct()
-        size = seen.size.take(which)
-        self.first = np.cumsum(size) - size
-        self.bits = np.empty((size.sum(), REFINED), np.float32)
-        for gate, part, n, x in seen.levels(model.speaking, which, False):
-            where = self.first[part] + n
-            self.bits[where, 0] = self.weights[gate] @ x
-            self.bits[where, 1] = x[-2]
+        self.first = np.empty(KINDS_HELD, np.int64)
+        self.bits = np.empty((4 * KINDS_HELD, REFINED), np.float32)
+        self.used = 0
+
+    def look(self, parts: list[np.ndarray]) -> "_Lookup":
+        kinds = self.kinds
+        if kinds.full(sum(map(len, parts))) or self.used > 3 * KINDS_HELD:
+            kinds.clear()
+            self.used = 0
+        old = kinds.size
+        found = [seen(kinds, block, True) for block in _blocks(parts)]
+        more = int(kinds.tree.size.take(kinds.coded[old : kinds.size]).sum())
+        if self.used + more > len(self.bits):
+            self.bits = np.concatenate((self.bits, np.empty((self.used + more - len(self.bits), REFINED), np.float32)))
+        for which, size, gate, x in kinds.inputs(old, self.model.odds, True):
+            fixed = self.weights[:, 0].take(gate)
+            fixed *= x[0]
+            for k in range(1, N_INPUTS - 1):
+                fixed += self.weights[:, k].take(gate) * x[k]
+            to = slice(self.used, self.used + len(gate))
+            self.bits[to, 0], self.bits[to, 1] = fixed, x[-2]
+            self.first[which] = np.cumsum(size) - size + self.used
+            self.used = to.stop
+        return _Lookup(self, *map(np.concatenate, zip(*found)))
+
+
+@dataclass
+class _Lookup:
+    """The bytes of parts, part after part: kind, pair, how sure the guess from an earlier place is (-1: none), how many bits it has right."""
+
+    kinds: _Kinds
+    number: np.ndarray
+    coded: np.ndarray
+    sure: np.ndarray
+    agree: np.ndarray
 
     def inputs(self, places: np.ndarray) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
         """For the bits of the bytes at those places: weighted log-odds of the bit that came, the refined inputs, bits of each byte."""
-        seen, size, sure = self.seen, self.seen.size.take(places), self.seen.sure.take(places)
-        found = self.bits.take(_spread(self.first.take(self.number.take(places)), size), axis=0)
+        kinds, coded, sure = self.kinds, self.coded.take(places), self.sure.take(places)
+        size = kinds.model.tree.size.take(coded)
+        found = kinds.bits.take(_spread(kinds.first.take(self.number.take(places)), size), axis=0)
         fixed, word = found[:, 0].copy(), found[:, 1].copy()
         match = np.zeros(len(fixed), np.float32)
         some = np.flatnonzero(sure >= 0)
-        agree, kind = seen.agree.take(places.take(some)).astype(np.int64), _KIND.take(seen.coded.take(places.take(some)) >> 8)
-        odds, begin, few = MATCH_ODDS.take(sure.take(some)), (np.cumsum(size) - size).take(some), size.take(some)
-        told = np.minimum(agree + 1, few)  # from the first bit that differs, the guess says nothing more
-        where = _spread(begin, told)
-        match[where] = np.repeat(odds, told)
-        wrong = agree < few
-        match[(begin + agree)[wrong]] *= -1
-        depth = np.minimum(where - np.repeat(begin, told), DEPTHS - 1)
-        fixed[where] += match[where] * self.weights[:, -1].take(np.repeat(kind * DEPTHS, told) + depth)
+        begin, few = (np.cumsum(size) - size).take(some), coded.take(some)
+        where, told = _guessed(match, begin, size.take(some), sure.take(some), self.agree.take(places.take(some)))
+        gate = kinds.model.tree.gate.take(_spread(kinds.model.tree.at.take(few), told))
+        fixed[where] += match[where] * kinds.weights[:, -1].take(gate)
         return fixed, [word, match], size
 
 
@@ -674,14 +851,14 @@ def _score(model: Model, parts: list[np.ndarray], shift: np.ndarray, rate: float
     length = np.array([len(p) - LEFT for p in parts])
     blocks = -(-length // BLOCK_BYTES)
     live = np.searchsorted(-blocks, -np.arange(1, blocks[0] + 1), side="right")
-    seen = Bytes(model.tree, parts, False)
-    look = _Lookup(model, seen)
+    look = model.kinds.look(parts)
+    first = np.cumsum(length) - length
     # bytes in the order they are coded: block after block, and in each block part after part
     part = np.concatenate([np.arange(n) for n in live])
     block = np.repeat(np.arange(len(live)), live)
     size = np.minimum(BLOCK_BYTES, length[part] - block * BLOCK_BYTES)
     begin = np.append(0, np.cumsum(size))
-    real = _spread(seen.first[part] + block * BLOCK_BYTES, size)
+    real = _spread(first[part] + block * BLOCK_BYTES, size)
     total = np.zeros(len(parts))
     shift = shift.copy()
     after = np.cumsum(live)
@@ -769,23 +946,22 @@ def _score_rows(spark: SparkSession, rows: DataFrame, model: Model, common: pd.D
 
         def counted(batch: pd.DataFrame, bits: np.ndarray) -> pd.DataFrame:
             bodies = list(batch["body"])
-            words = [_tokens(b) for b in bodies]
-            flat = [t for w in words for t in w]
-            cache: dict[bytes, int] = {}
-            hashed = np.array([cache[t] if t in cache else cache.setdefault(t, _hash(t)) for t in flat], np.int64)
-            doc = np.repeat(np.arange(len(bodies)), [len(w) for w in words])
-            at = np.minimum(np.searchsorted(hashes, hashed), max(len(hashes) - 1, 0))
-            frequent = hashes[at] == hashed if len(hashes) else np.zeros(len(hashed), bool)
-            at, owner = at[frequent], doc[frequent]
+            names, number, each = _tokens(bodies)
+            doc = np.repeat(np.arange(len(bodies)), each)
+            at = np.minimum(np.searchsorted(hashes, names), max(len(hashes) - 1, 0))
+            known = hashes[at] == names if len(hashes) else np.zeros(len(names), bool)
+            frequent = known[number]
+            rare = names[number[~frequent]]
+            at, owner = at[number[frequent]], doc[frequent]
             base = np.bincount(owner, weights=value[at], minlength=len(bodies)) + end
             hit = np.bincount(owner, weights=trained[at] > 0, minlength=len(bodies)).astype(np.int64) + (n_docs > 0)
-            rest = np.split(hashed[~frequent], np.cumsum(np.bincount(doc[~frequent], minlength=len(bodies)))[:-1])
+            rest = np.split(rare, np.cumsum(np.bincount(doc[~frequent], minlength=len(bodies)))[:-1])
             return pd.DataFrame(
                 {
                     "row": batch["row"].to_numpy(),
                     "doc_id": batch["doc_id"].array,
                     "held_out": batch["held_out"].to_numpy(),
-                    "n_tokens": [len(w) + 1 for w in words],
+                    "n_tokens": each + 1,
                     "known": hit,
                     "base": base,
                     "bits": bits,
